@@ -8,32 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlake import contract as C
 from remitlake.functions import labels
 
 
-def one_copy_each(
-    df: DataFrame,
-    key: str = "transaction_id",
-    order: Iterable[str] = C.COPY_ORDER,
-    copies_column: str | None = None,
-) -> DataFrame:
+def one_copy_each(df: DataFrame, key: str = "transaction_id", order: Iterable[str] = C.COPY_ORDER) -> DataFrame:
     """Keep the smallest copy per key (by ``order``, nulls first, then by the other columns).
 
-    An aggregate rather than a window: each task first reduces its rows to one per key, so a key with very many
-    copies sends one row per task through the shuffle. ``copies_column`` adds how many rows the key had.
+    Catalyst turns "row number 1" into a group limit before the shuffle as well: each task sends at most one row per
+    key, so a key with very many copies does not pile up anywhere.
     """
     first = [c for c in order if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in first]
-    aggregates = [F.min(F.struct(*first, *rest)).alias("_copy")]
-    if copies_column:
-        aggregates.append(F.count(F.lit(1)).alias(copies_column))
-    kept = df.groupBy(key).agg(*aggregates)
-    columns = [F.col(c) if c == key else F.col(f"_copy.{c}") for c in df.columns]
-    return kept.select(*columns, *([copies_column] if copies_column else []))
+    place = Window.partitionBy(key).orderBy(*(F.asc_nulls_first(c) for c in first + rest))
+    return df.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") == 1).drop("_place")
 
 
 def require_columns(df: DataFrame, columns: Iterable[str] = C.CRITICAL_COLUMNS) -> DataFrame:
@@ -91,12 +82,12 @@ def to_silver(bronze: DataFrame, *, on_bad_timestamp: str = "reject") -> DataFra
 
 
 def with_fate(bronze: DataFrame) -> DataFrame:
-    """Every transaction once, rejected or not, with ``copies`` and the ``fate`` the rules give it.
+    """Every transaction once, rejected or not, with the ``fate`` the rules give it.
 
     Its rows whose fate is KEPT are those of ``to_silver``.
     """
     return (
-        bronze.transform(one_copy_each, copies_column="copies")
+        bronze.transform(one_copy_each)
         .transform(standardise_domains)
         .transform(with_transaction_time)
         .withColumn(
@@ -109,18 +100,22 @@ def with_fate(bronze: DataFrame) -> DataFrame:
     )
 
 
-def fate_counts() -> list:
-    """Aggregates over ``with_fate``: how many bronze rows met each fate. They add up to the bronze rows."""
-    return [
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias(C.DUPLICATE),
-        *(
-            F.count_if(F.col("fate") == fate).alias(fate)
-            for fate in (C.CRITICAL_NULL, C.INVALID_AMOUNT, C.BAD_TIMESTAMP, C.KEPT)
-        ),
-    ]
+FATES = (C.CRITICAL_NULL, C.INVALID_AMOUNT, C.BAD_TIMESTAMP, C.KEPT)
+
+
+def fate_counts() -> list[Column]:
+    """Aggregates over ``with_fate``: transactions per fate."""
+    return [F.count_if(F.col("fate") == fate).alias(fate) for fate in FATES]
 
 
 def quality_report(bronze: DataFrame) -> DataFrame:
-    """(reason, rows): what became of the bronze rows, each charged to the first rule it failed."""
-    counts = with_fate(bronze).agg(*fate_counts())
-    return counts.unpivot([], counts.columns, "reason", "rows")
+    """(reason, rows): what became of the bronze rows, each charged to the first rule it failed.
+
+    Rows that met no fate were duplicates. Bronze is read a second time just to count it, which on Parquet takes no
+    column data.
+    """
+    counts = with_fate(bronze).agg(*fate_counts()).unpivot([], list(FATES), "reason", "rows")
+    signed = F.when(F.col("reason").isNull(), F.col("rows")).otherwise(-F.col("rows"))
+    everything = bronze.agg(F.lit(None).cast("string").alias("reason"), F.count(F.lit(1)).alias("rows"))
+    duplicates = everything.unionByName(counts).agg(F.lit(C.DUPLICATE).alias("reason"), F.sum(signed).alias("rows"))
+    return duplicates.unionByName(counts)

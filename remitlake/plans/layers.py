@@ -48,7 +48,7 @@ def run_silver(
     on_bad_timestamp: str = "reject",
     only_months_present: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Write silver by month; return it and the quality report, counted by the same job.
+    """Write silver from stored bronze, by month; return it and the quality report, counted by the same job.
 
     The counts are taken after the last shuffle, in the tasks that write: a task that is run again because an
     executor was lost is counted once.
@@ -63,13 +63,16 @@ def run_silver(
         .transform(cleaning.with_silver_metadata)
     )
     write_by_month(silver, paths.silver, only_months_present=only_months_present)
-    report = spark.createDataFrame(list(fates.get.items()), "reason string, rows bigint")
-    return read_table(spark, paths.silver), report
+    counted = fates.get
+    # Bronze is stored: counting it reads file footers.
+    duplicates = bronze.count() - sum(counted.values())
+    report = [(C.DUPLICATE, duplicates), *counted.items()]
+    return read_table(spark, paths.silver), spark.createDataFrame(report, "reason string, rows bigint")
 
 
 def _kept(fates: DataFrame, on_bad_timestamp: str) -> DataFrame:
     wanted = [C.KEPT] if on_bad_timestamp == "reject" else [C.KEPT, C.BAD_TIMESTAMP]
-    kept = fates.filter(F.col("fate").isin(wanted)).drop("fate", "copies")
+    kept = fates.filter(F.col("fate").isin(wanted)).drop("fate")
     return cleaning.require_transaction_time(kept, on_bad_timestamp)
 
 

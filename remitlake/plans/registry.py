@@ -16,7 +16,7 @@ from remitlake.operators import checks, cleaning, customers, merchants, months,
 from remitlake.operators.ingest import with_ingestion_metadata
 from remitlake.plans import layers, summary
 from remitlake.sources.landing import read_transactions_csv, write_transactions_csv
-from remitlake.sources.layers import LayerPaths, read_table, write_table
+from remitlake.sources.layers import LayerPaths, gathered_by_month, read_table, write_by_month, write_table
 from remitlake.sources.sample_tables import raw_transactions
 from remitlake.sources.shared import fresh_path
 
@@ -54,8 +54,9 @@ def _stored_bronze(spark: SparkSession, sf_dir: str, paths: LayerPaths) -> DataF
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver, _ = layers.run_silver(_bronze(spark, sf_dir), _paths(spark))
-    return silver
+    path = _paths(spark).silver
+    write_by_month(gathered_by_month(_silver(spark, sf_dir)), path)
+    return read_table(spark, path)
 
 
 def _stored_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
@@ -65,6 +66,10 @@ def _stored_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return bronze, silver, layers.run_gold(silver, paths)
 
 
+def silver_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.quality_report(_stored_bronze(spark, sf_dir, _paths(spark)))
+
+
 def bronze_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fresh_path(spark, "landing")
     write_transactions_csv(raw_transactions(spark, sf_dir), landing)
@@ -164,7 +169,7 @@ def queries() -> dict[str, Query]:
         "silver": _of_bronze(cleaning.to_silver),
         "silver_roundtrip": silver_roundtrip,
         "silver_month_pruned_scan": silver_month_pruned_scan,
-        "silver_quality_report": _of_bronze(cleaning.quality_report),
+        "silver_quality_report": silver_quality_report,
         "silver_domains": _of_silver(profile.value_domains),
         # gold: customers
         "customer_core": _of_silver(customers.customer_core),

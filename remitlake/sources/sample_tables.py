@@ -28,12 +28,17 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    # No join hints: sizes grow with the data, so Catalyst and AQE choose by the sizes they see.
-    lines = (
-        table("lineitem")
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # The smaller tables meet first, by whatever join their sizes allow. Line items and orders both grow with the data,
+    # so neither is broadcast: they meet in one shuffle by order key, whose skewed keys AQE may split.
+    placed = (
+        table("orders")
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    lines = (
+        table("lineitem")
+        .hint("merge")
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
