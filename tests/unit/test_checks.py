@@ -1,0 +1,218 @@
+"""Each check passes on good layers and reports a planted violation."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from remitlake.operators import checks, cleaning, profile
+from remitlake.operators.ingest import with_ingestion_metadata
+from remitlake.plans.layers import gold_tables
+from rows import column, raw
+
+
+@pytest.fixture(scope="module")
+def layers(spark):
+    rows = [
+        {
+            "customer_id": f"C{i % 7}",
+            "merchant_id": f"M{i % 3}",
+            "amount": 100.25 * (i + 1),
+            "transaction_date": f"2025-{i % 5 + 1:02d}-03",
+            "is_flagged": i % 4 == 0,
+            "status": "completed" if i % 3 else "failed",
+        }
+        for i in range(40)
+    ]
+    bronze = with_ingestion_metadata(raw(spark, *rows), "f.csv").cache()
+    silver = cleaning.to_silver(bronze).cache()
+    return bronze, silver, {name: t.cache() for name, t in gold_tables(silver).items()}
+
+
+def failed(df):
+    assert df.columns == ["check_name", "expected", "actual", "passed"]
+    return {r.check_name: (r.expected, r.actual) for r in df.collect() if not r.passed}
+
+
+def with_gold(gold, **replaced):
+    return {**gold, **replaced}
+
+
+def change(df, where, **values):
+    """Overwrite columns of the rows that meet a condition."""
+    met = F.expr(where)
+    return df.withColumns({c: F.when(met, F.lit(v)).otherwise(F.col(c)) for c, v in values.items()})
+
+
+def test_good_layers_pass_every_check(layers):
+    bronze, silver, gold = layers
+    report = cleaning.quality_report(bronze)
+    for result in (
+        checks.key_uniqueness(silver, gold),
+        checks.null_counts(*layers),
+        checks.domains(*layers),
+        checks.ranges(silver, gold),
+        checks.business_rules(gold),
+        checks.running_total(gold["monthly_trends"]),
+        checks.first_month(gold["monthly_trends"]),
+        checks.orphans(*layers),
+        checks.totals(silver, gold["customer_summary"], gold["monthly_trends"]),
+        checks.row_accounting(bronze, silver, report),
+    ):
+        assert result.count() > 0
+        assert failed(result) == {}
+
+
+def test_repeated_keys(layers):
+    _, silver, gold = layers
+    twice = {name: table.union(table) for name, table in gold.items()}
+    assert failed(checks.key_uniqueness(silver.union(silver), twice)) == {
+        "silver_transaction_id": (0, 40),
+        "customer_summary_customer_id": (0, 7),
+        "merchant_analytics_key": (0, 3),
+        "monthly_trends_month": (0, 5),
+    }
+
+
+def test_nulls(layers):
+    bronze, silver, gold = layers
+    silver = change(silver, "transaction_id = 'T1'", customer_id=None, transaction_timestamp=None)
+    gold = with_gold(gold, merchant_analytics=gold["merchant_analytics"].withColumn("merchant_category", F.lit(None)))
+    bronze = change(bronze, "transaction_id <= 'T10'", ingestion_timestamp=None)
+    assert failed(checks.null_counts(bronze, silver, gold)) == {
+        "bronze_ingestion_timestamp_null": (0, 2),
+        "silver_customer_id_null": (0, 1),
+        "silver_transaction_timestamp_null": (0, 1),
+        "merchant_analytics_merchant_category_null": (0, 3),
+    }
+
+
+def test_domains(layers):
+    bronze, silver, gold = layers
+    silver = change(silver, "transaction_id = 'T1'", currency="JPY", channel=None, status="odd", pipeline_layer="bronze")
+    gold = with_gold(
+        gold,
+        customer_summary=change(gold["customer_summary"], "customer_id = 'C1'", customer_segment="Gold"),
+        merchant_analytics=change(gold["merchant_analytics"], "merchant_id = 'M1'", merchant_risk_flag=None),
+    )
+    bronze = change(bronze, "transaction_id = 'T1'", pipeline_layer="raw")
+    assert set(failed(checks.domains(bronze, silver, gold))) == {
+        "bronze_pipeline_layer_outside",
+        "silver_currency_outside",
+        "silver_channel_outside",
+        "silver_status_outside",
+        "silver_pipeline_layer_outside",
+        "customer_summary_customer_segment_outside",
+        "merchant_analytics_merchant_risk_flag_outside",
+    }
+
+
+def test_ranges(layers):
+    _, silver, gold = layers
+    silver = change(silver, "transaction_id in ('T1', 'T2')", amount=0.0)
+    gold = with_gold(
+        gold,
+        customer_summary=change(gold["customer_summary"], "customer_id = 'C1'", fraud_risk_score=100.5),
+        merchant_analytics=gold["merchant_analytics"].withColumn("rank_in_category", F.lit(2)),
+    )
+    assert failed(checks.ranges(silver, gold)) == {
+        "silver_amount_not_positive": (0, 2),
+        "fraud_risk_score_outside_0_100": (0, 1),
+        "category_without_rank_1": (0, 1),
+    }
+
+
+def test_business_rules(layers):
+    gold = layers[2]
+    gold = with_gold(
+        gold,
+        customer_summary=change(gold["customer_summary"], "customer_id = 'C1'", customer_segment="Premium"),
+        merchant_analytics=change(
+            gold["merchant_analytics"], "merchant_id = 'M1'", merchant_risk_flag="High Risk", flagged_transactions=0
+        ),
+    )
+    assert set(failed(checks.business_rules(gold))) == {"premium_below_floor", "high_risk_at_or_below_floor"}
+
+
+def test_running_total(layers):
+    trends = layers[2]["monthly_trends"]
+    assert set(failed(checks.running_total(change(trends, "transaction_month = '2025-05'", running_total_volume=1.0)))) == {
+        "running_total_falls",
+        "final_running_total",
+    }
+
+
+def test_first_month(layers):
+    trends = layers[2]["monthly_trends"]
+    broken = change(trends, "transaction_month = '2025-01'", mom_volume_growth_pct=1.0)
+    broken = change(broken, "transaction_month = '2025-03'", prev_month_volume=1.0)
+    assert failed(checks.first_month(broken)) == {
+        "first_month_with_growth": (0, 1),
+        "month_without_its_predecessor": (0, 1),
+    }
+
+
+def test_orphans(layers):
+    bronze, silver, gold = layers
+    bronze = bronze.filter("transaction_id <> 'T7'")
+    silver = change(silver, "true", merchant_id="other").filter("transaction_month <> '2025-02' and customer_id <> 'C0'")
+    silver = silver.union(change(layers[1], "true", customer_id="C1", merchant_id="other").filter("transaction_id = 'T7'"))
+    # T7 fell in month 2.
+    assert failed(checks.orphans(bronze, silver, gold)) == {
+        "silver_transactions_not_in_bronze": (0, 1),
+        "customers_not_in_silver": (0, 1),
+        "merchants_not_in_silver": (0, 3),
+    }
+    no_may = layers[1].filter("transaction_month <> '2025-05'")
+    assert failed(checks.orphans(layers[0], no_may, gold)) == {"months_not_in_silver": (0, 1)}
+
+
+def test_totals(layers):
+    _, silver, gold = layers
+    customers, months = gold["customer_summary"], gold["monthly_trends"]
+    assert set(failed(checks.totals(silver, customers.filter("customer_id <> 'C1'"), months))) == {
+        "volume_in_customers",
+        "flagged_in_customers",
+        "completed_in_customers",
+    }
+    assert set(failed(checks.totals(silver, customers, months.filter("transaction_month <> '2025-01'")))) == {
+        "volume_in_months",
+        "transactions_in_months",
+        "final_running_total",
+    }
+
+
+def test_row_accounting(layers):
+    bronze, silver, _ = layers
+    report = cleaning.quality_report(bronze)
+    assert failed(checks.row_accounting(bronze.union(bronze), silver.limit(39), report)) == {
+        "bronze_rows_explained": (80, 40),
+        "rows_kept": (39, 40),
+    }
+
+
+def test_raw_profile(spark):
+    df = raw(
+        spark,
+        {"transaction_id": "A"},
+        {"transaction_id": "A"},
+        {"transaction_id": "A"},
+        {"transaction_id": "B", "channel": None, "amount": None, "is_flagged": True},
+        {"transaction_id": "B", "channel": None, "amount": None, "is_flagged": True},
+        {"transaction_id": "C", "is_flagged": None},
+    )
+    assert profile.raw_profile(df).first().asDict() == {
+        "total_records": 6,
+        "null_values": 5,
+        "duplicate_rows": 3,
+        "flagged_transactions": 2,
+    }
+
+
+def test_value_domains(spark):
+    found = profile.value_domains(cleaning.to_silver(raw(spark, {}, {"currency": None}, {"channel": "ATM"})))
+    assert column(found, "rows", ("column", "value")) == {
+        ("currency", "GBP"): 2,
+        ("currency", "unknown"): 1,
+        ("channel", "online"): 2,
+        ("channel", "ATM"): 1,
+        ("status", "completed"): 3,
+    }
