@@ -109,11 +109,6 @@ def _of_silver(step: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: _shown(step(_silver(spark, sf_dir)))
 
 
-def _of_stored_silver(step: Callable[[DataFrame], DataFrame]) -> Query:
-    """For steps that read silver more than once."""
-    return lambda spark, sf_dir: _shown(step(_stored_silver(spark, sf_dir)))
-
-
 def _of_months(step: Callable[[DataFrame], DataFrame]) -> Query:
     return _of_silver(lambda silver: step(months.monthly_trends(silver)))
 
@@ -122,6 +117,15 @@ def _of_layers(step: Callable[[DataFrame, DataFrame, dict[str, DataFrame]], Data
     return lambda spark, sf_dir: step(*_stored_layers(spark, sf_dir))
 
 
+def _figures(silver: DataFrame) -> dict[str, DataFrame]:
+    """The gold tables without the columns that only a join or a ranking can give."""
+    return {
+        "customer_summary": customers.segment(customers.customer_core(silver)),
+        "merchant_analytics": merchants.risk_flag(merchants.merchant_core(silver)),
+        "monthly_trends": months.monthly_core(silver),
+    }
+
+
 def _has_ingestion_timestamp(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("has_ingestion_timestamp", F.col("ingestion_timestamp").isNotNull())
 
@@ -189,7 +193,7 @@ def queries() -> dict[str, Query]:
         "customer_segment": _of_silver(
             lambda silver: customers.segment(customers.customer_core(silver)).select("customer_id", "customer_segment")
         ),
-        "customer_summary": _of_stored_silver(customers.customer_summary),
+        "customer_summary": _of_silver(customers.customer_summary),
         # gold: merchants
         "merchant_core": _of_silver(merchants.merchant_core),
         "merchant_rank": _of_silver(
@@ -214,10 +218,8 @@ def queries() -> dict[str, Query]:
         "monthly_trends": _of_silver(months.monthly_trends),
         "gold_roundtrip": gold_roundtrip,
         # summary and samples
-        "kpi_summary": _of_stored_silver(lambda silver: summary.kpi_summary(layers.gold_tables(silver))),
-        "sample_customers": _of_stored_silver(
-            lambda silver: summary.sample_customers(customers.customer_summary(silver))
-        ),
+        "kpi_summary": _of_silver(lambda silver: summary.kpi_summary(_figures(silver))),
+        "sample_customers": _of_silver(lambda silver: summary.sample_customers(customers.customer_summary(silver))),
         "sample_merchants": _of_silver(lambda silver: summary.sample_merchants(merchants.merchant_analytics(silver))),
         "sample_months": _of_months(summary.sample_months),
         # quality and reconciliation
@@ -225,7 +227,7 @@ def queries() -> dict[str, Query]:
         "dq_null_counts": _of_layers(checks.null_counts),
         "dq_domains": _of_layers(checks.domains),
         "dq_ranges": _of_layers(lambda bronze, silver, gold: checks.ranges(silver, gold)),
-        "dq_business_rules": _of_stored_silver(lambda silver: checks.business_rules(layers.gold_tables(silver))),
+        "dq_business_rules": _of_silver(lambda silver: checks.business_rules(_figures(silver))),
         "dq_running_total": _of_months(checks.running_total),
         "dq_first_month": _of_months(checks.first_month),
         "recon_orphans": _of_layers(checks.orphans),

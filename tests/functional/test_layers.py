@@ -135,3 +135,13 @@ def test_failing_on_a_bad_time_stops_the_run(spark, tmp_path):
     with pytest.raises(Exception, match="unreadable transaction time"):
         run_silver(bronze, paths, on_bad_timestamp="fail")
     assert run_silver(bronze, paths)[0].count() == 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from remitlake.__main__ import main
+
+    write_transactions_csv(raw(spark, {}, {"transaction_time": "late"}), str(tmp_path / "in"))
+    main([str(tmp_path / "in"), str(tmp_path / "base")])
+    shown = capsys.readouterr().out
+    assert "bad_timestamp" in shown and "£10.00" in shown
+    assert read_table(spark, LayerPaths(str(tmp_path / "base")).silver).count() == 1

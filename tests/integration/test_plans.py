@@ -61,6 +61,22 @@ def test_gold_reads_only_its_columns(stored):
     assert all("transaction_timestamp" not in s for s in scanned(text))
 
 
+def test_hot_keys_are_spread_over_their_distinct_values_first(stored):
+    silver = stored[1]
+    exchanges = [
+        re.findall(r"Arguments: hashpartitioning\((.*?), \d+\)", plan(df))
+        for df in (merchants.merchant_core(silver), customers.customer_core(silver), months.monthly_core(silver))
+    ]
+    for found, spread_by in zip(exchanges, ("customer_id", "merchant_id", "customer_id")):
+        assert len(found) == 2 and any(spread_by in keys and "," in keys for keys in found)
+
+
+def test_silver_is_shuffled_once_for_both_sides_of_the_customer_join(spark, sf_dir):
+    summary = registry.queries()["customer_summary"](spark, sf_dir)
+    summary.collect()
+    assert "ReusedExchange" in plan(summary)
+
+
 def test_counting_bronze_reads_no_column(stored):
     assert "ReadSchema: struct<>" in plan(stored[0].groupBy().count())
 
