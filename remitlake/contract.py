@@ -74,5 +74,3 @@ CRITICAL_NULL = "critical_null"
 INVALID_AMOUNT = "invalid_amount"
 BAD_TIMESTAMP = "bad_timestamp"
 KEPT = "kept"
-
-GOLD_TABLES = ("customer_summary", "merchant_analytics", "monthly_trends")

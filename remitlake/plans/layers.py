@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from remitlake.operators.merchants import merchant_analytics
 from remitlake.operators.months import monthly_trends
 from remitlake.plans.summary import kpi_summary
 from remitlake.sources.landing import read_transactions_csv
-from remitlake.sources.layers import LayerPaths, gathered_by_month, read_table, write_by_month, write_table
+from remitlake.sources.layers import LayerPaths, gathered_by_month, write_by_month, write_table
 
 
 @dataclass(frozen=True)
@@ -27,18 +29,20 @@ class Layers:
     kpis: DataFrame
 
 
+GOLD = {
+    "customer_summary": customer_summary,
+    "merchant_analytics": merchant_analytics,
+    "monthly_trends": monthly_trends,
+}
+
+
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "customer_summary": customer_summary(silver),
-        "merchant_analytics": merchant_analytics(silver),
-        "monthly_trends": monthly_trends(silver),
-    }
+    return {name: build(silver) for name, build in GOLD.items()}
 
 
 def run_bronze(spark: SparkSession, source: str, paths: LayerPaths, *, strict_header: bool = False) -> DataFrame:
     raw = read_transactions_csv(spark, source, strict_header=strict_header)
-    write_table(with_ingestion_metadata(raw, source), paths.bronze)
-    return read_table(spark, paths.bronze)
+    return write_table(with_ingestion_metadata(raw, source), paths.bronze)
 
 
 def run_silver(
@@ -53,7 +57,6 @@ def run_silver(
     The counts are taken after the last shuffle, in the tasks that write: a task that is run again because an
     executor was lost is counted once.
     """
-    spark = bronze.sparkSession
     fates = Observation()
     silver = (
         cleaning.with_fate(bronze)
@@ -62,12 +65,12 @@ def run_silver(
         .transform(_kept, on_bad_timestamp)
         .transform(cleaning.with_silver_metadata)
     )
-    write_by_month(silver, paths.silver, only_months_present=only_months_present)
+    stored = write_by_month(silver, paths.silver, only_months_present=only_months_present)
     counted = fates.get
     # Bronze is stored: counting it reads file footers.
     duplicates = bronze.count() - sum(counted.values())
     report = [(C.DUPLICATE, duplicates), *counted.items()]
-    return read_table(spark, paths.silver), spark.createDataFrame(report, "reason string, rows bigint")
+    return stored, bronze.sparkSession.createDataFrame(report, "reason string, rows bigint")
 
 
 def _kept(fates: DataFrame, on_bad_timestamp: str) -> DataFrame:
@@ -77,10 +80,14 @@ def _kept(fates: DataFrame, on_bad_timestamp: str) -> DataFrame:
 
 
 def run_gold(silver: DataFrame, paths: LayerPaths) -> dict[str, DataFrame]:
-    spark = silver.sparkSession
-    for name, table in gold_tables(silver).items():
-        write_table(table, paths.gold(name))
-    return {name: read_table(spark, paths.gold(name)) for name in C.GOLD_TABLES}
+    """The tables do not depend on each other: they are submitted together, so that one fills the slots another
+    leaves idle."""
+
+    def build(name: str) -> DataFrame:
+        return write_table(GOLD[name](silver), paths.gold(name))
+
+    with ThreadPoolExecutor(len(GOLD)) as pool:
+        return dict(zip(GOLD, pool.map(inheritable_thread_target(silver.sparkSession)(build), GOLD)))
 
 
 def run_layers(spark: SparkSession, source: str, base_path: str, **silver_options) -> Layers:

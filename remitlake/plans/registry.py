@@ -16,7 +16,7 @@ from remitlake.operators import checks, cleaning, customers, merchants, months,
 from remitlake.operators.ingest import with_ingestion_metadata
 from remitlake.plans import layers, summary
 from remitlake.sources.landing import read_transactions_csv, write_transactions_csv
-from remitlake.sources.layers import LayerPaths, gathered_by_month, read_table, write_by_month, write_table
+from remitlake.sources.layers import LayerPaths, gathered_by_month, write_by_month, write_table
 from remitlake.sources.sample_tables import raw_transactions
 from remitlake.sources.shared import fresh_path
 
@@ -49,14 +49,11 @@ def _paths(spark: SparkSession) -> LayerPaths:
 
 
 def _stored_bronze(spark: SparkSession, sf_dir: str, paths: LayerPaths) -> DataFrame:
-    write_table(_bronze(spark, sf_dir), paths.bronze)
-    return read_table(spark, paths.bronze)
+    return write_table(_bronze(spark, sf_dir), paths.bronze)
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _paths(spark).silver
-    write_by_month(gathered_by_month(_silver(spark, sf_dir)), path)
-    return read_table(spark, path)
+    return write_by_month(gathered_by_month(_silver(spark, sf_dir)), _paths(spark).silver)
 
 
 def _stored_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
@@ -89,9 +86,7 @@ def silver_month_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _paths(spark).gold("monthly_trends")
-    write_table(months.monthly_trends(_silver(spark, sf_dir)), path)
-    return read_table(spark, path)
+    return write_table(months.monthly_trends(_silver(spark, sf_dir)), _paths(spark).gold("monthly_trends"))
 
 
 # --- queries over one derived frame ------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 MONTH = "transaction_month"
 
@@ -27,13 +28,14 @@ class LayerPaths:
         return f"{self.base}/gold/{table}"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace the whole directory."""
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace the whole directory; returns what was written."""
     df.write.mode("overwrite").parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 def gathered_by_month(df: DataFrame) -> DataFrame:
@@ -45,7 +47,11 @@ def gathered_by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", MONTH)
 
 
-def write_by_month(df: DataFrame, path: str, *, only_months_present: bool = False) -> None:
-    """One directory per month. Replaces everything, or with ``only_months_present`` just the months in df."""
+def write_by_month(df: DataFrame, path: str, *, only_months_present: bool = False) -> DataFrame:
+    """One directory per month; returns the table as it then is.
+
+    Replaces everything, or with ``only_months_present`` just the months in df.
+    """
     mode = "dynamic" if only_months_present else "static"
     df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH).parquet(path)
+    return read_table(df.sparkSession, path, df.schema)

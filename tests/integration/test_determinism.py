@@ -9,7 +9,9 @@ from remitlake.sources.sample_tables import raw_transactions
 
 @pytest.fixture(scope="module")
 def raw(spark, sf_dir):
-    return raw_transactions(spark, sf_dir).cache()
+    cached = raw_transactions(spark, sf_dir).cache()
+    yield cached
+    cached.unpersist()
 
 
 def tables(raw):

@@ -28,7 +28,10 @@ def layers(spark, sf_dir, tmp_path_factory):
     write_table(with_ingestion_metadata(raw.union(hot_payments).union(copies), "f"), paths.bronze)
     bronze = read_table(spark, paths.bronze)
     silver, report = run_silver(bronze, paths)
-    return bronze, silver, report, {n: t.cache() for n, t in gold_tables(silver).items()}
+    gold = {n: t.cache() for n, t in gold_tables(silver).items()}
+    yield bronze, silver, report, gold
+    for table in gold.values():
+        table.unpersist()
 
 
 def test_nothing_is_lost(layers):

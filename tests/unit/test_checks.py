@@ -24,7 +24,10 @@ def layers(spark):
     ]
     bronze = with_ingestion_metadata(raw(spark, *rows), "f.csv").cache()
     silver = cleaning.to_silver(bronze).cache()
-    return bronze, silver, {name: t.cache() for name, t in gold_tables(silver).items()}
+    gold = {name: t.cache() for name, t in gold_tables(silver).items()}
+    yield bronze, silver, gold
+    for table in (bronze, silver, *gold.values()):
+        table.unpersist()
 
 
 def failed(df):
