@@ -1,38 +1,58 @@
 """Intermediate results that must outlive an executor.
 
-They go to the folder the cluster names in ``spark.checkpoint.dir``, which every executor can reach.
+They go to the folder the cluster names in ``spark.checkpoint.dir``, which every executor can reach; where none is
+named, to a folder below the session's warehouse. Each session writes to a folder of its own there, and the file
+system removes that folder when the session's JVM ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
+_RUN = uuid.uuid4().hex
 
 
 def shared_folder(spark: SparkSession) -> str:
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get(_SETTING, None)
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    # One machine, nothing set: tests and trials.
-    made = tempfile.mkdtemp(prefix="remitlake-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+        return named.rstrip("/")
+    warehouse = spark.conf.get(_WAREHOUSE, None)
+    if warehouse:
+        return f"{warehouse.rstrip('/')}/_intermediate"
+    raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This session's own folder, made when first asked for and removed at the end of the JVM."""
+    folder = f"{shared_folder(spark)}/remitlake-{spark.sparkContext.applicationId}-{_RUN}"
+    files, where = _hadoop(spark, folder)
+    if not files.exists(where):
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/remitlake/{uuid.uuid4().hex}/{name}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove what was written to a path of ``fresh_path``, once nothing reads it any more."""
+    files, where = _hadoop(spark, path)
+    files.delete(where.getParent(), True)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and stored. For small results that several branches read."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The same rows, computed once, written as Parquet to the shared folder and read from there."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

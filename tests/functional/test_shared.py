@@ -1,32 +1,22 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from remitlake.sources import shared
 
+ROOT = Path(__file__).resolve().parents[2]
 
-class _Conf:
-    def __init__(self, value):
-        self.value = value
 
+class _Conf(dict):
     def get(self, key, default=None):
-        return self.value if key == "spark.checkpoint.dir" and self.value else default
-
-
-class _Context:
-    def __init__(self, master):
-        self.master = master
-        self.folder = None
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+        return dict.get(self, key, default)
 
 
 class _Session:
-    def __init__(self, named=None, master="spark://cluster:7077"):
-        self.conf = _Conf(named)
-        self.sparkContext = _Context(master)
+    def __init__(self, **conf):
+        self.conf = _Conf({k.replace("_", "."): v for k, v in conf.items()})
 
 
 def test_the_folder_the_session_names_is_used(spark):
@@ -35,18 +25,32 @@ def test_the_folder_the_session_names_is_used(spark):
     assert shared.fresh_path(spark, "x") != shared.fresh_path(spark, "x")
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
+def test_without_a_named_folder_the_warehouse_is_used_whatever_the_master():
+    assert shared.shared_folder(_Session(spark_checkpoint_dir="hdfs:///shared/")) == "hdfs:///shared"
+    assert shared.shared_folder(_Session(spark_sql_warehouse_dir="hdfs:///house")) == "hdfs:///house/_intermediate"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared.shared_folder(_Session())
-    assert shared.shared_folder(_Session("hdfs:///shared")) == "hdfs:///shared"
-
-
-def test_one_machine_gets_a_folder_of_its_own():
-    session = _Session(master="local[2]")
-    folder = shared.shared_folder(session)
-    assert folder and shared.shared_folder(session) == folder
 
 
-def test_settled_rows_are_the_same_rows(spark):
-    df = shared.settled(spark.range(1000).withColumnRenamed("id", "n"))
+def test_stored_rows_are_the_same_rows_until_they_are_discarded(spark):
+    df = shared.stored(spark.range(1000).withColumnRenamed("id", "n"))
     assert sorted(r.n for r in df.collect()) == list(range(1000))
+    path = shared.fresh_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    shared.discard(spark, path)
+    assert not Path(path).exists()
+
+
+def test_the_folder_is_gone_after_the_session(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from remitlake.sources.shared import stored\n"
+        f"s = SparkSession.builder.master('local[1]').config('spark.checkpoint.dir', '{tmp_path}/shared')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', stored(s.range(7)).count())\n"
+        "import os; print('DURING', sum(f.startswith('remitlake-') for f in os.listdir(s.conf.get('spark.checkpoint.dir'))))\n"
+        "s.stop()\n"
+    )
+    said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120).stdout
+    assert "ROWS 7" in said and "DURING 1" in said
+    assert not list((tmp_path / "shared").glob("remitlake-*"))
