@@ -57,6 +57,3 @@ def with_rank_desc(df: DataFrame, group: str, value: str, alias: str) -> DataFra
     same = df[group].eqNullSafe(F.col("_group")) & df[value].eqNullSafe(F.col("_value"))
     return df.join(ranks, same).select(*[df[c] for c in df.columns], alias)
 
-
-def rank_in_category(core: DataFrame) -> DataFrame:
-    return with_rank_desc(core, "merchant_category", "total_revenue", "rank_in_category")
