@@ -1,22 +1,59 @@
-"""From raw documents to shards: five stages, each of which works on what the one before has kept."""
+"""From raw documents to shards: five stages, each of which works on what the one before has kept.
+
+A stage takes (spark, docs, sf_dir) and returns documents; each is stored in the shared folder before the next reads it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlake.llm import ngram_join
+from remitlake.llm import decontaminate, mixing, ngram_join, sharding, toxicity
 from remitlake.sources.shared import stored
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity reaches the threshold go. The lexicon is learned from ``labels``."""
+    score = toxicity.scorer(toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    scored = docs.withColumn("_toxicity", score(F.col("text").cast("string")))
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share most of their word shingles the one with the least id stays."""
-    classes = ngram_join.jaccard_classes(docs).where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
+    """Of documents that links of shared word shingles bring together the one with the least id stays, once.
+
+    Documents without an id have nothing to be told apart by and stay.
+    """
+    classes = ngram_join.jaccard_classes(docs)
+    firsts = classes.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the order of the curriculum, each as often as its source's target takes it."""
+    return mixing.in_training_order(docs).select(*docs.columns)
+
+
+def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every row: (doc_id, size, text_crc32, shard, slot)."""
+    return sharding.shard_plan(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("near copies", keep_one_of_near_copies),
+    ("benchmark decontamination", drop_benchmark),
+    ("mixing", mix_sources),
+    ("sharding", cut_shards),
 ]
 
 #: Learned scores and greedy tiling are beyond SQL; the stages are tested against brute force instead.

@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlake.llm.components import components
-from remitlake.llm.text import shingle_sets
+from remitlake.llm.members import marked
+from remitlake.llm.text import at_rest, shingle_sets
 from remitlake.sources.shared import stored
 
 WORDS = 5
@@ -37,7 +38,7 @@ COMMON_FROM = 16
 #: Entries of the matrix in a block of columns, and pairs settled by one task around one node.
 BLOCK_ENTRIES = 500_000
 PAIRS_PER_TASK = 512
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 
 
 def _node(grams: np.ndarray) -> int:
@@ -65,12 +66,15 @@ def _profile(words: int):
                 if entries >= _FLUSH:
                     yield common(held)
                     held, entries = [], 0
+                    at_rest()
             nulls = pa.nulls(len(sizes), pa.int64())
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), nulls, nulls], schema=schema
             )
         if held:
             yield common(held)
+        del held
+        at_rest()
 
     return run
 
@@ -101,7 +105,7 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
                 if not len(grams) or (node := _node(grams)) in seen:
                     continue
                 seen.add(node)
-                late = np.isin(grams, common) if len(common) else np.zeros(len(grams), bool)
+                late = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams if len(common) else np.zeros(len(grams), bool)
                 keep = len(grams) - -(-percent * len(grams) // 100) + 1
                 nodes.append(node)
                 sizes.append(len(grams))
@@ -112,13 +116,15 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
                     nodes, sizes, held, entries, seen = [], [], [], 0, set()
         if held:
             yield flush(nodes, sizes, held)
+        del held
+        at_rest()
 
     return run
 
 
 def _stars(percent: int):
-    """The columns of one block: (node, hub) for each node of a column beside its first, and all entries of such columns."""
-    schema = pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("hub", pa.int64())])
+    """The columns of one block: for each node beside the first of a column (node, hub, columns), and all entries of such columns."""
+    schema = pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("hub", pa.int64()), ("hub_size", pa.int32()), ("columns", pa.int32())])
 
     def read(table: pa.Table, column: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
@@ -148,38 +154,49 @@ def _stars(percent: int):
             hub = np.maximum.accumulate(np.where(starts, np.arange(len(g)), 0))
             near = 100 * s[hub].astype(np.int64) >= percent * s.astype(np.int64)
             leaf = near & ~starts
-            pairs.append(np.stack([x[leaf], x[hub[leaf]]], axis=1))
+            pairs.append(np.stack([x[leaf], x[hub[leaf]], s[leaf], s[hub[leaf]]], axis=1))
             g, x, s = g[~near], x[~near], s[~near]
-        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        n, m = len(grams), len(pairs)
-        return pa.table(
-            [
-                pa.concat_arrays([pa.array(grams.view(np.int64)), pa.nulls(m, pa.int64())]),
-                pa.array(np.concatenate([node, pairs[:, 0]])),
-                pa.concat_arrays([pa.array(size), pa.nulls(m, pa.int32())]),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(np.ascontiguousarray(pairs[:, 1]))]),
-            ],
-            schema=schema,
-        )
+        pairs, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True) if pairs else (np.zeros((0, 4), np.int64), np.zeros(0, np.int64))
+        entries = [grams.view(np.int64), node, size, None, None, None]
+        ties = [None, pairs[:, 0], pairs[:, 2], pairs[:, 1], pairs[:, 3], times]
+
+        def column(upper: np.ndarray | None, lower: np.ndarray | None, kind: pa.DataType) -> pa.Array:
+            parts = [pa.nulls(n, kind) if values is None else pa.array(np.ascontiguousarray(values)).cast(kind) for values, n in ((upper, len(grams)), (lower, len(pairs)))]
+            return pa.concat_arrays(parts)
+
+        return pa.table([column(a, b, f.type) for a, b, f in zip(entries, ties, schema, strict=True)], schema=schema)
 
     return run
 
 
+_SETS = "y long, part int, x long, grams binary"
+
+
 def _whole_sets(words: int):
-    schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
+    """The set of each text to every place where it is compared: x is null where it is the hub."""
+
+    def rows(held: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=["y", "part", "x", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, held = [], 0
-            for grams in shingle_sets(batch.column("text"), words):
-                if len(grams):
-                    out.append((_node(grams), grams.tobytes()))
-                    held += grams.nbytes
-                if held > 1 << 24:
-                    yield pa.record_batch([pa.array(x) for x in zip(*out, strict=True)], schema=schema)
-                    out, held = [], 0
-            if out:
-                yield pa.record_batch([pa.array(x) for x in zip(*out, strict=True)], schema=schema)
+            nodes, places = (batch.column(c).to_pylist() for c in ("node", "places"))
+            held, size = [], 0
+            for node, wanted, grams in zip(nodes, places, shingle_sets(batch.column("text"), words), strict=True):
+                if _node(grams) != node:  # another text under the same id
+                    continue
+                blob = grams.tobytes()
+                for place in wanted:
+                    held.append((place["y"], place["part"], place["x"], blob))
+                    size += len(blob)
+                    if size > 1 << 22:
+                        yield rows(held)
+                        held, size = [], 0
+            if held:
+                yield rows(held)
+            del held
+            at_rest()
 
     return run
 
@@ -209,21 +226,23 @@ def _settle(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (x, y) whose whole sets are similar. A node y of many pairs is shared out over tasks."""
+def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (x, y) whose whole sets are similar. A node y of many pairs is shared out over tasks.
+
+    ``owners`` says which document to take a node's set from. Only those documents are shuffled.
+    """
     parts = pairs.groupBy("y").agg((F.count(F.lit(1)) / PAIRS_PER_TASK + 1).cast("int").alias("parts"))
-    sets = sets.select(F.col("node"), "grams")
-    hubs = (
-        parts.join(sets, parts["y"] == sets["node"])
-        .select("y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("x"), "grams")
-    )
-    leaves = (
-        pairs.join(parts, "y")
-        .join(sets, F.col("x") == sets["node"])
-        .select("y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "x", "grams")
-    )
+    none = F.lit(None).cast("long")
+    hubs = parts.select(F.col("y").alias("node"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), none.alias("x"))
+    leaves = pairs.join(parts, "y").select(F.col("x").alias("node"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "x")
+    places = hubs.unionAll(leaves).groupBy("node").agg(F.collect_list(F.struct("y", "part", "x")).alias("places"))
+    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
     return (
-        hubs.unionAll(leaves)
+        marked(texts, "doc_id", places, "wanted")
+        .where("wanted")
+        .join(places, "doc_id")
+        .select("text", "node", "places")
+        .mapInArrow(_whole_sets(words), _SETS)
         .repartition("y", "part")
         .sortWithinPartitions("y", "part", F.asc_nulls_first("x"))
         .select("y", "x", "grams")
@@ -231,14 +250,24 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _least_shared(a: Column, b: Column, percent: int) -> Column:
+    """Columns that the prefixes of two similar sets of these sizes share at least.
+
+    The sets share ``percent * (a + b) / (100 + percent)`` columns. Of the set whose prefix ends first in the order, all
+    that is shared beyond the prefixes lies beyond its own, which leaves ``ceil(percent * n / 100) - 1``.
+    """
+    shared = F.ceil(percent * (a + b).cast("long") / (100 + percent))
+    return shared - F.ceil(percent * F.greatest(a, b).cast("long") / 100) + 1
+
+
 def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text).
 
     Two documents are linked when 100 * intersection >= percent * union of their shingle sets; component_id is the
     least doc_id that links reach. Words are lower-cased in A-Z only. A null, empty or white text has no shingles, is
     linked with nothing and is its own component; a text of fewer words than a shingle is one shingle. Repeated rows
-    each come out, with the same component. A row without doc_id takes part; its component is null if it has no
-    other member with an id. An empty table gives no rows; other columns are not looked at.
+    each come out, with the same component. A row without doc_id is linked with the rows of the very same set only, and
+    its component is null if none of them has an id. An empty table gives no rows; other columns are not looked at.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = stored(texts.mapInArrow(_profile(words), "doc_id long, n long, node long, gram long, docs long"), "profile")
@@ -256,20 +285,18 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
             "block int, nodes binary, sizes binary, counts binary, grams binary",
         )
         .groupBy("block")
-        .applyInArrow(_stars(percent), "gram long, node long, size int, hub long"),
+        .applyInArrow(_stars(percent), "gram long, node long, size int, hub long, hub_size int, columns int"),
         "columns",
     )
-    stars = met.where("hub is not null").select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct()
     columns = met.where("hub is null").select("gram", "node", "size")
-
-    # One document for each node that meets another.
-    owners = profile.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = columns.select("node").distinct().join(owners, "node").select("doc_id").distinct()
-    sets = stored(
-        texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_whole_sets(words), "node long, grams binary"),
-        "sets",
-    )
-    links = stored(_linked(stars, sets, percent), "links")
+    owners = profile.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+
+    # Each node to the hub it has most columns with, where these alone may be enough. This finds most links cheaply;
+    # the product below finds the others.
+    ties = met.where("hub is not null").groupBy("node", "size", "hub", "hub_size").agg(F.sum("columns").alias("columns"))
+    ties = ties.where(F.col("columns") >= _least_shared(F.col("size"), F.col("hub_size"), percent))
+    stars = ties.groupBy(F.col("node").alias("x")).agg(F.max_by("hub", F.struct("columns", "hub")).alias("y"))
+    links = stored(_linked(stars, texts, owners, words, percent), "links")
     classes = components(links, "x", "y")
 
     # Columns on which several classes still meet.
@@ -278,18 +305,16 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     mixed_columns = placed.groupBy("gram").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("gram")
     left = placed.join(mixed_columns, "gram", "left_semi")
     right = left.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "class")])
-    needed = F.ceil(percent * (F.col("size") + F.col("size2")) / (100 + percent))
-    unseen = F.ceil(percent * F.greatest("size", "size2") / 100) - 1
     pairs = (
         left.join(right, "gram")
         .where("class <> class2 and node < node2")
         .where(100 * F.least("size", "size2") >= percent * F.greatest("size", "size2"))
         .groupBy("node", "node2", "size", "size2")
         .agg(F.count(F.lit(1)).alias("shared"))
-        .where(F.col("shared") >= needed - unseen)
+        .where(F.col("shared") >= _least_shared(F.col("size"), F.col("size2"), percent))
         .select(F.col("node").alias("x"), F.col("node2").alias("y"))
     )
-    more = _linked(pairs.join(stars, ["x", "y"], "left_anti"), sets, percent)
+    more = _linked(stored(pairs, "pairs"), texts, owners, words, percent)
     classes = components(stored(links.unionByName(more), "links"), "x", "y")
 
     rows = profile.select("doc_id", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")

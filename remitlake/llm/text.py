@@ -6,6 +6,8 @@ longer, that text. Words are ``[^\\x20\\x09-\\x0D]+``; white space is ASCII, so
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -46,6 +48,13 @@ def _powers_to(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def at_rest() -> None:
+    """Give memory that is free back to the system: workers stay alive between tasks, and executors share a budget."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Piece(NamedTuple):
     """Some texts of a batch: ``first`` is the row of the first of them, text i is data[offsets[i]:offsets[i + 1]]."""
 
