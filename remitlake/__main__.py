@@ -15,7 +15,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("source", help="CSV file or folder")
     parser.add_argument("base", help="folder for the layers")
     parser.add_argument("--on-bad-timestamp", choices=("reject", "fail"), default="reject")
-    parser.add_argument("--only-months-present", action="store_true", help="keep stored months that the input lacks")
+    parser.add_argument("--strict-header", action="store_true", help="a header unlike the schema is an error")
+    parser.add_argument("--corrupt-column", metavar="NAME", help="keep the text of malformed rows in bronze")
+    parser.add_argument("--each-file", action="store_true", help="record each row's own file as its source")
     options = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("remitlake").getOrCreate()
@@ -24,7 +26,9 @@ def main(argv: list[str] | None = None) -> None:
         options.source,
         options.base,
         on_bad_timestamp=options.on_bad_timestamp,
-        only_months_present=options.only_months_present,
+        strict_header=options.strict_header,
+        corrupt_column=options.corrupt_column,
+        each_file=options.each_file,
     )
     run.quality_report.show(truncate=False)
     run.kpis.show(truncate=False)

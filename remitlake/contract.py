@@ -47,10 +47,35 @@ BASE_SEGMENT = "Standard"
 RISK_FLOORS = (("High Risk", 0.05), ("Medium Risk", 0.02))
 BASE_RISK = "Low Risk"
 
-# Our own choices.
+# What the samples of the gold tables show.
+SAMPLE_CUSTOMERS = (
+    "customer_id",
+    "total_transactions",
+    "total_spend",
+    "customer_segment",
+    "fraud_risk_score",
+    "preferred_channel",
+    "preferred_category",
+)
+SAMPLE_MERCHANTS = (
+    "merchant_name",
+    "merchant_category",
+    "total_transactions",
+    "total_revenue",
+    "unique_customers",
+    "merchant_risk_flag",
+    "rank_in_category",
+)
+SAMPLE_MONTHS = (
+    "transaction_month",
+    "total_transactions",
+    "total_volume",
+    "active_customers",
+    "mom_volume_growth_pct",
+    "running_total_volume",
+)
 
-# Amounts of this size and above (and NaN, infinity) cannot be summed exactly.
-AMOUNT_CEILING = 1e16
+# Our own choices.
 
 # Which copy of a transaction survives: the smallest by these columns, nulls first.
 COPY_ORDER = (

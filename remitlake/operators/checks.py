@@ -149,7 +149,7 @@ def running_total(months: DataFrame) -> DataFrame:
 
 def _final_running_total(months: DataFrame) -> DataFrame:
     name = "final_running_total"
-    total = money.as_amount(F.sum(money.exact(F.col("total_volume"))))
+    total = money.as_amount(money.total(F.col("total_volume")))
     last = F.max_by("running_total_volume", "transaction_month")
     return _matching([months.agg(total.alias(name))], [months.agg(last.alias(name))])
 
@@ -201,7 +201,7 @@ def totals(silver: DataFrame, customers: DataFrame, months: DataFrame) -> DataFr
     """Volumes and counts that must survive from silver to gold."""
 
     def volume(column: str) -> Column:
-        return money.as_amount(F.sum(money.exact(F.col(column))))
+        return money.as_amount(money.total(F.col(column)))
 
     in_silver = silver.agg(
         volume("amount").alias("volume_in_months"),

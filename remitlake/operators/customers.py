@@ -16,7 +16,7 @@ def customer_core(silver: DataFrame) -> DataFrame:
         silver.groupBy(_CUSTOMER)
         .agg(
             F.count("transaction_id").alias("total_transactions"),
-            F.sum(money.exact(F.col("amount"))).alias("_total"),
+            money.total(F.col("amount")).alias("_total"),
             F.count("amount").alias("_amounts"),
             F.max("amount").alias("_max"),
             F.min("amount").alias("_min"),

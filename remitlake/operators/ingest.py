@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BRONZE_METADATA = ("ingestion_timestamp", "source_file", "pipeline_layer")
+
+
 def actual_file() -> Column:
     """For ``with_ingestion_metadata``: the file each row was read from, when one path covers many files."""
     return F.col("_metadata.file_path")

@@ -17,7 +17,7 @@ def merchant_core(silver: DataFrame) -> DataFrame:
         .groupBy(*MERCHANT_KEY)
         .agg(
             F.count("transaction_id").alias("total_transactions"),
-            F.sum(money.exact(F.col("amount"))).alias("_total"),
+            money.total(F.col("amount")).alias("_total"),
             F.count("amount").alias("_amounts"),
             F.count_distinct("customer_id").alias("unique_customers"),
             F.count_if(labels.flagged()).alias("flagged_transactions"),

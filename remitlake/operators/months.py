@@ -18,7 +18,7 @@ def monthly_core(silver: DataFrame) -> DataFrame:
         silver.groupBy(_MONTH)
         .agg(
             F.count("transaction_id").alias("total_transactions"),
-            F.sum(money.exact(F.col("amount"))).alias("_total"),
+            money.total(F.col("amount")).alias("_total"),
             F.count("amount").alias("_amounts"),
             F.count_distinct("customer_id").alias("active_customers"),
             F.count_distinct("merchant_id").alias("active_merchants"),
@@ -57,7 +57,7 @@ def with_growth(core: DataFrame) -> DataFrame:
 
 def with_running_total(core: DataFrame) -> DataFrame:
     so_far = Window.orderBy(_MONTH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = F.sum(money.exact(F.col("total_volume"))).over(so_far)
+    running = money.total(F.col("total_volume"), so_far)
     return core.withColumn("running_total_volume", money.as_amount(running))
 
 

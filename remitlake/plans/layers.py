@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from remitlake import contract as C
 from remitlake.operators import cleaning
 from remitlake.operators.customers import customer_summary
-from remitlake.operators.ingest import with_ingestion_metadata
+from remitlake.operators.ingest import BRONZE_METADATA, actual_file, with_ingestion_metadata
 from remitlake.operators.merchants import merchant_analytics
 from remitlake.operators.months import monthly_trends
-from remitlake.plans.summary import kpi_summary
+from remitlake.plans.summary import pipeline_summary
 from remitlake.sources.landing import read_transactions_csv
 from remitlake.sources.layers import LayerPaths, gathered_by_month, write_by_month, write_table
 
@@ -29,6 +29,9 @@ class Layers:
     kpis: DataFrame
 
 
+# A column for corrupt records stays in bronze.
+BRONZE_COLUMNS = (*C.RAW_COLUMNS, *BRONZE_METADATA)
+
 GOLD = {
     "customer_summary": customer_summary,
     "merchant_analytics": merchant_analytics,
@@ -40,9 +43,18 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     return {name: build(silver) for name, build in GOLD.items()}
 
 
-def run_bronze(spark: SparkSession, source: str, paths: LayerPaths, *, strict_header: bool = False) -> DataFrame:
-    raw = read_transactions_csv(spark, source, strict_header=strict_header)
-    return write_table(with_ingestion_metadata(raw, source), paths.bronze)
+def run_bronze(
+    spark: SparkSession,
+    source: str,
+    paths: LayerPaths,
+    *,
+    strict_header: bool = False,
+    corrupt_column: str | None = None,
+    each_file: bool = False,
+) -> DataFrame:
+    """Write bronze. ``each_file`` records the file that a row came from in place of the path that was asked for."""
+    raw = read_transactions_csv(spark, source, strict_header=strict_header, corrupt_column=corrupt_column)
+    return write_table(with_ingestion_metadata(raw, actual_file() if each_file else source), paths.bronze)
 
 
 def run_silver(
@@ -50,7 +62,6 @@ def run_silver(
     paths: LayerPaths,
     *,
     on_bad_timestamp: str = "reject",
-    only_months_present: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Write silver from stored bronze, by month; return it and the quality report, counted by the same job.
 
@@ -59,13 +70,13 @@ def run_silver(
     """
     fates = Observation()
     silver = (
-        cleaning.with_fate(bronze)
+        cleaning.with_fate(bronze.select(*[c for c in bronze.columns if c in BRONZE_COLUMNS]))
         .transform(gathered_by_month)
         .observe(fates, *cleaning.fate_counts())
         .transform(_kept, on_bad_timestamp)
         .transform(cleaning.with_silver_metadata)
     )
-    stored = write_by_month(silver, paths.silver, only_months_present=only_months_present)
+    stored = write_by_month(silver, paths.silver)
     counted = fates.get
     # Bronze is stored: counting it reads file footers.
     duplicates = bronze.count() - sum(counted.values())
@@ -90,9 +101,12 @@ def run_gold(silver: DataFrame, paths: LayerPaths) -> dict[str, DataFrame]:
         return dict(zip(GOLD, pool.map(inheritable_thread_target(silver.sparkSession)(build), GOLD)))
 
 
-def run_layers(spark: SparkSession, source: str, base_path: str, **silver_options) -> Layers:
+def run_layers(
+    spark: SparkSession, source: str, base_path: str, *, on_bad_timestamp: str = "reject", **landing_options
+) -> Layers:
+    """All layers from a CSV path, each replaced whole; ``landing_options`` are those of ``run_bronze``."""
     paths = LayerPaths(base_path)
-    bronze = run_bronze(spark, source, paths)
-    silver, report = run_silver(bronze, paths, **silver_options)
+    bronze = run_bronze(spark, source, paths, **landing_options)
+    silver, report = run_silver(bronze, paths, on_bad_timestamp=on_bad_timestamp)
     gold = run_gold(silver, paths)
-    return Layers(bronze, silver, report, gold, kpi_summary(gold))
+    return Layers(bronze, silver, report, gold, pipeline_summary(gold))

@@ -7,8 +7,9 @@ by integer division. Each statement is self-contained over the star-schema table
 from __future__ import annotations
 
 _RAW = """
-raw as (
+once as (
   select
+    (7 * l_orderkey + l_linenumber) % 100 = 42 as twice,
     'TXN-' || l_orderkey || '-' || l_linenumber as transaction_id,
     case when l_orderkey % 50 = 7 then null
          else 'CUST-' || lpad(cast(o_custkey as varchar), cast(greatest(6, length(cast(o_custkey as varchar))) as integer), '0')
@@ -43,7 +44,8 @@ raw as (
   join customer on o_custkey = c_custkey
   join nation on c_nationkey = n_nationkey
   join supplier on l_suppkey = s_suppkey
-)"""
+),
+raw as (select * exclude (twice) from once union all select * exclude (twice) from once where twice)"""
 
 _COLUMNS = (
     "transaction_id, customer_id, merchant_id, merchant_name, merchant_category, amount, currency, channel, status, "
@@ -68,7 +70,7 @@ required as (
 )"""
 
 _POSITIVE = """
-positive as (select * from required where amount > 0 and amount < 1e16)"""
+positive as (select * from required where amount > 0 and isfinite(amount))"""
 
 _STANDARD = """
 standard as (
@@ -92,7 +94,7 @@ silver as (select * from timed where transaction_timestamp is not null)"""
 
 
 def _total(amount: str) -> str:
-    return f"cast(round(sum(cast({amount} as decimal(22,6))), 2) as double)"
+    return f"cast(round(sum(cast({amount} as decimal(38,10))), 2) as double)"
 
 
 def _mean(amount: str) -> str:
@@ -194,7 +196,7 @@ months as (
     prev_month_transactions,
     round((total_transactions - prev_month_transactions) / nullif(prev_month_transactions, 0) * 100, 2)
       as mom_transaction_growth_pct,
-    cast(round(sum(cast(total_volume as decimal(22,6))) over (
+    cast(round(sum(cast(total_volume as decimal(38,10))) over (
       order by transaction_month rows between unbounded preceding and current row), 2) as double)
       as running_total_volume
   from (select *, lag(total_volume) over (order by transaction_month) as prev_month_volume,
@@ -283,6 +285,16 @@ def oracle_sql() -> dict[str, str]:
     bronze = _after("raw", f"select {_COLUMNS}, {_SOURCE} as source_file, 'bronze' as pipeline_layer from raw")
     silver = _after("silver", f"select {_SILVER_COLUMNS} from silver")
     trends = _from_silver(_TO_MONTHS, "select * from months")
+    figures = _with(
+        _TO_GOLD,
+        f"""select *, '£' || format('{{:,.2f}}', total_volume) as total_volume_display from (select
+        (select count(*) from customers) as customers,
+        (select count(*) from merchants) as merchants,
+        (select count(*) from months) as months,
+        ({_count('merchants', "merchant_risk_flag = 'High Risk'")}) as high_risk_merchants,
+        ({_count('customers', "customer_segment = 'Premium'")}) as premium_customers,
+        (select {_total('total_volume')} from months) as total_volume)""",
+    )
     return {
         "raw_fixture": raw,
         "raw_profile": _after(
@@ -348,16 +360,10 @@ def oracle_sql() -> dict[str, str]:
         "monthly_running_total": _from_silver(_TO_MONTHS, "select transaction_month, running_total_volume from months"),
         "monthly_trends": trends,
         "gold_roundtrip": trends,
-        "kpi_summary": _with(
-            _TO_GOLD,
-            f"""select *, '£' || format('{{:,.2f}}', total_volume) as total_volume_display from (select
-            (select count(*) from customers) as customers,
-            (select count(*) from merchants) as merchants,
-            (select count(*) from months) as months,
-            ({_count('merchants', "merchant_risk_flag = 'High Risk'")}) as high_risk_merchants,
-            ({_count('customers', "customer_segment = 'Premium'")}) as premium_customers,
-            (select {_total('total_volume')} from months) as total_volume)""",
-        ),
+        "gold_customers_roundtrip": _from_silver(_TO_CUSTOMERS, "select * from customers"),
+        "gold_merchants_roundtrip": _from_silver(_TO_MERCHANTS, "select * from merchants"),
+        "pipeline_summary": figures,
+        "kpi_summary": figures,
         "sample_customers": _from_silver(
             _TO_CUSTOMERS,
             "select customer_id, total_transactions, total_spend, customer_segment, fraud_risk_score, "

@@ -85,8 +85,18 @@ def silver_month_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_roundtrip(spark, sf_dir).filter(F.col("transaction_month") == A_MONTH)
 
 
-def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_table(months.monthly_trends(_silver(spark, sf_dir)), _paths(spark).gold("monthly_trends"))
+def _gold_roundtrip(table: str) -> Query:
+    def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _shown(write_table(layers.GOLD[table](_stored_silver(spark, sf_dir)), _paths(spark).gold(table)))
+
+    return read_back
+
+
+def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run: CSV files to bronze, silver, gold and the key figures of what was delivered."""
+    landing = fresh_path(spark, "landing")
+    write_transactions_csv(raw_transactions(spark, sf_dir), landing)
+    return layers.run_layers(spark, landing, fresh_path(spark, "layers")).kpis
 
 
 # --- queries over one derived frame ------------------------------------------------------------------------------
@@ -104,6 +114,11 @@ def _of_silver(step: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: _shown(step(_silver(spark, sf_dir)))
 
 
+def _of_stored_silver(step: Callable[[DataFrame], DataFrame]) -> Query:
+    """For tables that read silver several times: it is made once."""
+    return lambda spark, sf_dir: _shown(step(_stored_silver(spark, sf_dir)))
+
+
 def _of_months(step: Callable[[DataFrame], DataFrame]) -> Query:
     return _of_silver(lambda silver: step(months.monthly_trends(silver)))
 
@@ -112,15 +127,6 @@ def _of_layers(step: Callable[[DataFrame, DataFrame, dict[str, DataFrame]], Data
     return lambda spark, sf_dir: step(*_stored_layers(spark, sf_dir))
 
 
-def _figures(silver: DataFrame) -> dict[str, DataFrame]:
-    """The gold tables without the columns that only a join or a ranking can give."""
-    return {
-        "customer_summary": customers.segment(customers.customer_core(silver)),
-        "merchant_analytics": merchants.risk_flag(merchants.merchant_core(silver)),
-        "monthly_trends": months.monthly_core(silver),
-    }
-
-
 def _has_ingestion_timestamp(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("has_ingestion_timestamp", F.col("ingestion_timestamp").isNotNull())
 
@@ -188,10 +194,10 @@ def queries() -> dict[str, Query]:
         "customer_segment": _of_silver(
             lambda silver: customers.segment(customers.customer_core(silver)).select("customer_id", "customer_segment")
         ),
-        "customer_summary": _of_silver(customers.customer_summary),
+        "customer_summary": _of_stored_silver(customers.customer_summary),
         # gold: merchants
         "merchant_core": _of_silver(merchants.merchant_core),
-        "merchant_rank": _of_silver(
+        "merchant_rank": _of_stored_silver(
             lambda silver: merchants.rank_in_category(merchants.merchant_core(silver)).select(
                 *key, "rank_in_category"
             )
@@ -199,7 +205,7 @@ def queries() -> dict[str, Query]:
         "merchant_risk": _of_silver(
             lambda silver: merchants.risk_flag(merchants.merchant_core(silver)).select(*key, "merchant_risk_flag")
         ),
-        "merchant_analytics": _of_silver(merchants.merchant_analytics),
+        "merchant_analytics": _of_stored_silver(merchants.merchant_analytics),
         # gold: months
         "monthly_core": _of_silver(months.monthly_core),
         "monthly_mom_growth": _of_silver(
@@ -211,18 +217,21 @@ def queries() -> dict[str, Query]:
             )
         ),
         "monthly_trends": _of_silver(months.monthly_trends),
-        "gold_roundtrip": gold_roundtrip,
+        "gold_roundtrip": _gold_roundtrip("monthly_trends"),
+        "gold_customers_roundtrip": _gold_roundtrip("customer_summary"),
+        "gold_merchants_roundtrip": _gold_roundtrip("merchant_analytics"),
         # summary and samples
-        "kpi_summary": _of_silver(lambda silver: summary.kpi_summary(_figures(silver))),
-        "sample_customers": _of_silver(lambda silver: summary.sample_customers(customers.customer_summary(silver))),
-        "sample_merchants": _of_silver(lambda silver: summary.sample_merchants(merchants.merchant_analytics(silver))),
+        "pipeline_summary": pipeline_summary,
+        "kpi_summary": _of_layers(lambda bronze, silver, gold: summary.pipeline_summary(gold)),
+        "sample_customers": _of_stored_silver(lambda silver: summary.sample_customers(customers.customer_summary(silver))),
+        "sample_merchants": _of_stored_silver(lambda silver: summary.sample_merchants(merchants.merchant_analytics(silver))),
         "sample_months": _of_months(summary.sample_months),
         # quality and reconciliation
         "dq_key_uniqueness": _of_layers(lambda bronze, silver, gold: checks.key_uniqueness(silver, gold)),
         "dq_null_counts": _of_layers(checks.null_counts),
         "dq_domains": _of_layers(checks.domains),
         "dq_ranges": _of_layers(lambda bronze, silver, gold: checks.ranges(silver, gold)),
-        "dq_business_rules": _of_silver(lambda silver: checks.business_rules(_figures(silver))),
+        "dq_business_rules": _of_layers(lambda bronze, silver, gold: checks.business_rules(gold)),
         "dq_running_total": _of_months(checks.running_total),
         "dq_first_month": _of_months(checks.first_month),
         "recon_orphans": _of_layers(checks.orphans),

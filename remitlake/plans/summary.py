@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from remitlake import contract as C
 from remitlake.functions import labels, money
 
 
-def kpi_summary(gold: Mapping[str, DataFrame]) -> DataFrame:
+def pipeline_summary(gold: Mapping[str, DataFrame]) -> DataFrame:
     """One row of key figures over the three gold tables.
 
     Each table gives one partial row; the partial rows are united and folded, which needs no join.
@@ -25,7 +26,7 @@ def kpi_summary(gold: Mapping[str, DataFrame]) -> DataFrame:
     )
     months = gold["monthly_trends"].agg(
         F.count(F.lit(1)).alias("months"),
-        money.as_amount(F.sum(money.exact(F.col("total_volume")))).alias("total_volume"),
+        money.as_amount(money.total(F.col("total_volume"))).alias("total_volume"),
     )
     partial = customers.unionByName(merchants, True).unionByName(months, True)
     figures = ("customers", "merchants", "months", "high_risk_merchants", "premium_customers", "total_volume")
@@ -35,48 +36,14 @@ def kpi_summary(gold: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def sample_customers(customer_summary: DataFrame, rows: int = 5) -> DataFrame:
-    return (
-        customer_summary.select(
-            "customer_id",
-            "total_transactions",
-            "total_spend",
-            "customer_segment",
-            "fraud_risk_score",
-            "preferred_channel",
-            "preferred_category",
-        )
-        .orderBy("customer_id")
-        .limit(rows)
-    )
+    return customer_summary.select(*C.SAMPLE_CUSTOMERS).orderBy("customer_id").limit(rows)
 
 
 def sample_merchants(merchant_analytics: DataFrame, rows: int = 5) -> DataFrame:
     """The first merchants by id, name and category."""
-    return (
-        merchant_analytics.orderBy("merchant_id", "merchant_name", "merchant_category")
-        .limit(rows)
-        .select(
-            "merchant_name",
-            "merchant_category",
-            "total_transactions",
-            "total_revenue",
-            "unique_customers",
-            "merchant_risk_flag",
-            "rank_in_category",
-        )
-    )
+    first = merchant_analytics.orderBy("merchant_id", "merchant_name", "merchant_category").limit(rows)
+    return first.select(*C.SAMPLE_MERCHANTS)
 
 
 def sample_months(monthly_trends: DataFrame, rows: int = 12) -> DataFrame:
-    return (
-        monthly_trends.select(
-            "transaction_month",
-            "total_transactions",
-            "total_volume",
-            "active_customers",
-            "mom_volume_growth_pct",
-            "running_total_volume",
-        )
-        .orderBy("transaction_month")
-        .limit(rows)
-    )
+    return monthly_trends.select(*C.SAMPLE_MONTHS).orderBy("transaction_month").limit(rows)

@@ -2,7 +2,8 @@
 
 Gives the engine a realistic input of any size: each line item becomes a payment. The faults a payment feed has
 (missing ids and categories, values outside a domain, unreadable times, negative amounts, outliers) are placed by
-key, so any engine derives the same rows; line items that repeat their key supply conflicting copies.
+key, so any engine derives the same rows; line items that repeat their key supply conflicting copies, and about one row
+in a hundred occurs twice.
 """
 
 from __future__ import annotations
@@ -54,7 +55,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         2,
     )
 
-    return lines.select(
+    # One hundredth of the rows twice, without a second scan.
+    twice = F.when((7 * order + line) % 100 == 42, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = lines.select(
+        F.explode(twice).alias("_copy"),
         F.concat(F.lit("TXN-"), order.cast("string"), F.lit("-"), line.cast("string")).alias("transaction_id"),
         F.when(order % 50 != 7, _numbered("CUST-", F.col("o_custkey"), 6)).alias("customer_id"),
         _numbered("MERCH-", supplier, 4).alias("merchant_id"),
@@ -83,6 +87,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fault != 14, F.col("n_name")).alias("customer_location"),
         (F.abs(F.when(outlier, price * 0.5).otherwise(price * 0.01)) > 5000).alias("is_flagged"),
     )
+    return rows.drop("_copy")
 
 
 def _numbered(prefix: str, key: Column, width: int) -> Column:

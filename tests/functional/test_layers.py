@@ -5,7 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from remitlake.operators import cleaning
+from remitlake.contract import RAW_COLUMNS
+from remitlake.operators import checks, cleaning
 from remitlake.plans import summary
 from remitlake.plans.layers import run_layers, run_silver
 from remitlake.sources.landing import write_transactions_csv
@@ -26,12 +27,12 @@ def run(spark, sf_dir, base):
 
 
 def test_row_counts_of_the_small_tables(run):
-    assert run.bronze.count() == 6000
+    assert run.bronze.count() == 6064
     assert run.silver.count() == 4389
     assert run.gold["customer_summary"].count() == 150
     assert run.gold["monthly_trends"].count() == 83
     assert column(run.quality_report, "rows", "reason") == {
-        "duplicate": 6000 - 4599,
+        "duplicate": 6064 - 4599,
         "critical_null": 4599 - 4513,
         "invalid_amount": 4513 - 4481,
         "bad_timestamp": 4481 - 4389,
@@ -114,7 +115,7 @@ def test_months_are_stored_in_order(run):
 
 def test_running_again_replaces_everything(spark, run, base):
     again = run_layers(spark, f"{base}/landing", base)
-    assert (again.bronze.count(), again.silver.count()) == (6000, 4389)
+    assert (again.bronze.count(), again.silver.count()) == (6064, 4389)
 
 
 def test_dynamic_overwrite_touches_only_the_months_present(spark, tmp_path):
@@ -123,9 +124,35 @@ def test_dynamic_overwrite_touches_only_the_months_present(spark, tmp_path):
     silver = lambda *rows: cleaning.to_silver(raw(spark, *rows))
     write_by_month(silver(june, july), path)
     write_by_month(silver({**july, "amount": 99.0}), path, only_months_present=True)
-    assert column(read_table(spark, path), "amount", "transaction_month") == {"2025-06": 10.0, "2025-07": 99.0}
+    assert column(read_table(spark, path), "amount", "transaction_month") == {"2025-06": 8.4, "2025-07": 99.0}
     write_by_month(silver(june), path)
-    assert column(read_table(spark, path), "amount", "transaction_month") == {"2025-06": 10.0}
+    assert column(read_table(spark, path), "amount", "transaction_month") == {"2025-06": 8.4}
+
+
+def test_a_second_batch_into_a_month_leaves_layers_that_agree(spark, tmp_path):
+    base = str(tmp_path / "base")
+    june, july = {"transaction_date": "2025-06-01"}, {"transaction_date": "2025-07-01"}
+    for batch in (({"transaction_id": "T1", **june}, {"transaction_id": "T3", **july}), ({"transaction_id": "T9", **july},)):
+        write_transactions_csv(raw(spark, *batch), str(tmp_path / "in"))
+        run = run_layers(spark, str(tmp_path / "in"), base)
+    assert [r.transaction_id for r in run.silver.collect()] == ["T9"]
+    for found in (checks.orphans(run.bronze, run.silver, run.gold), checks.row_accounting(run.bronze, run.silver, run.quality_report)):
+        assert found.filter("not passed").isEmpty()
+
+
+def test_landing_options_reach_the_run(spark, tmp_path):
+    good = "T1,ann,m,Shop,Dining,12.50,GBP,online,completed,2025-06-01,10:00:00,Ghent,False"
+    bad = good.replace("T1", "T2").replace("12.50", "much")
+    (tmp_path / "in").mkdir()
+    for name, line in (("a.csv", good), ("b.csv", bad)):
+        (tmp_path / "in" / name).write_text(",".join(RAW_COLUMNS) + "\n" + line + "\n")
+    run = run_layers(spark, str(tmp_path / "in"), str(tmp_path / "base"), corrupt_column="as_received", each_file=True)
+    assert column(run.bronze, "as_received", "transaction_id") == {"T1": None, "T2": bad}
+    assert sorted(r.source_file.rsplit("/", 1)[-1] for r in run.bronze.collect()) == ["a.csv", "b.csv"]
+    assert run.silver.count() == 1 and "as_received" not in run.silver.columns
+    (tmp_path / "in" / "a.csv").write_text(",".join(RAW_COLUMNS).replace("amount", "value") + "\n" + good + "\n")
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+        run_layers(spark, str(tmp_path / "in"), str(tmp_path / "base"), strict_header=True)
 
 
 def test_failing_on_a_bad_time_stops_the_run(spark, tmp_path):
@@ -143,5 +170,5 @@ def test_command_line(spark, tmp_path, capsys):
     write_transactions_csv(raw(spark, {}, {"transaction_time": "late"}), str(tmp_path / "in"))
     main([str(tmp_path / "in"), str(tmp_path / "base")])
     shown = capsys.readouterr().out
-    assert "bad_timestamp" in shown and "£10.00" in shown
+    assert "bad_timestamp" in shown and "£8.40" in shown
     assert read_table(spark, LayerPaths(str(tmp_path / "base")).silver).count() == 1

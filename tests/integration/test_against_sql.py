@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from against_sql import connect, differences
+from remitlake.plans import oracle, registry
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -6,17 +6,17 @@ from remitlake.contract import RAW_SCHEMA
 
 BASE = {
     "transaction_id": "T1",
-    "customer_id": "C1",
-    "merchant_id": "M1",
-    "merchant_name": "Corner Shop",
-    "merchant_category": "Groceries",
-    "amount": 10.0,
-    "currency": "GBP",
-    "channel": "online",
+    "customer_id": "ann",
+    "merchant_id": "kiosk-9",
+    "merchant_name": "Harbour Kiosk",
+    "merchant_category": "Dining",
+    "amount": 8.4,
+    "currency": "EUR",
+    "channel": "mobile",
     "status": "completed",
-    "transaction_date": "2025-06-01",
-    "transaction_time": "10:00:00",
-    "customer_location": "London",
+    "transaction_date": "2024-02-29",
+    "transaction_time": "23:59:58",
+    "customer_location": "Ghent",
     "is_flagged": False,
 }
 

@@ -213,9 +213,9 @@ def test_raw_profile(spark):
 def test_value_domains(spark):
     found = profile.value_domains(cleaning.to_silver(raw(spark, {}, {"currency": None}, {"channel": "ATM"})))
     assert column(found, "rows", ("column", "value")) == {
-        ("currency", "GBP"): 2,
+        ("currency", "EUR"): 2,
         ("currency", "unknown"): 1,
-        ("channel", "online"): 2,
+        ("channel", "mobile"): 2,
         ("channel", "ATM"): 1,
         ("status", "completed"): 3,
     }

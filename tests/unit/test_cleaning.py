@@ -10,26 +10,31 @@ from remitlake.operators.ingest import with_ingestion_metadata
 from rows import column, raw
 
 
-def six(spark):
-    """An exact copy, a missing customer, a negative amount, values outside every domain."""
+def one_fault_after_another(spark):
+    """For every rule several ways to break it, and rows that only look as if they did."""
     return raw(
         spark,
-        {},
-        {"transaction_id": "T2", "currency": "USD"},
-        {"transaction_id": "T2", "currency": "USD"},
-        {"transaction_id": "T3", "customer_id": None},
-        {"transaction_id": "T4", "amount": -15.0},
-        {"transaction_id": "T5", "currency": "INVALID", "channel": "INVALID", "status": "INVALID"},
+        *({"transaction_id": "thrice", "customer_location": place} for place in ("Lille", "Ghent", "Lille")),
+        *({"transaction_id": f"lacks {c}", c: None} for c in C.CRITICAL_COLUMNS if c != "transaction_id"),
+        {"transaction_id": "free", "amount": 0.0},
+        {"transaction_id": "refund", "amount": -120.75},
+        {"transaction_id": "tiny", "amount": 1e-9},
+        {"transaction_id": "huge", "amount": 4e19},
+        {"transaction_id": "odd money", "currency": "doubloon"},
+        {"transaction_id": "odd shop", "merchant_name": None, "channel": "", "is_flagged": None},
     )
 
 
-def test_six_rows_become_five_four_three(spark):
-    one = cleaning.one_copy_each(six(spark))
-    assert one.count() == 5
-    assert one.columns == six(spark).columns
+def test_each_step_takes_away_its_own_rows(spark):
+    ids = lambda df: {r.transaction_id for r in df.collect()}
+    one = cleaning.one_copy_each(one_fault_after_another(spark))
+    assert one.count() == len(ids(one)) == 11
+    assert one.columns == one_fault_after_another(spark).columns
     required = cleaning.require_columns(one)
-    assert required.count() == 4
-    assert cleaning.require_valid_amount(required).count() == 3
+    assert ids(one) - ids(required) == {"lacks customer_id", "lacks merchant_id", "lacks amount", "lacks transaction_date"}
+    positive = cleaning.require_valid_amount(required)
+    assert ids(required) - ids(positive) == {"free", "refund"}
+    assert ids(cleaning.to_silver(one_fault_after_another(spark))) == {"thrice", "tiny", "huge", "odd money", "odd shop"}
 
 
 def test_the_earliest_copy_survives_however_rows_are_spread(spark):
@@ -50,7 +55,7 @@ def test_null_sorts_first_and_null_ids_are_one_key(spark):
         {"transaction_id": None, "merchant_id": "M1"},
     )
     kept = column(cleaning.one_copy_each(df), "transaction_time", "transaction_id")
-    assert kept == {"T": None, None: "10:00:00"}
+    assert kept == {"T": None, None: "23:59:58"}
     assert column(cleaning.one_copy_each(df), "merchant_id", "transaction_id")[None] == "M1"
 
 
@@ -84,7 +89,7 @@ def test_other_nulls_stay(spark):
 @pytest.mark.parametrize(
     "amount, valid",
     [(0.01, True), (9e15, True), (0.0, False), (-0.0, False), (-5.0, False), (None, False)]
-    + [(math.nan, False), (math.inf, False), (-math.inf, False), (1e16, False)],
+    + [(math.nan, False), (math.inf, False), (-math.inf, False), (1e16, True), (2e20, True), (5e-324, True)],
 )
 def test_valid_amounts(spark, amount, valid):
     assert (cleaning.require_valid_amount(raw(spark, {"amount": amount})).count() == 1) is valid
@@ -106,9 +111,9 @@ def test_values_outside_a_domain_and_nulls_become_unknown(spark):
 
 def test_time_month_and_day_of_week(spark):
     row = cleaning.with_transaction_time(raw(spark, {})).first()
-    assert str(row.transaction_timestamp) == "2025-06-01 10:00:00"
-    assert row.transaction_month == "2025-06"
-    assert row.day_of_week == 1  # a Sunday
+    assert str(row.transaction_timestamp) == "2024-02-29 23:59:58"
+    assert row.transaction_month == "2024-02"
+    assert row.day_of_week == 5  # a Thursday
 
 
 BAD_TIMES = [

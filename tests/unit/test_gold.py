@@ -9,40 +9,32 @@ from remitlake.functions import labels, money
 from remitlake.operators import customers, merchants, months
 from rows import column, silver
 
-MERCHANT_B = {"merchant_id": "M2", "merchant_name": "Bus", "merchant_category": "Transport"}
+FERRY = {"merchant_id": "ferry-2", "merchant_name": "Night Ferry", "merchant_category": "Travel", "channel": "online"}
+CLINIC = {"merchant_id": "clinic", "merchant_name": "Clinic", "merchant_category": "Healthcare", "currency": "GBP"}
 
 
 @pytest.fixture(scope="module")
-def five(spark):
-    """Three customers, two merchants, two months, one very large flagged payment."""
+def spring(spark):
+    """Five customers at three merchants over four months of 2024, one of them without any payment in between."""
     return silver(
         spark,
-        {"amount": 100.0},
-        {"amount": 200.0, "transaction_date": "2025-06-02"},
-        {**MERCHANT_B, "customer_id": "C2", "amount": 50.0, "channel": "mobile", "transaction_date": "2025-06-03"},
-        {
-            **MERCHANT_B,
-            "customer_id": "C2",
-            "amount": 75000.0,
-            "channel": "mobile",
-            "transaction_date": "2025-07-01",
-            "is_flagged": True,
-        },
-        {
-            "customer_id": "C3",
-            "amount": 150.0,
-            "channel": "in-store",
-            "status": "failed",
-            "transaction_date": "2025-07-02",
-        },
+        {"amount": 4.2},
+        {"amount": 6.3, "transaction_date": "2024-03-01", "is_flagged": None},
+        {**FERRY, "amount": 310.05, "transaction_date": "2024-05-12", "transaction_time": "04:05:06"},
+        {"customer_id": "bo", "amount": 9.99, "channel": "ATM", "status": "failed"},
+        {**FERRY, "customer_id": "bo", "amount": 24000.0, "transaction_date": "2024-03-15", "is_flagged": True},
+        {**CLINIC, "customer_id": "cem", "amount": 71.5, "transaction_date": "2024-03-15", "status": "pending"},
+        {**CLINIC, "customer_id": "cem", "amount": 71.5, "transaction_date": "2024-05-15", "status": "reversed"},
+        {**CLINIC, "customer_id": "dee", "amount": 0.335, "transaction_date": "2024-05-31", "transaction_time": "00:00:00"},
+        {**FERRY, "customer_id": "eli", "amount": 88.0, "transaction_date": "2024-05-31"},
     )
 
 
 # --- customers ---------------------------------------------------------------------------------------------------
 
 
-def test_customer_summary(five):
-    df = customers.customer_summary(five)
+def test_customer_summary(spring):
+    df = customers.customer_summary(spring)
     assert df.columns == [
         "customer_id",
         "total_transactions",
@@ -64,12 +56,16 @@ def test_customer_summary(five):
     ]
     by_id = {r.customer_id: tuple(r)[1:] for r in df.collect()}
     assert by_id == {
-        "C1": (2, 300.0, 150.0, 200.0, 100.0, 1, 1, 0, 2, 0)
-        + ("2025-06-02 10:00:00", "2025-06-01 10:00:00", "online", "Groceries", 0.0, "Standard"),
-        "C2": (2, 75050.0, 37525.0, 75000.0, 50.0, 1, 2, 1, 2, 0)
-        + ("2025-07-01 10:00:00", "2025-06-03 10:00:00", "mobile", "Transport", 50.0, "Premium"),
-        "C3": (1, 150.0, 150.0, 150.0, 150.0, 1, 1, 0, 0, 1)
-        + ("2025-07-02 10:00:00", "2025-07-02 10:00:00", "in-store", "Groceries", 0.0, "Standard"),
+        "ann": (3, 320.55, 106.85, 310.05, 4.2, 2, 3, 0, 3, 0)
+        + ("2024-05-12 04:05:06", "2024-02-29 23:59:58", "mobile", "Dining", 0.0, "Standard"),
+        "bo": (2, 24009.99, 12005.0, 24000.0, 9.99, 2, 2, 1, 1, 1)
+        + ("2024-03-15 23:59:58", "2024-02-29 23:59:58", "ATM", "Dining", 50.0, "High Value"),
+        "cem": (2, 143.0, 71.5, 71.5, 71.5, 1, 2, 0, 0, 0)
+        + ("2024-05-15 23:59:58", "2024-03-15 23:59:58", "mobile", "Healthcare", 0.0, "Standard"),
+        "dee": (1, 0.34, 0.34, 0.34, 0.34, 1, 1, 0, 1, 0)
+        + ("2024-05-31 00:00:00", "2024-05-31 00:00:00", "mobile", "Healthcare", 0.0, "Standard"),
+        "eli": (1, 88.0, 88.0, 88.0, 88.0, 1, 1, 0, 1, 0)
+        + ("2024-05-31 23:59:58", "2024-05-31 23:59:58", "online", "Travel", 0.0, "Standard"),
     }
 
 
@@ -78,13 +74,13 @@ def test_ties_go_to_the_smallest_value_and_null_last(spark):
         spark,
         {"channel": "online", "merchant_category": None},
         {"channel": "mobile", "merchant_category": "Travel"},
-        {"customer_id": "C2", "merchant_category": None},
-        {"customer_id": "C2", "merchant_category": None},
-        {"customer_id": "C2", "merchant_category": "Travel"},
+        {"customer_id": "bo", "merchant_category": None},
+        {"customer_id": "bo", "merchant_category": None},
+        {"customer_id": "bo", "merchant_category": "Travel"},
     )
     summary = customers.customer_summary(df)
-    assert column(summary, "preferred_channel", "customer_id") == {"C1": "mobile", "C2": "online"}
-    assert column(summary, "preferred_category", "customer_id") == {"C1": "Travel", "C2": None}
+    assert column(summary, "preferred_channel", "customer_id") == {"ann": "mobile", "bo": "mobile"}
+    assert column(summary, "preferred_category", "customer_id") == {"ann": "Travel", "bo": None}
     for name, alias in (("channel", "preferred_channel"), ("merchant_category", "preferred_category")):
         alone = customers.preferred_value(df, name, alias)
         assert column(alone, alias, "customer_id") == column(summary, alias, "customer_id")
@@ -98,7 +94,7 @@ def test_a_null_customer_has_no_preferences(spark):
 def test_value_counts_keep_null(spark):
     df = silver(spark, {}, {}, {"merchant_category": None})
     counts = customers.value_counts(df, "merchant_category")
-    assert column(counts, "n", "merchant_category") == {"Groceries": 2, None: 1}
+    assert column(counts, "n", "merchant_category") == {"Dining": 2, None: 1}
 
 
 @pytest.mark.parametrize(
@@ -118,8 +114,8 @@ def test_flags_may_be_null(spark):
 # --- merchants ---------------------------------------------------------------------------------------------------
 
 
-def test_merchant_analytics(five):
-    df = merchants.merchant_analytics(five)
+def test_merchant_analytics(spring):
+    df = merchants.merchant_analytics(spring)
     assert df.columns == [
         "merchant_id",
         "merchant_name",
@@ -136,15 +132,16 @@ def test_merchant_analytics(five):
         "merchant_risk_flag",
     ]
     assert {tuple(r) for r in df.collect()} == {
-        ("M1", "Corner Shop", "Groceries", 3, 450.0, 150.0, 2, 0, 2, 3, 2, 1, "Low Risk"),
-        ("M2", "Bus", "Transport", 2, 75050.0, 37525.0, 1, 1, 2, 2, 0, 1, "High Risk"),
+        ("kiosk-9", "Harbour Kiosk", "Dining", 3, 20.49, 6.83, 2, 0, 2, 0, 0, 1, "Low Risk"),
+        ("ferry-2", "Night Ferry", "Travel", 3, 24398.05, 8132.68, 3, 1, 3, 0, 3, 1, "High Risk"),
+        ("clinic", "Clinic", "Healthcare", 3, 143.34, 47.78, 2, 0, 1, 3, 0, 1, "Low Risk"),
     }
 
 
 def test_a_merchant_with_two_names_is_two_rows_and_no_category_is_none(spark):
     df = silver(spark, {}, {"merchant_name": "Renamed"}, {"merchant_category": None})
     rows = merchants.merchant_analytics(df)
-    assert column(rows, "rank_in_category", "merchant_name") == {"Corner Shop": 1, "Renamed": 1}
+    assert column(rows, "rank_in_category", "merchant_name") == {"Harbour Kiosk": 1, "Renamed": 1}
 
 
 @pytest.mark.parametrize(
@@ -159,8 +156,8 @@ def test_risk_bounds_are_exclusive_on_the_exact_ratio(spark, flagged, total, ris
 # --- months ------------------------------------------------------------------------------------------------------
 
 
-def test_monthly_trends(five):
-    df = months.monthly_trends(five)
+def test_monthly_trends(spring):
+    df = months.monthly_trends(spring)
     assert df.columns == [
         "transaction_month",
         "total_transactions",
@@ -177,14 +174,15 @@ def test_monthly_trends(five):
         "running_total_volume",
     ]
     assert [tuple(r) for r in df.collect()] == [
-        ("2025-06", 3, 350.0, 116.67, 2, 2, 0, 0, None, None, None, None, 350.0),
-        ("2025-07", 2, 75150.0, 37575.0, 2, 2, 1, 1, 350.0, 21371.43, 3, -33.33, 75500.0),
+        ("2024-02", 2, 14.19, 7.1, 2, 1, 0, 1, None, None, None, None, 14.19),
+        ("2024-03", 3, 24077.8, 8025.93, 3, 3, 1, 0, 14.19, 169581.47, 2, 50.0, 24091.99),
+        ("2024-05", 4, 469.89, 117.47, 4, 2, 0, 0, 24077.8, -98.05, 3, 33.33, 24561.88),
     ]
 
 
 def test_a_missing_month_is_not_filled_in(spark):
     df = months.monthly_trends(
-        silver(spark, {"transaction_date": "2025-01-01"}, {"transaction_date": "2025-04-01", "amount": 15.0})
+        silver(spark, {"transaction_date": "2025-01-01"}, {"transaction_date": "2025-04-01", "amount": 12.6})
     )
     assert [(r.transaction_month, r.mom_volume_growth_pct) for r in df.collect()] == [
         ("2025-01", None),
@@ -214,7 +212,7 @@ def test_sums_and_means_are_exact(spark):
     for i, amount in enumerate(cases):
         groups[i % 37].append(amount)
     df = spark.createDataFrame([(g, a) for g, v in groups.items() for a in v], "g int, amount double")
-    total = F.sum(money.exact(F.col("amount")))
+    total = money.total(F.col("amount"))
     got = df.groupBy("g").agg(
         money.as_amount(total).alias("total"), money.mean_of(total, F.count("amount")).alias("mean")
     )
@@ -226,12 +224,41 @@ def test_sums_and_means_are_exact(spark):
 
 def test_fractions_of_a_cent_are_not_rounded_before_adding(spark):
     df = spark.createDataFrame([(10.125,), (10.125,)], "amount double")
-    assert df.agg(money.as_amount(F.sum(money.exact(F.col("amount"))))).first()[0] == 20.25
+    assert df.agg(money.as_amount(money.total(F.col("amount")))).first()[0] == 20.25
+
+
+def test_amounts_far_below_a_cent_add_up(spark):
+    assert spark.range(100_000).select(F.lit(4e-7).alias("a")).agg(money.as_amount(money.total(F.col("a")))).first()[0] == 0.04
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_totals_are_exact_and_too_large_ones_fail(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        trends = months.monthly_trends(
+            silver(
+                spark,
+                {"amount": 9e15, "transaction_date": "2025-01-01"},
+                {"amount": 9e15, "transaction_date": "2025-01-02"},
+                {"amount": 1e16, "transaction_date": "2025-02-01"},
+                {"amount": 2e20, "transaction_date": "2025-03-01"},
+                {"amount": 10.0, "transaction_date": "2025-04-01"},
+            )
+        ).collect()
+        assert [r.total_volume for r in trends] == [1.8e16, 1e16, 2e20, 10.0]
+        assert [r.avg_transaction_value for r in trends] == [9e15, 1e16, 2e20, 10.0]
+        assert [r.running_total_volume for r in trends] == [1.8e16, 2.8e16, 200028e15, 200028e15 + 10]
+        for amounts in ([1e28], [9e27, 9e27]):
+            df = spark.createDataFrame([(a,) for a in amounts], "a double")
+            with pytest.raises(Exception):
+                df.agg(money.total(F.col("a"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_mean_of_no_rows_is_null_and_of_negative_rounds_away_from_zero(spark):
     one = spark.range(1)
-    mean = lambda total, n: one.select(money.mean_of(F.lit(total).cast("decimal(32,6)"), F.lit(n).cast("bigint"))).first()[0]
+    mean = lambda total, n: one.select(money.mean_of(F.lit(total).cast("decimal(38,10)"), F.lit(n).cast("bigint"))).first()[0]
     assert mean("1.00", 0) is None
     assert mean("-0.01", 2) == -0.01
     assert mean("0.01", 2) == 0.01
