@@ -31,8 +31,12 @@ FIT_DOCUMENTS = 20_000
 ENTRIES = 5_000
 THRESHOLD = 0.3
 _PREFIX = (3, 12)
-_LEAST_DOCUMENTS = 4
-_LEAST_WEIGHT = 2.5
+_LEAST_DOCUMENTS = 3
+#: How many times the log of the number of words an entry has to be from chance: words of one stem in one text are not independent.
+_CLEARLY = 1.0
+_LEAST_WEIGHT = 2.0
+#: Level of the curve where nothing is known: about one document in twenty.
+_RARE = -3.0
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 _LOOKALIKES = dict(zip("аеорсухіјѕԁһӏқԛԝвкмнтгпбзαβεικνορτυχγηωѵɑɡɩʏıøđłħŧ", "aeopcyxijsdhlkqwbkmhtrnb3abeikvoptuxynwvagiyiodlht", strict=True))
@@ -118,25 +122,35 @@ def _log_odds(n_toxic: int, n_clean: int) -> Column:
     return F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
 
 
-def _thinned(rows: Iterable[tuple[str, float]]) -> dict[str, float]:
-    """Entries without those that a shorter one of much the same weight covers."""
+def _chosen(rows: Iterable[tuple[str, int, int]], n_toxic: int, n_clean: int, clear: float) -> dict[str, float]:
+    """Entries that are this far from chance, the clearest first, none that begins or is the
+    beginning of a clearer one; of equally clear ones the longest. Weights are log odds."""
+    share = n_toxic / (n_toxic + n_clean)
+    ranked = []
+    for entry, toxic, clean in rows:
+        weight = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+        seen = toxic + clean
+        ratio = toxic * np.log(toxic / (seen * share)) + (clean * np.log(clean / (seen * (1 - share))) if clean else 0.0) if toxic else 0.0
+        if weight >= _LEAST_WEIGHT and ratio >= clear:
+            ranked.append((-ratio, -len(entry), entry, float(weight)))
     kept: dict[str, float] = {}
-    for entry, weight in sorted(rows, key=lambda x: (len(x[0]), x[0])):
-        if not any(kept.get(entry[:n], -9.0) >= weight - 0.7 for n in range(2, len(entry))):
+    begun: set[str] = set()
+    for _, _, entry, weight in sorted(ranked):
+        if entry not in begun and not any(entry[:n] in kept for n in range(2, len(entry))):
             kept[entry] = weight
+            begun.update(entry[:n] for n in range(2, len(entry)))
     return kept
 
 
 def _curve(x: np.ndarray, y: np.ndarray, l2: float = 1e-2) -> tuple[float, ...]:
-    """Logistic regression by Newton's steps; without examples, a low level and no slope."""
-    if not len(y):
-        return (0.0,) * x.shape[1] + (-3.0,)
+    """Logistic regression by Newton's steps, pulled towards no slopes and the level of a rare thing."""
     x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
+    centre = np.array([0.0] * (x.shape[1] - 1) + [_RARE])
+    w = centre.copy()
     pull = np.full(x.shape[1], l2 * len(y) / 100 + 1.0)
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * (w - centre))
         w += np.clip(step, -4, 4)
     return tuple(w.tolist())
 
@@ -149,6 +163,8 @@ def fit(known: DataFrame, *, exceptions: tuple[str, ...] = ()) -> Lexicon:
     counts = known.groupBy("label").count().collect()
     n_toxic = sum(r["count"] for r in counts if r["label"])
     n_clean = sum(r["count"] for r in counts if not r["label"])
+    if not n_toxic or not n_clean:
+        return Lexicon({}, (), _curve(np.zeros((n_toxic + n_clean, 3)), np.repeat([1.0, 0.0], [n_toxic, n_clean])))
     words = stored(
         known.mapInArrow(_word_counts, "word string, toxic long, clean long")
         .groupBy("word")
@@ -163,7 +179,7 @@ def fit(known: DataFrame, *, exceptions: tuple[str, ...] = ()) -> Lexicon:
             lambda n: F.concat(F.lit(" "), F.substr("word", F.lit(1), n)),
         ),
     )
-    # Sums over words: a document counts once for each of its words that begin so.
+    # Sums over words: a document counts once for each of its words that begin so, and toxic ones have several.
     weighed = (
         words.select(F.explode(pieces).alias("entry"), "toxic", "clean")
         .groupBy("entry")
@@ -171,8 +187,9 @@ def fit(known: DataFrame, *, exceptions: tuple[str, ...] = ()) -> Lexicon:
         .where(F.col("toxic") >= _LEAST_DOCUMENTS)
         .withColumn("weight", _log_odds(n_toxic, n_clean))
     )
-    best = weighed.where(F.col("weight") >= _LEAST_WEIGHT).orderBy(F.desc(F.col("weight") * F.log(F.col("toxic"))), "entry").limit(ENTRIES)
-    entries = _thinned((r.entry, r.weight) for r in best.select("entry", "weight").collect())
+    likely = weighed.where(F.col("weight") >= _LEAST_WEIGHT).orderBy(F.desc(F.col("weight") * F.log(F.col("toxic"))), "entry").limit(ENTRIES)
+    clear = _CLEARLY * np.log(max(2, words.count()))
+    entries = _chosen(((r.entry, r.toxic, r.clean) for r in likely.select("entry", "toxic", "clean").collect()), n_toxic, n_clean, clear)
     beginnings = [(e,) for e in entries if not e.endswith(" ")]
     harmless: list[str] = []
     if beginnings:

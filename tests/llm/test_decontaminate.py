@@ -1,0 +1,108 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from corpus import documents, mixed_texts, prose
+from remitlake.llm import decontaminate as dc
+
+ITEMS = "item_id long, text string"
+
+
+def brute_tiles(doc, item, least):
+    """Greedy string tiling word by word: the longest unused common run, by place in item and document, again and again."""
+    used_doc, used_item, out = set(), set(), []
+    while True:
+        best = (0, 0, 0)
+        for j in range(len(item)):
+            for i in range(len(doc)):
+                n = 0
+                while (
+                    i + n < len(doc) and j + n < len(item) and doc[i + n] == item[j + n] and i + n not in used_doc and j + n not in used_item
+                ):
+                    n += 1
+                if n > best[2]:
+                    best = (i, j, n)
+        i, j, n = best
+        if n < least:
+            return out
+        used_doc |= set(range(i, i + n))
+        used_item |= set(range(j, j + n))
+        out.append(best)
+
+
+def test_tiling_against_brute_force():
+    rng = random.Random(2)
+    for trial in range(150):
+        item = [rng.randrange(4 if trial % 2 else 40) for _ in range(rng.randrange(0, 30))]
+        doc = [rng.randrange(4 if trial % 2 else 40) for _ in range(rng.randrange(0, 20))]
+        for _ in range(3):
+            a = rng.randrange(len(item) + 1)
+            doc += item[a : a + rng.randrange(12)]
+        got = dc.tiles(np.array(doc, np.uint64), np.array(item, np.uint64), 3)
+        assert got == brute_tiles(doc, item, 3)
+
+
+@pytest.fixture(scope="module")
+def table():
+    rng = random.Random(12)
+    items = [prose(rng, 24) for _ in range(12)] + ["too few words here", None, "", "the the the the the the"]
+    texts = mixed_texts(n=10)
+    for k, item in enumerate(items[:12]):
+        w = item.split(" ")
+        variants = [
+            item, item.upper() + "!", ", ".join(w), " ".join(w[12:] + ["between"] * 9 + w[:12]),  # whole, other case and signs, parts swapped
+            " ".join(x if n != 11 else "changed" for n, x in enumerate(w)), " ".join(w[:12]), " ".join(w[::-1]),
+        ]
+        texts.append(f"{prose(rng, 50)} {variants[k % len(variants)]} {prose(rng, 50)}")
+    texts.append("the " * 3000)
+    return items, texts
+
+
+def by_words(text):
+    import re
+
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+@pytest.mark.parametrize("block", [8 << 20, 300])
+def test_documents_and_items(spark, table, monkeypatch, block):
+    """In one block and in several."""
+    monkeypatch.setattr(dc, "BLOCK_BYTES", block)
+    items, texts = table
+    expected = {}
+    for d, text in enumerate(texts):
+        doc = by_words(text)
+        for k, item in enumerate(items):
+            words = by_words(item)
+            seeds = {tuple(words[j : j + 5]) for j in range(len(words) - 4)}
+            if seeds & {tuple(doc[i : i + 5]) for i in range(len(doc) - 4)}:
+                covered = sum(n for *_, n in brute_tiles(doc, words, 5)) if len(doc) < 1000 else len(words)
+                if covered >= 0.75 * len(words):
+                    expected[(d, k)] = covered
+    benchmark = spark.createDataFrame(list(enumerate(items)) + [(0, items[0])], ITEMS).selectExpr("*", "1 doc_id", "'t' lang")
+    rows = dc.contaminated(documents(spark, texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id): r.covered_words for r in rows} == expected and len(rows) == len(expected)
+    assert len({d for d, _ in expected}) >= 9
+    for r in rows:
+        lowered = texts[r.doc_id].lower().encode()
+        assert sum(t.words for t in r.tiles) == r.covered_words
+        assert all(by_words(lowered[t.start : t.end].decode()) and t.words == len(by_words(lowered[t.start : t.end].decode())) for t in r.tiles)
+
+
+def test_repeated_rows_null_ids_and_nothing(spark):
+    item = "one two three four five six"
+    benchmark = spark.createDataFrame([(1, item)], ITEMS)
+    docs = documents(spark, [(3, "x " + item), (3, "x " + item), (None, item), (4, None), (5, "")], item_id="9", tiles="0")
+    assert Counter(r.doc_id for r in dc.contaminated(docs, benchmark).collect()) == {3: 2, None: 1}
+    assert dc.contaminated(docs.limit(0), benchmark).count() == 0
+    assert dc.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def test_words_are_the_same_in_one_text_and_in_many():
+    texts = ["Ab-c d_e 1x", "", "é! ü", " ", "end"]
+    many = [t.hashes.tolist() for t in dc.tokens(pa.array(texts, pa.large_string()))]
+    alone = [t.hashes.tolist() for x in texts for t in dc.tokens(pa.array([x], pa.large_string()))]
+    assert many == alone and [len(x) for x in many] == [5, 0, 2, 0, 1]

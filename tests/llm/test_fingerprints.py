@@ -1,0 +1,103 @@
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from corpus import documents, mixed_texts, prose
+from remitlake.llm import fingerprints as fp
+
+
+def level(window: bytes) -> int:
+    terms = sum(round(n * math.log2(n) * 65536) for n in Counter(window).values())
+    full = 64 * 6 * 65536
+    return (full - terms) * 1000 // full
+
+
+def brute_features(raw: bytes, rank: np.ndarray) -> list[bytes]:
+    """The features of one text, in order, each content once."""
+    if not raw:
+        return []
+    if len(raw) < 64:
+        return [raw]
+    levels = [level(raw[i : i + 64]) for i in range(len(raw) - 63)]
+    ranks = [int(rank[x]) if x >= 100 else 10_000 for x in levels]
+    if len(ranks) < 64:
+        best = min(range(len(ranks)), key=lambda i: (ranks[i], i))
+        return [raw[best : best + 64]]
+    wins = Counter(min(range(i, i + 64), key=lambda k: (ranks[k], k)) for i in range(len(ranks) - 63))
+    chosen = sorted(i for i, n in wins.items() if n >= 16 and ranks[i] < 10_000)
+    return list(dict.fromkeys(raw[i : i + 64] for i in chosen))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return mixed_texts(n=15)
+
+
+def test_levels_against_counting():
+    for raw in (b"abc" * 100, bytes(range(256)), prose(random.Random(1), 100).encode(), b"z" * 64, b"short"):
+        assert fp.levels(np.frombuffer(raw, np.uint8)).tolist() == [level(raw[i : i + 64]) for i in range(len(raw) - 63)]
+
+
+def test_ranks_are_counted_over_all_windows(spark, texts):
+    counts = Counter(level(raw[i : i + 64]) for t in texts if t for raw in [t.encode()] for i in range(len(raw) - 63))
+    order = sorted(range(1001), key=lambda x: (counts[x], x))
+    assert fp.ranks(documents(spark, texts)).tolist() == np.argsort(order).tolist()
+
+
+def test_filters_against_brute_force(spark, texts):
+    """As many features as plain counting finds, 160 to a filter, whatever texts share a batch."""
+    rank = fp.ranks(documents(spark, texts))
+    together = fp.filters(pa.array(texts, pa.large_string()), rank)
+    for text, chain in zip(texts, together, strict=True):
+        features = brute_features((text or "").encode(), rank)
+        assert len(chain) == -(-len(features) // 160)
+        (alone,) = fp.filters(pa.array([text], pa.large_string()), rank)
+        assert (alone == chain).all() and (fp.read(fp.written(chain)) == chain).all()
+        if 0 < len(features) <= 160:
+            assert len(features) <= np.bitwise_count(chain).sum() <= 5 * len(features)
+
+
+def test_likeness():
+    rng = random.Random(4)
+    rank = np.arange(1001)
+    a, b = prose(rng, 900), prose(rng, 900)
+    half = a[: len(a) // 2] + b[: len(b) // 2]
+    fa, fb, fh, nothing = fp.filters(pa.array([a, b, half, ""], pa.large_string()), rank)
+    assert fp.likeness(fa, fa) == 1 and fp.likeness(fa, fb) < 0.1 < 0.35 < fp.likeness(fa, fh) < 0.65
+    assert fp.likeness(fa, fh) == fp.likeness(fh, fa)
+    assert (fp.likeness(nothing, nothing), fp.likeness(nothing, fa)) == (1.0, 0.0)
+
+
+@pytest.mark.parametrize("size", [200, 8 << 20])
+def test_beside_edited(spark, texts, monkeypatch, size):
+    """Ranges of a few documents, and all in one."""
+    monkeypatch.setattr(fp, "RANGE_BYTES", size)
+    rows = [(i * 3 - 20, t) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in fp.beside_edited(documents(spark, rows).repartition(6)).collect()}
+    assert len(got) == len(rows)
+    falling = sorted(((i, t or "") for i, t in rows), reverse=True)
+    rank = fp.ranks(documents(spark, rows))
+    for (i, text), (_, after) in zip(falling, falling[1:] + falling[:1], strict=True):
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        own, new, following = fp.filters(pa.array([text, changed, after], pa.large_string()), rank)
+        assert (got[i].n_chars, got[i].edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (fp.written(own), fp.written(new))
+        assert (got[i].near_edited, got[i].near_next) == (fp.likeness(own, new), fp.likeness(own, following))
+
+
+def test_repeated_rows_null_ids_other_columns_and_nothing(spark):
+    df = documents(spark, [(7, "same text"), (7, "same text"), (7, None), (None, "no id"), (1, "")], range="1", guest="true", host="2")
+    got = fp.beside_edited(df).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.n_chars) for r in got if r.doc_id is not None) == [(False, 1, 0), (False, 7, 0), (False, 7, 9), (False, 7, 9)]
+    assert [r.n_chars for r in got if r.doc_id is None] == [5]
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    assert fp.beside_edited(df.limit(0)).count() == 0
+    (single,) = fp.beside_edited(documents(spark, [prose(random.Random(1), 50)])).collect()
+    assert single.near_next == 1.0
+    assert fp.fingerprints(df).select("fingerprint").distinct().count() == 3
