@@ -28,12 +28,12 @@ A_MONTH = "1998-06"
 _PROCESSING_TIMES = ("ingestion_timestamp", "silver_processed_timestamp")
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ingestion_metadata(raw_transactions(spark, sf_dir), SOURCE)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.to_silver(_bronze(spark, sf_dir))
+    return cleaning.to_silver(bronze_rows(spark, sf_dir))
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def _paths(spark: SparkSession) -> LayerPaths:
 
 
 def _stored_bronze(spark: SparkSession, sf_dir: str, paths: LayerPaths) -> DataFrame:
-    return write_table(_bronze(spark, sf_dir), paths.bronze)
+    return write_table(bronze_rows(spark, sf_dir), paths.bronze)
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def _of_raw(step: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _of_bronze(step: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _shown(step(_bronze(spark, sf_dir)))
+    return lambda spark, sf_dir: _shown(step(bronze_rows(spark, sf_dir)))
 
 
 def _of_silver(step: Callable[[DataFrame], DataFrame]) -> Query:
