@@ -4,25 +4,28 @@ Documents are the rows and shingles the columns of a 0/1 matrix M; overlaps are
 product is taken in blocks of columns, and only over the columns and pairs that size bounds leave:
 
 * Documents with one and the same set are one row (a *node*).
-* Two sets of similarity t or more share a shingle among the first ``n - ceil(t n) + 1`` of each, whatever fixed order
-  shingles are put in. Only these prefixes enter the product. Shingles that many documents share come last in the
-  order, so that a common passage does not bring documents together. The table of them is only an order: its size
-  bound changes no result.
-* A block of columns ties the nodes of each column to one of them (a star), so a group of copies gives as many pairs
-  as it has members. Pairs are settled by the whole sets. What is linked is one class.
-* Columns on which several classes still meet are multiplied out: overlaps within the prefixes are summed for each
-  pair of nodes of different classes, pairs below the bound that follows from their sizes are discarded, and the rest
-  is settled by the whole sets.
+* Only part of a set enters the product: its first 40 percent in a fixed order, shingles that very many documents share
+  last (the table of those is only an order: its size bound changes no result). Blocks of columns count how many nodes
+  have each shingle. Sizes give how many of these shingles two similar sets share at least, so that each node may do
+  without its most frequent ones but for one less than that. What a passage brings into many documents goes, and a
+  node that has too little left has no partner.
+* Rounds of stars find most links: in each column the nodes of other classes are tied to one of them, each node to the
+  one that it has most columns with. A group of copies so gives as many pairs as it has members. Pairs are settled by
+  the whole sets, and what is linked is one class.
+* Columns on which several classes still meet are multiplied out in blocks of nodes that meet on them: overlaps are
+  summed for each pair of nodes of different classes, pairs below the bound that follows from their sizes are
+  discarded, and what is left is multiplied by the whole sets. A block gives links that join classes, never its pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlake.llm.components import components
@@ -35,10 +38,18 @@ PERCENT = 75
 #: Common shingles that come last in the order: at most so many, each in so many documents. 8 bytes each to every task.
 COMMON = 1 << 18
 COMMON_FROM = 16
+#: Share of a set, beyond what the similarity asks for, that enters the product, in percent.
+MORE = 15
+#: Rounds of stars go on, so many at most, while they find links and the product has more than so many pairs an entry.
+ROUNDS = 2
+PAIRS_PER_ENTRY = 4
 #: Entries of the matrix in a block of columns, and pairs settled by one task around one node.
 BLOCK_ENTRIES = 500_000
 PAIRS_PER_TASK = 512
+#: Nodes at one hub that a task multiplies with each other.
+HUB_NODES = 10_000
 _FLUSH = 1_000_000
+_TILE = 1024
 
 
 def _node(grams: np.ndarray) -> int:
@@ -106,7 +117,7 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
                     continue
                 seen.add(node)
                 late = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams if len(common) else np.zeros(len(grams), bool)
-                keep = len(grams) - -(-percent * len(grams) // 100) + 1
+                keep = int(_kept(len(grams), percent))
                 nodes.append(node)
                 sizes.append(len(grams))
                 held.append(np.concatenate([grams[~late], grams[late]])[:keep])
@@ -122,9 +133,29 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
     return run
 
 
-def _stars(percent: int):
-    """The columns of one block: for each node beside the first of a column (node, hub, columns), and all entries of such columns."""
-    schema = pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("hub", pa.int64()), ("hub_size", pa.int32()), ("columns", pa.int32())])
+def _kept(n, percent: int):
+    """How many shingles of a set of n enter the product: n - ceil(percent n / 100) + 1, and MORE percent."""
+    return np.minimum(n, n - -(-percent * n // 100) + 1 + -(-MORE * n // 100))
+
+
+def _least_shared(a, b, percent: int):
+    """How many of the shingles that enter the product two similar sets of sizes a and b share at least.
+
+    They share ceil(percent (a + b) / (100 + percent)). Of the set whose part ends first in the order, all that is
+    shared beyond the parts lies beyond its own.
+    """
+    return -(-percent * (a + b) // (100 + percent)) - np.maximum(a - _kept(a, percent), b - _kept(b, percent))
+
+
+def _least_of_any(n, percent: int):
+    """A lower bound of ``_least_shared`` over all sizes that can be similar to n: it is least at either end of them, but for rounding."""
+    ends = np.minimum(_least_shared(n, -(-percent * n // 100), percent), _least_shared(n, 100 * n // percent, percent))
+    return np.maximum(1, ends - 2)
+
+
+def _columns(percent: int):
+    """The columns of one block that several nodes have: (gram, node, size, needed, nodes of the column)."""
+    schema = pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("needed", pa.int32()), ("nodes", pa.int32())])
 
     def read(table: pa.Table, column: str, kind: type) -> np.ndarray:
         return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
@@ -136,48 +167,35 @@ def _stars(percent: int):
         order = np.argsort(grams)
         same = np.diff(grams[order]) == 0
         order = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
+        order = order[np.lexsort((node[order], grams[order]))]
         grams, node, size = grams[order], node[order], size[order]
-        order = np.lexsort((node, size, grams))
-        grams, node, size = grams[order], node[order], size[order]
-        if len(grams):
+        if len(grams):  # equal sets are equal nodes, and a column of one node only is alone
             fresh = np.insert((np.diff(grams) != 0) | (np.diff(node) != 0), 0, True)
             grams, node, size = grams[fresh], node[fresh], size[fresh]
-        # Equal sets are equal nodes: a column of one node only is alone.
-        starts = np.insert(np.diff(grams) != 0, 0, True) if len(grams) else np.zeros(0, bool)
-        members = np.diff(np.append(np.flatnonzero(starts), len(grams)))
-        many = np.repeat(members > 1, members)
-        grams, node, size = grams[many], node[many], size[many]
-        pairs = []
-        g, x, s = grams, node, size
-        while len(g):  # a hub reaches as far as sizes allow; the nodes beyond have another hub
-            starts = np.insert(np.diff(g) != 0, 0, True)
-            hub = np.maximum.accumulate(np.where(starts, np.arange(len(g)), 0))
-            near = 100 * s[hub].astype(np.int64) >= percent * s.astype(np.int64)
-            leaf = near & ~starts
-            pairs.append(np.stack([x[leaf], x[hub[leaf]], s[leaf], s[hub[leaf]]], axis=1))
-            g, x, s = g[~near], x[~near], s[~near]
-        pairs, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True) if pairs else (np.zeros((0, 4), np.int64), np.zeros(0, np.int64))
-        entries = [grams.view(np.int64), node, size, None, None, None]
-        ties = [None, pairs[:, 0], pairs[:, 2], pairs[:, 1], pairs[:, 3], times]
-
-        def column(upper: np.ndarray | None, lower: np.ndarray | None, kind: pa.DataType) -> pa.Array:
-            parts = [pa.nulls(n, kind) if values is None else pa.array(np.ascontiguousarray(values)).cast(kind) for values, n in ((upper, len(grams)), (lower, len(pairs)))]
-            return pa.concat_arrays(parts)
-
-        return pa.table([column(a, b, f.type) for a, b, f in zip(entries, ties, schema, strict=True)], schema=schema)
+            starts = np.flatnonzero(np.insert(np.diff(grams) != 0, 0, True))
+            members = np.diff(np.append(starts, len(grams)))
+            members = np.repeat(members, members)
+            many = members > 1
+            grams, node, size, members = grams[many], node[many], size[many], members[many]
+        else:
+            members = np.zeros(0, np.int64)
+        needed = _least_of_any(size.astype(np.int64), percent)
+        columns = (grams.view(np.int64), node, size, needed.astype(np.int32), members.astype(np.int32))
+        at_rest()
+        return pa.table([pa.array(c) for c in columns], schema=schema)
 
     return run
 
 
-_SETS = "y long, part int, x long, grams binary"
+_SETS = "y long, part int, x long, node long, grams binary"
 
 
 def _whole_sets(words: int):
     """The set of each text to every place where it is compared: x is null where it is the hub."""
 
     def rows(held: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=["y", "part", "x", "grams"])
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=["y", "part", "x", "node", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +206,7 @@ def _whole_sets(words: int):
                     continue
                 blob = grams.tobytes()
                 for place in wanted:
-                    held.append((place["y"], place["part"], place["x"], blob))
+                    held.append((place["y"], place["part"], place["x"], node, blob))
                     size += len(blob)
                     if size > 1 << 22:
                         yield rows(held)
@@ -226,23 +244,21 @@ def _settle(percent: int):
     return run
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (x, y) whose whole sets are similar. A node y of many pairs is shared out over tasks.
+def _sets_at(places: DataFrame, texts: DataFrame, owners: DataFrame, words: int) -> DataFrame:
+    """(y, part, x, node, grams): the whole set of each node at each of its places. Only documents that are needed are shuffled."""
+    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
+    return marked(texts, "doc_id", places, "wanted").where("wanted").join(places, "doc_id").select("text", "node", "places").mapInArrow(_whole_sets(words), _SETS)
 
-    ``owners`` says which document to take a node's set from. Only those documents are shuffled.
-    """
+
+def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (x, y) whose whole sets are similar. A node y of many pairs is shared out over tasks."""
     parts = pairs.groupBy("y").agg((F.count(F.lit(1)) / PAIRS_PER_TASK + 1).cast("int").alias("parts"))
     none = F.lit(None).cast("long")
     hubs = parts.select(F.col("y").alias("node"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), none.alias("x"))
     leaves = pairs.join(parts, "y").select(F.col("x").alias("node"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "x")
     places = hubs.unionAll(leaves).groupBy("node").agg(F.collect_list(F.struct("y", "part", "x")).alias("places"))
-    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
     return (
-        marked(texts, "doc_id", places, "wanted")
-        .where("wanted")
-        .join(places, "doc_id")
-        .select("text", "node", "places")
-        .mapInArrow(_whole_sets(words), _SETS)
+        _sets_at(places, texts, owners, words)
         .repartition("y", "part")
         .sortWithinPartitions("y", "part", F.asc_nulls_first("x"))
         .select("y", "x", "grams")
@@ -250,14 +266,206 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, p
     )
 
 
-def _least_shared(a: Column, b: Column, percent: int) -> Column:
-    """Columns that the prefixes of two similar sets of these sizes share at least.
+def _ceil_div(a: Column, b: int) -> Column:
+    return F.floor((a + (b - 1)) / b).cast("long")
+
 
-    The sets share ``percent * (a + b) / (100 + percent)`` columns. Of the set whose prefix ends first in the order, all
-    that is shared beyond the prefixes lies beyond its own, which leaves ``ceil(percent * n / 100) - 1``.
+def _kept_column(n: Column, percent: int) -> Column:
+    return F.least(n, n - _ceil_div(percent * n, 100) + 1 + _ceil_div(MORE * n, 100))
+
+
+def _shared_bound(a: Column, b: Column, needed_a: Column, needed_b: Column, percent: int) -> Column:
+    """How many of the columns that are left two similar sets share at least.
+
+    ``_least_shared`` less what either may have done without: one less than it needs.
     """
-    shared = F.ceil(percent * (a + b).cast("long") / (100 + percent))
-    return shared - F.ceil(percent * F.greatest(a, b).cast("long") / 100) + 1
+    a, b = a.cast("long"), b.cast("long")
+    shared = _ceil_div(percent * (a + b), 100 + percent) - F.greatest(a - _kept_column(a, percent), b - _kept_column(b, percent))
+    return F.greatest(F.lit(1), shared - F.greatest(needed_a, needed_b) + 1)
+
+
+def _placed(columns: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """The columns on which several classes meet, with the class of each node."""
+    own = F.col("node").alias("class")
+    if classes is not None:
+        columns = columns.drop("class").join(classes, "node", "left")
+        own = F.coalesce("root", "node").alias("class")
+    placed = columns.select("gram", "node", "size", "needed", own)
+    met = placed.groupBy("gram").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("gram")
+    return stored(placed.join(met, "gram", "left_semi"), "placed")
+
+
+def _meetings(placed: DataFrame) -> tuple[int, int]:
+    """(entries, pairs of nodes of different classes summed over the columns)."""
+    own = placed.groupBy("gram", "class").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    each = own.groupBy("gram").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    row = each.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def _similar_sizes(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b).cast("long") >= percent * F.greatest(a, b).cast("long")
+
+
+def _stars(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(x, y): each node with the hub of another class that it has most columns with, if these are many enough.
+
+    A column's hub is drawn by the node and the turn, so columns of much the same nodes have one hub.
+    """
+    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), *[F.col(c).alias(f"{c}2") for c in ("node", "size", "needed", "class")])
+    hubs = placed.groupBy("gram").agg(F.min(drawn).alias("hub")).select("gram", "hub.*")
+    ties = (
+        placed.join(hubs, "gram")
+        .where((F.col("class") != F.col("class2")) & _similar_sizes("size", "size2", percent))
+        .groupBy("node", "size", "needed", "node2", "size2", "needed2")
+        .agg(F.count(F.lit(1)).alias("shared"))
+    )
+    bound = _shared_bound(F.col("size"), F.col("size2"), F.col("needed"), F.col("needed2"), percent)
+    ties = ties.where(2 * F.col("shared") >= bound)
+    return ties.groupBy(F.col("node").alias("x")).agg(F.max(F.struct("shared", "node2"))["node2"].alias("y"))
+
+
+def _overlaps(lists: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Tiles of the product of the matrix of some sets with its transpose: (first row, first column, overlaps)."""
+    lengths = np.array([len(x) for x in lists])
+    row = np.repeat(np.arange(len(lists)), lengths)
+    _, column, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], place[column[keep]]
+    width = int(shared.sum())
+    ends = np.searchsorted(row, np.arange(len(lists) + 1))
+
+    def dense(low: int, high: int, edge: int) -> np.ndarray:
+        part = slice(ends[low], ends[high])
+        inside = (column[part] >= edge) & (column[part] < edge + _TILE)
+        out = np.zeros((high - low, min(_TILE, width - edge)), np.float32)
+        out[row[part][inside] - low, column[part][inside] - edge] = 1
+        return out
+
+    for low in range(0, len(lists), _TILE):
+        high = min(low + _TILE, len(lists))
+        for start in range(low, len(lists), _TILE):
+            stop = min(start + _TILE, len(lists))
+            counts = np.zeros((high - low, stop - start), np.float32)
+            for edge in range(0, width, _TILE):
+                counts += dense(low, high, edge) @ dense(start, stop, edge).T
+            yield low, start, counts
+
+
+def _hubs(table: pa.Table) -> Iterator[tuple[int, dict[str, np.ndarray], list[np.ndarray]]]:
+    """The rows of each hub of a table: (hub, columns, sets)."""
+    rows = {c: table.column(c).to_numpy() for c in table.column_names if c != "grams"}
+    blobs = table.column("grams").to_pylist()
+    order = np.argsort(rows["hub"], kind="stable")
+    edges = np.append(np.flatnonzero(np.insert(np.diff(rows["hub"][order]) != 0, 0, True)), len(order))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        at = order[a:b]
+        yield int(rows["hub"][at[0]]), {c: v[at] for c, v in rows.items()}, [np.asarray(blobs[i], np.int64) for i in at.tolist()]
+
+
+def _promising(percent: int):
+    """The nodes at a hub that share enough columns with one of another class: (hub, node, class)."""
+    schema = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("class", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        out = [[], [], []]
+        for hub, rows, lists in _hubs(table):
+            kind, size, needed = rows["class"], rows["size"].astype(np.int64), rows["needed"].astype(np.int64)
+            good = np.zeros(len(lists), bool)
+            for low, start, counts in _overlaps(lists) if len(lists) > 1 else ():
+                i, j = np.nonzero(counts)
+                shared, i, j = counts[i, j], i + low, j + start
+                bound = _least_shared(size[i], size[j], percent) - np.maximum(needed[i], needed[j]) + 1
+                enough = (kind[i] != kind[j]) & (shared >= bound) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+                good[i[enough]] = good[j[enough]] = True
+            out[0] += [hub] * int(good.sum())
+            out[1] += rows["node"][good].tolist()
+            out[2] += kind[good].tolist()
+        at_rest()
+        return pa.table([pa.array(c, pa.int64()) for c in out], schema=schema)
+
+    return run
+
+
+def _hub_links(percent: int):
+    """Rows in order of hub, with whole sets: links that join the classes at each hub, as few as do."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def at_hub(held: list[tuple]) -> Iterator[tuple[int, int]]:
+        nodes, kinds, lists = zip(*held, strict=True)
+        root = {k: k for k in kinds}
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = k = root[root[k]]
+            return k
+
+        size = np.array([len(x) for x in lists], np.int64)
+        for low, start, counts in _overlaps(list(lists)):
+            i, j = np.nonzero(100 * counts >= percent * (size[low : low + len(counts), None] + size[None, start : start + counts.shape[1]] - counts))
+            for a, b in zip((i + low).tolist(), (j + start).tolist(), strict=True):
+                if (p := find(kinds[a])) != (q := find(kinds[b])):
+                    root[max(p, q)] = min(p, q)
+                    yield nodes[a], nodes[b]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at, found = [], None, []
+        for batch in batches:
+            for hub, node, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("hub", "node", "class", "grams")), strict=True):
+                if hub != at:
+                    found += at_hub(held) if len(held) > 1 else ()
+                    held, at = [], hub
+                held.append((node, kind, np.frombuffer(blob, np.uint64)))
+            if found:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
+                found = []
+        if len(held) > 1 and (found := list(at_hub(held))):
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
+        at_rest()
+
+    return run
+
+
+def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, pairs): links between nodes of different classes that join all classes which the columns left can join;
+    the pairs are yet to be settled.
+
+    Columns of much the same nodes have the same hub. A hub's nodes are multiplied with each other in one task, first by
+    the columns that are left, and those that share enough with any again by their whole sets. The columns of a hub of
+    more nodes than a task should hold are joined with themselves instead, which gives pairs.
+    """
+    hubs = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(-1)).alias("draw"), "node"))["node"].alias("hub"))
+    rows = stored(placed.join(hubs, "gram"), "rows")
+    crowd = rows.groupBy("hub").agg(F.approx_count_distinct("node").alias("nodes"))
+    large = crowd.where(F.col("nodes") > HUB_NODES).select("hub")
+    lists = rows.groupBy("node", "size", "needed", "class").agg(F.collect_list("gram").alias("grams"))
+    met = rows.select("hub", "node").distinct().join(large, "hub", "left_anti").join(lists, "node")
+    blocks = max(24, entries // BLOCK_ENTRIES)
+    promising = stored(
+        met.select("hub", "node", "size", "needed", "class", "grams", F.pmod(F.xxhash64("hub"), F.lit(blocks)).alias("block"))
+        .groupBy("block")
+        .applyInArrow(_promising(percent), "hub long, node long, class long"),
+        "promising",
+    )
+    places = promising.groupBy("node", "class").agg(F.collect_list(F.struct(F.col("hub").alias("y"), F.lit(0).alias("part"), F.col("class").alias("x"))).alias("places"))
+    links = (
+        _sets_at(places.select("node", "places"), texts, owners, words)
+        .repartition("y")
+        .sortWithinPartitions("y")
+        .select(F.col("y").alias("hub"), "node", F.col("x").alias("class"), "grams")
+        .mapInArrow(_hub_links(percent), "x long, y long")
+    )
+    wide = rows.join(large, "hub").select("gram", "node", "size", "needed", "class")
+    other = wide.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "class")])
+    pairs = (
+        wide.join(other, "gram")
+        .where((F.col("class") != F.col("class2")) & (F.col("node") < F.col("node2")) & _similar_sizes("size", "size2", percent))
+        .select(F.col("node").alias("x"), F.col("node2").alias("y"))
+        .distinct()
+    )
+    return links, pairs
 
 
 def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -278,44 +486,39 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
         .orderBy(F.desc("docs"), "gram").limit(COMMON).select("gram").toPandas()["gram"].to_numpy(np.int64)
     )
     entries = profile.agg(F.sum("n")).first()[0] or 0
-    blocks = max(24, entries * (100 - percent) // 100 // BLOCK_ENTRIES)
-    met = stored(
+    blocks = max(24, entries * (100 - percent + MORE) // 100 // BLOCK_ENTRIES)
+    columns = stored(
         texts.mapInArrow(
             _prefixes(words, percent, np.sort(common.view(np.uint64)), blocks),
             "block int, nodes binary, sizes binary, counts binary, grams binary",
         )
         .groupBy("block")
-        .applyInArrow(_stars(percent), "gram long, node long, size int, hub long, hub_size int, columns int"),
+        .applyInArrow(_columns(percent), "gram long, node long, size int, needed int, nodes int"),
         "columns",
     )
-    columns = met.where("hub is null").select("gram", "node", "size")
+    # A node does without its most frequent columns, but for one less than it needs.
+    falling = Window.partitionBy("node").orderBy(F.desc("nodes"), F.desc("gram"))
+    columns = columns.withColumn("place", F.row_number().over(falling)).where("place >= needed").drop("place", "nodes")
     owners = profile.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
-    # Each node to the hub it has most columns with, where these alone may be enough. This finds most links cheaply;
-    # the product below finds the others.
-    ties = met.where("hub is not null").groupBy("node", "size", "hub", "hub_size").agg(F.sum("columns").alias("columns"))
-    ties = ties.where(F.col("columns") >= _least_shared(F.col("size"), F.col("hub_size"), percent))
-    stars = ties.groupBy(F.col("node").alias("x")).agg(F.max_by("hub", F.struct("columns", "hub")).alias("y"))
-    links = stored(_linked(stars, texts, owners, words, percent), "links")
-    classes = components(links, "x", "y")
-
-    # Columns on which several classes still meet.
-    placed = columns.join(classes, "node", "left").select("gram", "node", "size", F.coalesce("root", "node").alias("class"))
-    placed = stored(placed, "placed")
-    mixed_columns = placed.groupBy("gram").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("gram")
-    left = placed.join(mixed_columns, "gram", "left_semi")
-    right = left.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "class")])
-    pairs = (
-        left.join(right, "gram")
-        .where("class <> class2 and node < node2")
-        .where(100 * F.least("size", "size2") >= percent * F.greatest("size", "size2"))
-        .groupBy("node", "node2", "size", "size2")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .where(F.col("shared") >= _least_shared(F.col("size"), F.col("size2"), percent))
-        .select(F.col("node").alias("x"), F.col("node2").alias("y"))
-    )
-    more = _linked(stored(pairs, "pairs"), texts, owners, words, percent)
-    classes = components(stored(links.unionByName(more), "links"), "x", "y")
+    links, classes = [], None
+    placed = _placed(columns, None)
+    for turn in range(ROUNDS):
+        found = stored(_linked(stored(_stars(placed, turn, percent), "pairs"), texts, owners, words, percent), "links")
+        met, pairs = _meetings(placed)
+        if not found.isEmpty():
+            links.append(found)
+            classes = components(reduce(DataFrame.unionAll, links), "x", "y")
+            placed = _placed(placed, classes)
+            met, pairs = _meetings(placed)
+        if links[-1:] != [found] or pairs <= PAIRS_PER_ENTRY * met:
+            break
+    if pairs:
+        found, open_pairs = _product(placed, met, texts, owners, words, percent)
+        links += [found, _linked(stored(open_pairs, "pairs"), texts, owners, words, percent)]
+        classes = components(stored(reduce(DataFrame.unionAll, links), "links"), "x", "y")
+    if classes is None:
+        classes = owners.select("node", F.col("node").alias("root")).limit(0)
 
     rows = profile.select("doc_id", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
     rows = rows.select("doc_id", "n_shingles", F.coalesce("root", "node").alias("class"))
