@@ -35,7 +35,7 @@ BUCKETS = 1 << 15
 #: A training sequence joins so many snippets.
 SNIPPETS = 2
 UNKNOWN = "und"
-_WORDS_AT_ONCE = 300_000
+_WORDS_AT_ONCE = 600_000
 _REMEMBERED = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+").findall
@@ -46,12 +46,24 @@ def words_of(text: str) -> list[str]:
     return _WORD(text.lower())
 
 
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
+class _Buckets(dict):
+    """Bucket of each affix or n-gram; they recur, so each is hashed once."""
+
+    def __missing__(self, part: str) -> int:
+        self[part] = bucket = zlib.crc32(part.encode()) % BUCKETS
+        return bucket
+
+
+def word_features(word: str, lexicon: dict[str, int], buckets: dict[str, int] | None = None) -> list[int]:
     """Numbers of a word's features: hashed affixes and n-grams, then the word's place in a lexicon if it has one."""
+    buckets = _Buckets() if buckets is None else buckets
     ends = f"<{word}>"
     parts = [f"p{ends[:n]}" for n in (2, 3, 4)] + [f"s{ends[-n:]}" for n in (2, 3, 4)]
-    parts += [ends[i : i + n] for n in (1, 2, 3) for i in range(len(ends) - n + 1)] if len(word) < 40 else []
-    numbers = [zlib.crc32(p.encode()) % BUCKETS for p in parts]
+    if len(word) < 40:
+        parts += word
+        parts += [ends[i : i + 2] for i in range(len(ends) - 1)]
+        parts += [ends[i : i + 3] for i in range(len(ends) - 2)]
+    numbers = [buckets[p] for p in parts]
     if word in lexicon:
         numbers.append(BUCKETS + lexicon[word])
     return numbers
@@ -64,18 +76,26 @@ class Model(NamedTuple):
 
 
 class _Scores(dict):
-    """Row of each word in a table of its scores; a new word gets a row when it is first asked for."""
+    """Row of each word in a table of its scores."""
 
     def __init__(self, model: Model):
-        self.model, self.table = model, np.zeros((1024, len(model.languages)), np.float32)
-
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[row] = self.model.chain.weights[word_features(word, self.model.lexicon)].sum(axis=0)
-        self[word] = row
-        return row
+        self.model, self.table, self.buckets = model, np.zeros((0, len(model.languages)), np.float32), _Buckets()
+
+    def learn(self, words: list[str]) -> None:
+        """Give rows to the words that have none."""
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if len(self) + len(new) > _REMEMBERED:
+            self.clear()
+            self.buckets.clear()
+            self.table, new = self.table[:0], list(dict.fromkeys(words))
+        numbers, places = [], [0]
+        for word in new:
+            numbers += word_features(word, self.model.lexicon, self.buckets)
+            places.append(len(numbers))
+        self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+        if new:
+            rows = crf.summed_rows(self.model.chain.weights, np.array(numbers), np.array(places))
+            self.table = np.concatenate([self.table, rows])
 
 
 def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +135,13 @@ def fit(known: DataFrame) -> Model | None:
     lexicon = _lexicon(snippets, labels, len(languages))
     order = np.random.default_rng(0).permutation(len(snippets))
     known_words: dict[str, int] = {}
-    features, places = [], [0]
+    buckets, features, places = _Buckets(), [], [0]
     words, gold, ends = [], [], []
     for nth, i in enumerate(order.tolist(), 1):
         for word in snippets[i]:
             if word not in known_words:
                 known_words[word] = len(known_words)
-                features += word_features(word, lexicon)
+                features += word_features(word, lexicon, buckets)
                 places.append(len(features))
             words.append(known_words[word])
             gold.append(labels[i])
@@ -138,22 +158,20 @@ def predict(texts: list[str | None], model: Model, scores: _Scores) -> list[tupl
     out: list[tuple[str, float]] = []
     at = 0
     while at < len(texts):
-        if len(scores) > _REMEMBERED:
-            scores.clear()
-        ids, letters, ends, begin = [], [], [0], at
-        while at < len(texts) and len(ids) < _WORDS_AT_ONCE:
-            found = words_of(texts[at]) if texts[at] else []
-            ids += [scores[w] for w in found]
-            letters += map(len, found)
-            ends.append(len(ids))
+        words, ends, begin = [], [0], at
+        while at < len(texts) and len(words) < _WORDS_AT_ONCE:
+            words += words_of(texts[at]) if texts[at] else []
+            ends.append(len(words))
             at += 1
+        scores.learn(words)
         offsets = np.array(ends)
         some = np.diff(offsets) > 0
         totals = np.zeros((at - begin, len(model.languages)))
-        if ids:
-            emitted = scores.table[np.array(ids)]
+        if words:
+            emitted = scores.table[np.fromiter(map(scores.__getitem__, words), np.int64, len(words))]
+            letters = np.fromiter(map(len, words), np.float32, len(words))
             marginals = crf.forward_backward(emitted, offsets, model.chain.transitions, model.chain.start).marginals
-            totals[some] = np.add.reduceat(marginals * np.array(letters, np.float32)[:, None], offsets[:-1][some], axis=0)
+            totals[some] = np.add.reduceat(marginals * letters[:, None], offsets[:-1][some], axis=0)
         best = totals.argmax(axis=1)
         share = totals.max(axis=1) / np.maximum(totals.sum(axis=1), 1e-9)
         out += [
