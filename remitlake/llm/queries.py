@@ -85,8 +85,38 @@ from positions group by doc_id, size, source_size, target
 """
 
 
+_JACCARD = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+),
+sets as (
+  select doc_id, case
+    when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    when len(w) > 0 then [array_to_string(w, ' ')]
+    else [] end as shingles
+  from words
+),
+grams as (select doc_id, len(shingles) as n, unnest(shingles) as gram from sets),
+shared as (
+  select a.doc_id as a, b.doc_id as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as common
+  from grams a join grams b on a.gram = b.gram and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+),
+links as (select a, b from shared where 100 * common >= 75 * (n + m - common)),
+reach as (
+  select doc_id, doc_id as other from documents
+  union
+  select r.doc_id, l.b from reach r join links l on r.other = l.a
+),
+firsts as (select doc_id, min(other) as component_id from reach group by doc_id)
+select s.doc_id, coalesce(len(s.shingles), 0)::bigint as n_shingles, f.component_id
+from sets s join firsts f on s.doc_id = f.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_license_scan": licenses.scan_sql(),
+        "op6_ngram_jaccard": _JACCARD,
         "op9_mixing": _MIXING,
     }
