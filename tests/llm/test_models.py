@@ -128,6 +128,21 @@ def test_without_labels_documents_or_ids(spark, operator):
     assert operator(docs, one_kind).count() == 4
 
 
+@pytest.mark.parametrize("operator, label, least", [(quality.quality, "quality", 0.97), (toxicity.toxicity, "toxic", 0.95)])
+def test_held_out_documents_of_the_given_tables(spark, operator, label, least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r[label] for r in labels.collect()}
+    held = [(r.predicted, truth[r.doc_id]) for r in operator(docs, labels).collect() if r.held_out and r.doc_id in truth]
+    assert len(held) > 80 and np.mean([a == b for a, b in held]) >= least
+
+
+def test_languages_of_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    held = [(r.lang_pred, truth[r.doc_id]) for r in language.language(docs).collect() if r.held_out]
+    assert len(held) > 200 and np.mean([a == b for a, b in held]) >= 0.97
+
+
 def test_line_measures_of_any_texts():
     import pyarrow as pa
 
