@@ -55,4 +55,12 @@ def stored(df: DataFrame, name: str = "rows") -> DataFrame:
     """The same rows, computed once, written as Parquet to the shared folder and read from there."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Remove frames of ``stored`` that nothing reads any more: what was made from them must be stored itself."""
+    for df in frames:
+        discard(df.sparkSession, df.stored_at)

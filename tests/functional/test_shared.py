@@ -39,6 +39,8 @@ def test_stored_rows_are_the_same_rows_until_they_are_discarded(spark):
     spark.range(3).write.parquet(path)
     shared.discard(spark, path)
     assert not Path(path).exists()
+    shared.dropped(df)
+    assert not Path(df.stored_at).exists()
 
 
 def test_the_folder_is_gone_after_the_session(tmp_path):
