@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.llm import decontaminate, mixing, ngram_join, sharding, toxicity
-from remitlake.sources.shared import stored
+from remitlake.sources.shared import dropped, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -40,7 +40,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the curriculum, each as often as its source's target takes it."""
-    return mixing.in_training_order(docs).select(*docs.columns)
+    return mixing.in_training_order(docs, name="_position").select(*docs.columns)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +62,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    for n, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        if n:
+            dropped(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlake.llm.text import Piece, Words, pieces, prefix_hashes, span_hashes, mixed
+from remitlake.llm.text import Piece, Words, at_rest, pieces, prefix_hashes, span_hashes, mixed
 
 SEED_WORDS = 5
 COVERAGE = 0.75
@@ -149,6 +149,7 @@ def _tiled(items: Items, least: int, coverage: float):
                         out.append((ids[row].as_py(), items.ids[m], len(items.words[m]), covered, covered / len(items.words[m]), spans))
             if out:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+        at_rest()
 
     return run
 

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from remitlake.llm import crf
 from remitlake.llm.labelled import fold, sample
-from remitlake.sources.shared import stored
+from remitlake.llm.text import at_rest
+from remitlake.sources.shared import dropped, stored
 
 FOLDS, HELD_OUT = 4, 2
 #: Documents to train on, at most (about), and the words in a row of one of them that training looks at.
@@ -191,6 +192,7 @@ def predictor(model: Model | None):
             held = [t if isinstance(t, str) else None for t in texts]
             rows = predict(held, model, scores) if model else [(UNKNOWN, 0.0)] * len(held)
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
+        at_rest()
 
     return predicted
 
@@ -199,7 +201,10 @@ def learned(docs: DataFrame) -> Model | None:
     """The model that the documents with a language outside the held-out fold give."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    return fit(stored(sample(known, FIT_DOCUMENTS).select("text", "lang"), "sample"))
+    known = stored(sample(known, FIT_DOCUMENTS).select("text", "lang"), "sample")
+    model = fit(known)
+    dropped(known)
+    return model
 
 
 def language(docs: DataFrame) -> DataFrame:

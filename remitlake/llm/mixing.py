@@ -114,18 +114,19 @@ def per_document(mixed: DataFrame) -> DataFrame:
     )
 
 
-def in_training_order(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs, each as often as it is read and with its ``position``, range-sorted by that.
+def in_training_order(docs: DataFrame, *, name: str = "position", **settings) -> DataFrame:
+    """The rows of docs, each as often as it is read and with its position in a column ``name``, range-sorted by that.
 
-    A reading that comes at the same time as another follows the lower doc_id.
+    A reading that comes at the same time as another follows the lower doc_id. A column of that name that docs has is
+    replaced.
     """
     mixed = mixture(docs, **settings).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), F.explode("positions").alias("position")
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), F.explode("positions").alias("_position")
     )
     same = (
         docs["doc_id"].cast("long").eqNullSafe(mixed["_id"])
         & docs["source"].cast("string").eqNullSafe(mixed["_source"])
         & (F.xxhash64(docs["text"].cast("string")) == mixed["_key"])
     )
-    read = docs.join(mixed, same).select(*[docs[c] for c in docs.columns], mixed["position"])
-    return read.repartitionByRange(read["position"], read["doc_id"]).sortWithinPartitions(read["position"], read["doc_id"])
+    read = docs.join(mixed, same).select(*[docs[c] for c in docs.columns if c != name], mixed["_position"].alias(name))
+    return read.repartitionByRange(name, "doc_id").sortWithinPartitions(name, "doc_id")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from remitlake.llm.components import components
 from remitlake.llm.members import marked
 from remitlake.llm.text import at_rest, shingle_sets
-from remitlake.sources.shared import stored
+from remitlake.sources.shared import dropped, stored
 
 WORDS = 5
 PERCENT = 75
@@ -244,26 +244,31 @@ def _settle(percent: int):
     return run
 
 
-def _sets_at(places: DataFrame, texts: DataFrame, owners: DataFrame, words: int) -> DataFrame:
-    """(y, part, x, node, grams): the whole set of each node at each of its places. Only documents that are needed are shuffled."""
-    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
+def _sets_at(places: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(y, part, x, node, grams): the whole set of each node at each of its places (doc_id, node, places). Only documents
+    that are needed are shuffled."""
     return marked(texts, "doc_id", places, "wanted").where("wanted").join(places, "doc_id").select("text", "node", "places").mapInArrow(_whole_sets(words), _SETS)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (x, y) whose whole sets are similar. A node y of many pairs is shared out over tasks."""
+    """Those of the pairs (x, y) whose whole sets are similar, stored. A node y of many pairs is shared out over tasks."""
+    pairs = stored(pairs, "pairs")
     parts = pairs.groupBy("y").agg((F.count(F.lit(1)) / PAIRS_PER_TASK + 1).cast("int").alias("parts"))
     none = F.lit(None).cast("long")
     hubs = parts.select(F.col("y").alias("node"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), none.alias("x"))
     leaves = pairs.join(parts, "y").select(F.col("x").alias("node"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "x")
     places = hubs.unionAll(leaves).groupBy("node").agg(F.collect_list(F.struct("y", "part", "x")).alias("places"))
-    return (
-        _sets_at(places, texts, owners, words)
+    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
+    found = (
+        _sets_at(places, texts, words)
         .repartition("y", "part")
         .sortWithinPartitions("y", "part", F.asc_nulls_first("x"))
         .select("y", "x", "grams")
         .mapInArrow(_settle(percent), "x long, y long")
     )
+    found = stored(found, "links")
+    dropped(pairs, places)
+    return found
 
 
 def _ceil_div(a: Column, b: int) -> Column:
@@ -428,13 +433,12 @@ def _hub_links(percent: int):
     return run
 
 
-def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, pairs): links between nodes of different classes that join all classes which the columns left can join;
-    the pairs are yet to be settled.
+def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> list[DataFrame]:
+    """Links between nodes of different classes that join all classes which the columns left can join.
 
     Columns of much the same nodes have the same hub. A hub's nodes are multiplied with each other in one task, first by
     the columns that are left, and those that share enough with any again by their whole sets. The columns of a hub of
-    more nodes than a task should hold are joined with themselves instead, which gives pairs.
+    more nodes than a task should hold are joined with themselves instead, and their pairs settled one by one.
     """
     hubs = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(-1)).alias("draw"), "node"))["node"].alias("hub"))
     rows = stored(placed.join(hubs, "gram"), "rows")
@@ -443,29 +447,33 @@ def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFram
     lists = rows.groupBy("node", "size", "needed", "class").agg(F.collect_list("gram").alias("grams"))
     met = rows.select("hub", "node").distinct().join(large, "hub", "left_anti").join(lists, "node")
     blocks = max(24, entries // BLOCK_ENTRIES)
-    promising = stored(
+    promising = (
         met.select("hub", "node", "size", "needed", "class", "grams", F.pmod(F.xxhash64("hub"), F.lit(blocks)).alias("block"))
         .groupBy("block")
-        .applyInArrow(_promising(percent), "hub long, node long, class long"),
-        "promising",
+        .applyInArrow(_promising(percent), "hub long, node long, class long")
     )
-    places = promising.groupBy("node", "class").agg(F.collect_list(F.struct(F.col("hub").alias("y"), F.lit(0).alias("part"), F.col("class").alias("x"))).alias("places"))
-    links = (
-        _sets_at(places.select("node", "places"), texts, owners, words)
+    places = promising.groupBy("node").agg(F.collect_list(F.struct(F.col("hub").alias("y"), F.lit(0).alias("part"), F.col("class").alias("x"))).alias("places"))
+    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
+    found = (
+        _sets_at(places, texts, words)
         .repartition("y")
         .sortWithinPartitions("y")
         .select(F.col("y").alias("hub"), "node", F.col("x").alias("class"), "grams")
         .mapInArrow(_hub_links(percent), "x long, y long")
     )
-    wide = rows.join(large, "hub").select("gram", "node", "size", "needed", "class")
-    other = wide.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "class")])
-    pairs = (
-        wide.join(other, "gram")
-        .where((F.col("class") != F.col("class2")) & (F.col("node") < F.col("node2")) & _similar_sizes("size", "size2", percent))
-        .select(F.col("node").alias("x"), F.col("node2").alias("y"))
-        .distinct()
-    )
-    return links, pairs
+    links = [stored(found, "links")]
+    wide = rows.join(large, "hub").select("gram", "node", "size", "class")
+    if not large.isEmpty():
+        other = wide.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "class")])
+        pairs = (
+            wide.join(other, "gram")
+            .where((F.col("class") != F.col("class2")) & (F.col("node") < F.col("node2")) & _similar_sizes("size", "size2", percent))
+            .select(F.col("node").alias("x"), F.col("node2").alias("y"))
+            .distinct()
+        )
+        links.append(_linked(pairs, texts, owners, words, percent))
+    dropped(rows, places)
+    return links
 
 
 def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -487,7 +495,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     )
     entries = profile.agg(F.sum("n")).first()[0] or 0
     blocks = max(24, entries * (100 - percent + MORE) // 100 // BLOCK_ENTRIES)
-    columns = stored(
+    columns = columns_stored = stored(
         texts.mapInArrow(
             _prefixes(words, percent, np.sort(common.view(np.uint64)), blocks),
             "block int, nodes binary, sizes binary, counts binary, grams binary",
@@ -502,21 +510,23 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     owners = profile.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     links, classes = [], None
-    placed = _placed(columns, None)
+    placed, old = _placed(columns, None), columns_stored
+    met, pairs = _meetings(placed)
     for turn in range(ROUNDS):
-        found = stored(_linked(stored(_stars(placed, turn, percent), "pairs"), texts, owners, words, percent), "links")
+        found = _linked(_stars(placed, turn, percent), texts, owners, words, percent)
+        if found.isEmpty():
+            break
+        links.append(found)
+        classes = components(reduce(DataFrame.unionAll, links), "x", "y")
+        dropped(old)
+        placed, old = _placed(placed, classes), placed
         met, pairs = _meetings(placed)
-        if not found.isEmpty():
-            links.append(found)
-            classes = components(reduce(DataFrame.unionAll, links), "x", "y")
-            placed = _placed(placed, classes)
-            met, pairs = _meetings(placed)
-        if links[-1:] != [found] or pairs <= PAIRS_PER_ENTRY * met:
+        if pairs <= PAIRS_PER_ENTRY * met:
             break
     if pairs:
-        found, open_pairs = _product(placed, met, texts, owners, words, percent)
-        links += [found, _linked(stored(open_pairs, "pairs"), texts, owners, words, percent)]
-        classes = components(stored(reduce(DataFrame.unionAll, links), "links"), "x", "y")
+        links += _product(placed, met, texts, owners, words, percent)
+        classes = components(reduce(DataFrame.unionAll, links), "x", "y")
+    dropped(old, placed, *links)
     if classes is None:
         classes = owners.select("node", F.col("node").alias("root")).limit(0)
 

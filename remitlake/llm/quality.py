@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from remitlake.llm import crf
 from remitlake.llm.labelled import fold, labelled_sample
-from remitlake.llm.text import Piece, lowered, mixed, pieces, word_hashes, words
-from remitlake.sources.shared import stored
+from remitlake.llm.text import Piece, at_rest, lowered, mixed, pieces, word_hashes, words
+from remitlake.sources.shared import dropped, stored
 
 FOLDS, HELD_OUT = 3, 1
 #: Labelled documents to train on, at most (about), and the lines of one of them that training looks at, in a row.
@@ -193,13 +193,17 @@ def scorer(model: Model | None):
                     sums, weights = (np.add.reduceat(v, lines[:-1]) for v in (good * weight, weight))
                     out[piece.first : piece.first + len(sums)] = sums / weights
             yield pd.Series(np.clip(out, 0.0, 1.0))
+        at_rest()
 
     return score
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = labelled_sample(docs, labels, "quality", folds=FOLDS, held_out=HELD_OUT, most=FIT_DOCUMENTS)
-    return fit(stored(known.select("text", "label"), "sample"))
+    known = stored(known.select("text", "label"), "sample")
+    model = fit(known)
+    dropped(known)
+    return model
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

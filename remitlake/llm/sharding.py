@@ -42,15 +42,13 @@ def shard_plan(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
         [F.asc("first"), F.asc("text_key"), F.asc("doc_id")],
         {"start": "size", "index": "one"},
     )
-    total = placed.agg(F.sum("size").alias("total"))
+    total = placed.agg(F.sum("size")).first()[0] or 1
     starts = placed.groupBy("text_key").agg(F.min("start").alias("group_start"))
-    whole = F.col("group_bytes") * shards <= F.col("total") * WHOLE_GROUP
+    whole = F.col("group_bytes") * shards <= total * WHOLE_GROUP
     twice_middle = F.when(whole, 2 * F.col("group_start") + F.col("group_bytes")).otherwise(2 * F.col("start") + F.col("size"))
-    placed = (
-        placed.join(starts, "text_key")
-        .join(total)  # one row
-        .withColumn("shard", F.floor(twice_middle.cast("decimal(38,0)") * shards / (2 * F.col("total"))).cast("int"))
-    )
+    shares = (twice_middle.cast("decimal(28,0)") * F.lit(shards).cast("decimal(10,0)")).cast("decimal(38,0)")
+    shard = F.call_function("div", shares, F.lit(2 * total).cast("decimal(38,0)")).cast("int")
+    placed = placed.join(starts, "text_key").withColumn("shard", shard)
     firsts = placed.groupBy("shard").agg(F.min("index").alias("first_index"))
     return placed.join(firsts, "shard").select(
         "doc_id", "size", "text_crc32", "text_key", "shard", (F.col("index") - F.col("first_index")).alias("slot")
@@ -58,7 +56,10 @@ def shard_plan(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
 
 
 def in_shards(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
-    """The rows of docs with ``shard`` and ``slot``, to be written shard by shard: repeated rows get one slot each."""
+    """The rows of docs with ``shard`` and ``slot``, to be written shard by shard: repeated rows get one slot each.
+
+    Columns of these names that docs has are replaced.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     alike = Window.partitionBy("_id", "_key").orderBy(F.lit(1))
     rows = docs.withColumns(
@@ -69,7 +70,8 @@ def in_shards(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
         F.col("doc_id").alias("_plan_id"), F.col("text_key").alias("_plan_key"), "shard", "slot", F.row_number().over(again).alias("_plan_copy")
     )
     same = F.col("_id").eqNullSafe(F.col("_plan_id")) & (F.col("_key") == F.col("_plan_key")) & (F.col("_copy") == F.col("_plan_copy"))
-    return rows.join(plan, same).select(*docs.columns, plan["shard"], plan["slot"])
+    own = [rows[c] for c in docs.columns if c not in ("shard", "slot")]
+    return rows.join(plan, same).select(*own, plan["shard"], plan["slot"])
 
 
 def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS) -> None:

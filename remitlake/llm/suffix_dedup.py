@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from remitlake.llm.members import marked
 from remitlake.llm.text import at_rest, flat, mixed, prefix_hashes, span_hashes
-from remitlake.sources.shared import stored
+from remitlake.sources.shared import dropped, stored
 
 LENGTH = 400
 ANCHOR = 100
@@ -352,6 +352,7 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCH
     )
     ranges = met.where("copies > 1").select("row_id", "text_key", "first", "last").unionByName(found)
     ranges = stored(ranges.groupBy("row_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
+    dropped(met)
     touched = marked(texts, "text_key", ranges, "touched")
     whole = touched.where("not touched").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.array().cast("array<struct<start:long,end:long>>").alias("removed"), F.col("text").cast("binary").alias("kept")

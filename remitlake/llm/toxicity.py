@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlake.llm.labelled import fold, labelled_sample
-from remitlake.sources.shared import stored
+from remitlake.llm.text import at_rest
+from remitlake.sources.shared import dropped, stored
 
 FOLDS, HELD_OUT = 4, 2
 #: Labelled documents that the lexicon and the curve are learned from, at most (about); entries of either kind, at most.
@@ -109,6 +110,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _counted(toxic, clean)
             toxic, clean = Counter(), Counter()
     yield from _counted(toxic, clean)
+    del toxic, clean
+    at_rest()
 
 
 def _counted(toxic: Counter, clean: Counter) -> Iterator[pa.RecordBatch]:
@@ -197,6 +200,7 @@ def fit(known: DataFrame, *, exceptions: tuple[str, ...] = ()) -> Lexicon:
         begun = common.select("word", "clean", F.explode(pieces).alias("entry")).join(known.sparkSession.createDataFrame(beginnings, "entry string"), "entry")
         best = begun.select("word", "clean").distinct().orderBy(F.desc("clean"), "word").limit(ENTRIES)
         harmless = [f" {r.word} " for r in best.collect()]
+    dropped(words)
     given = [f" {' '.join(folded_words(p))} " for p in exceptions]
     lexicon = Lexicon(entries, tuple(dict.fromkeys([*given, *harmless])), ())
     rows = known.mapInArrow(_feature_rows(lexicon), "a double, b double, c double, label int").toPandas()  # one short row for each of the sample
@@ -223,6 +227,7 @@ def scorer(lexicon: Lexicon):
         for texts in batches:
             x = np.array([(*features(folded_words(t), machine), 1.0) if isinstance(t, str) else (0.0, 0.0, 0.0, 1.0) for t in texts]).reshape(-1, 4)
             yield pd.Series(1 / (1 + np.exp(-np.clip(x @ slopes, -30, 30))))
+        at_rest()
 
     return score
 
@@ -230,7 +235,10 @@ def scorer(lexicon: Lexicon):
 def learned(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """The lexicon that the labelled documents outside the held-out fold give."""
     known = labelled_sample(docs, labels, "toxic", folds=FOLDS, held_out=HELD_OUT, most=FIT_DOCUMENTS)
-    return fit(stored(known.select("text", "label"), "sample"))
+    known = stored(known.select("text", "label"), "sample")
+    lexicon = fit(known)
+    dropped(known)
+    return lexicon
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -129,6 +129,7 @@ def test_shards_are_balanced_and_gapless(spark, sf_dir):
 
 def test_written_shards_and_repeated_rows(spark, tmp_path):
     df = documents(spark, [(1, "same"), (1, "same"), (None, None), (None, ""), (2, "other")])
+    assert sharding.in_shards(df.selectExpr("*", "'x' shard", "doc_id slot")).columns == [*df.columns, "shard", "slot"]
     placed = sharding.in_shards(df, shards=2).collect()
     assert len(placed) == 5 and len({(r.shard, r.slot) for r in placed}) == 5
     sharding.write_shards(df, str(tmp_path / "out"), shards=2)
@@ -194,12 +195,12 @@ def test_training_order(spark):
     read = Counter()
     for r in mixed.collect():
         read[(r.doc_id, r.source)] += len(r.positions) * r.rows
-    out = mixing.in_training_order(df.drop("position"))
+    out = mixing.in_training_order(df)
     rows = out.collect()
     assert Counter((r.doc_id, r.source) for r in rows) == +read
     assert [r.position for r in rows] == sorted(r.position for r in rows)
     assert mixing.per_document(mixed).count() == df.count()
-    assert mixing.mixture(df.limit(0)).count() == 0 and mixing.in_training_order(df.drop("position").limit(0)).count() == 0
+    assert mixing.mixture(df.limit(0)).count() == 0 and mixing.in_training_order(df.limit(0)).count() == 0
 
 
 def test_words(spark):
