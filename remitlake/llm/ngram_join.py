@@ -148,9 +148,9 @@ def _least_shared(a, b, percent: int):
 
 
 def _least_of_any(n, percent: int):
-    """A lower bound of ``_least_shared`` over all sizes that can be similar to n: it is least at either end of them, but for rounding."""
+    """The least ``_least_shared`` over all sizes that can be similar to n: it is that of the smallest or of the largest."""
     ends = np.minimum(_least_shared(n, -(-percent * n // 100), percent), _least_shared(n, 100 * n // percent, percent))
-    return np.maximum(1, ends - 2)
+    return np.maximum(1, ends)
 
 
 def _columns(percent: int):
@@ -504,17 +504,20 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
         .applyInArrow(_columns(percent), "gram long, node long, size int, needed int, nodes int"),
         "columns",
     )
-    # A node does without its most frequent columns, but for one less than it needs.
+    # A node that has fewer columns than it needs has no partner. Else it does without its most frequent columns, but for
+    # one less than it needs.
+    able = columns.groupBy("node").agg(F.max("needed").alias("needed"), F.count(F.lit(1)).alias("columns")).where("columns >= needed")
+    columns = marked(columns, "node", able, "able").where("able").drop("able")
     falling = Window.partitionBy("node").orderBy(F.desc("nodes"), F.desc("gram"))
     columns = columns.withColumn("place", F.row_number().over(falling)).where("place >= needed").drop("place", "nodes")
     owners = profile.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     links, classes = [], None
-    placed, old = _placed(columns, None), columns_stored
-    met, pairs = _meetings(placed)
+    placed, old, met, pairs = _placed(columns, None), columns_stored, 0, 1
     for turn in range(ROUNDS):
         found = _linked(_stars(placed, turn, percent), texts, owners, words, percent)
         if found.isEmpty():
+            met, pairs = _meetings(placed)
             break
         links.append(found)
         classes = components(reduce(DataFrame.unionAll, links), "x", "y")
