@@ -1,8 +1,8 @@
 """Document fingerprints from improbable features, in chained Bloom filters.
 
 Every window of 64 bytes has an entropy; how seldom that entropy occurs over all documents ranks the window. A window
-that has the lowest rank around it often enough is a feature. A feature's hash sets five bits of a Bloom filter; a
-filter that holds 160 features is closed and the next one is opened. Two fingerprints are compared filter by filter:
+that has the lowest rank around it often enough is a feature; a text without any has its best window instead. A
+feature's hash sets five bits of a Bloom filter; a filter that holds 160 features is closed and the next one is opened. Two fingerprints are compared filter by filter:
 the bits they share, beyond what chance gives, in relation to the most they could share.
 """
 
@@ -86,6 +86,11 @@ def ranks(docs: DataFrame) -> np.ndarray:
     return out
 
 
+def _repeats(data: np.ndarray) -> bool:
+    """Whether a text is one unit of under POPULAR bytes again and again: of equal windows the first wins, none often enough."""
+    return any((data[lag:] == data[:-lag]).all() for lag in range(1, POPULAR))
+
+
 def _features(piece: Piece, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of the features of a piece in order, each hash once for a text."""
     data, offsets = piece.data, piece.offsets
@@ -108,11 +113,19 @@ def _features(piece: Piece, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         best = best[_inside(piece, run)] if len(data) >= run else best[:0]
         best = best[(best >> 32) <= LEVELS]
         wins = np.bincount(best & 0xFFFFFFFF, minlength=1)
-        chosen.append(np.flatnonzero(wins >= POPULAR))
-        # A text of less than a run has its best window, one of less than a window itself.
-        for i in np.flatnonzero((lengths >= WINDOW) & (lengths < run)).tolist():
+        popular = np.flatnonzero(wins >= POPULAR)
+        chosen.append(popular)
+        # A text without a feature has its best window, one of less than a window itself. In less than POPULAR runs no
+        # window can win often enough; a longer text that only repeats a short unit stays without.
+        without = np.diff(np.searchsorted(popular, offsets)) == 0
+        for i in np.flatnonzero((lengths >= WINDOW) & without).tolist():
             a, b = int(offsets[i]), int(offsets[i + 1]) - WINDOW + 1
-            chosen.append(np.array([int(key[a:b].min()) & 0xFFFFFFFF]))
+            if lengths[i] >= run + POPULAR - 1 and _repeats(data[a : b + WINDOW - 1]):
+                continue
+            top = int(key[a:b].min())
+            if top >> 32 > LEVELS and lengths[i] >= run:  # nearly constant throughout
+                top = int(((rank[level[a:b]] << 32) | np.arange(a, b)).min())
+            chosen.append(np.array([top & 0xFFFFFFFF]))
     starts = np.sort(np.concatenate(chosen)) if chosen else np.zeros(0, np.int64)
     ends = starts + WINDOW
     tiny = np.flatnonzero((lengths > 0) & (lengths < WINDOW))

@@ -62,6 +62,27 @@ def test_filters_against_brute_force(spark, texts):
             assert len(features) <= np.bitwise_count(chain).sum() <= 5 * len(features)
 
 
+def test_texts_without_a_popular_window_have_their_best():
+    """Whatever texts share a batch; in under 142 bytes no window wins 16 runs."""
+    rng = random.Random(9)
+    rank = np.random.default_rng(9).permutation(1001)
+    texts = [prose(rng, 60)[:n] for n in range(120, 301) for _ in range(3)]
+    texts += ["=" * n for n in (126, 127, 141)] + ["-" * 200 + "x" + "-" * 200, "_" * 200 + "y" + "_" * 200]
+    chains = fp.filters(pa.array(texts, pa.large_string()), rank)
+    assert sum(not brute_features(t.encode(), rank) for t in texts[:543]) > 40
+    for text, chain in zip(texts, chains, strict=True):
+        raw, features = text.encode(), brute_features(text.encode(), rank)
+        assert len(chain) == 1 and (fp.filters(pa.array([text], pa.large_string()), rank)[0] == chain).all()
+        if not features and text.strip("="):
+            scores = [(int(rank[x]), i) for i, x in enumerate(level(raw[i : i + 64]) for i in range(len(raw) - 63))]
+            best = min(scores)[1]
+            (alone,) = fp.filters(pa.array([raw[best : best + 64].decode()], pa.large_string()), rank)
+            assert (alone == chain).all()
+    for a, b in zip(chains[:543], chains[1:543], strict=False):
+        assert fp.likeness(a, a) == 1 and fp.likeness(a, b) < 0.5
+    assert fp.likeness(chains[-1], chains[-2]) < 0.5 and fp.likeness(chains[0], chains[-1]) < 0.5
+
+
 def test_likeness():
     rng = random.Random(4)
     rank = np.arange(1001)
