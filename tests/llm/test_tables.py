@@ -56,6 +56,33 @@ def test_licenses_without_rows_templates_or_ids(spark):
     assert licenses.scan(df, templates={"Z": text, "A": text}).first().license == "A"
 
 
+def test_licenses_wrapped_over_lines_and_inside_longer_lines(spark):
+    rng = random.Random(6)
+    rows, expected = [], {}
+    for i, (name, notice) in enumerate(sorted(licenses.TEMPLATES.items())):
+        if name == "All-rights-reserved":  # of three words; on two lines below
+            continue
+        words = notice.split(" ")
+        cut = [" ".join(words[k : k + 4]) for k in range(0, len(words), 4)]
+        before, after = prose(rng, 30), prose(rng, 40)
+        wrapped = f"{before}\n * " + "\n * ".join(cut) + f"\n{after}"
+        inside = f"{prose(rng, 8)}\n{before}. {notice} {after}\n{prose(rng, 9)}"
+        rows += [(10 * i, wrapped), (10 * i + 1, inside)]
+        expected |= {(10 * i, name): (1.0, 1, 1), (10 * i + 1, name): (1.0, 1, 1)}
+    mit, bsd = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["BSD"].replace("source and", "sources or")
+    rows += [
+        (1000, f"Copyright 2020 Some One. {mit} More prose follows here. {mit} All rights reserved. And so on, and so on."),
+        (1001, f"All rights\nreserved.\n{mit}\n{mit}"),
+        (1002, f"{prose(rng, 12)} {bsd[:50]}\n{bsd[50:]} {prose(rng, 12)}"),
+        (1003, "Released under\n" + prose(rng, 50) + " the MIT License"),
+    ]
+    expected |= {(1000, "MIT"): (1.0, 2, 0), (1000, "All-rights-reserved"): (1.0, 1, 0), (1001, "All-rights-reserved"): (1.0, 1, 0), (1001, "MIT"): (1.0, 2, 2)}
+    got = {(r.doc_id, r.license): (r.dice, r.lines, r.first_line) for r in licenses.scan(documents(spark, rows)).collect()}
+    dice, *places = got.pop((1002, "BSD"))
+    assert 0.75 <= dice < 1 and places == [1, 0]
+    assert got == expected
+
+
 # --- running sums ----------------------------------------------------------------------------------------------------
 
 
