@@ -1,15 +1,18 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are runs of letters and digits in lower case. A running hash over five words (Karp-Rabin) of every document is
+Words are runs of letters, their marks, and digits in lower case; a letter of a script without spaces is a word by
+itself. A running hash over five words (Karp-Rabin) of every document is
 looked up among those of the test items: shared seeds bring a document and an item together. Then tiles are laid:
 the longest run of words that both have and neither has used is marked in both, until no run of five words is left.
 Tiles may lie in any order, so a passage whose parts were moved is found as well. The share of an item's words that
-tiles cover is its coverage.
+tiles cover is its coverage. An item of fewer than five words is found where all of its words stand in a row.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -27,18 +30,51 @@ BLOCK_BYTES = 8 << 20
 _SLOTS = 1 << 20
 
 _LETTER = np.zeros(256, bool)
-_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana, Han, half-width kana, Han beyond 16 bits.
+_UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3031, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF),
+    (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+]
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Of each character: 0 for what parts words, 1 for letters, marks and digits, 2 for those that are words alone."""
+    out = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)]).astype(np.uint8)
+    for first, last in _UNSPACED:
+        out[first : last + 1] *= 2
+    return out
+
+
+def _beyond_ascii(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, number of bytes and kind of each character beyond ASCII."""
+    at = np.flatnonzero(data >= 0xC0)
+    b = np.append(data, np.zeros(3, np.uint8)).astype(np.int32)
+    lead, tail = b[at], [b[at + k] & 0x3F for k in (1, 2, 3)]
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    code = np.where(
+        size == 2,
+        (lead & 0x1F) << 6 | tail[0],
+        np.where(size == 3, (lead & 0x0F) << 12 | tail[0] << 6 | tail[1], (lead & 0x07) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2]),
+    )
+    return at, size, _kinds()[np.minimum(code, 0x10FFFF)]
 
 
 def _words(piece: Piece) -> Words:
-    """Runs of ASCII letters and digits and of all characters beyond ASCII."""
+    """Runs of letters, marks and digits; each letter of a script without spaces by itself."""
     n, offsets = len(piece.data), piece.offsets
     ink = np.append(_LETTER[piece.data], False)
+    cut = np.zeros(n + 2, bool)  # a word that goes on to this byte ends before it
+    at, size, kind = _beyond_ascii(piece.data)
+    for k in range(4):
+        ink[at[(size > k) & (kind > 0)] + k] = True
+    cut[at[kind == 2]] = cut[(at + size)[kind == 2]] = True
     before = np.insert(ink[:-1], 0, False)
     before[offsets] = False
     after = np.append(ink[1:], False)
     after[offsets[offsets > 0] - 1] = False
-    starts, ends = np.flatnonzero(ink & ~before), np.flatnonzero(ink & ~after) + 1
+    starts, ends = np.flatnonzero(ink & ~(before & ~cut[:-1])), np.flatnonzero(ink & ~(after & ~cut[1:])) + 1
     return Words(starts, ends, np.searchsorted(starts, offsets))
 
 
@@ -100,26 +136,53 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     return out
 
 
+class Seeds(NamedTuple):
+    """Sorted hashes of runs of so many words with the item each belongs to."""
+
+    words: int
+    hashes: np.ndarray
+    owner: np.ndarray
+    slots: np.ndarray
+
+
 class Items(NamedTuple):
-    """A block of test items: ids, word hashes, and the sorted hashes of their seeds with the item each belongs to."""
+    """A block of test items: ids, word hashes, and their seeds by number of words."""
 
     ids: list
     words: list[np.ndarray]
-    seeds: np.ndarray
-    owner: np.ndarray
-    slots: np.ndarray
+    seeds: list[Seeds]
 
 
-def items_of(ids: list, texts: list[str | None], least: int) -> Items:
-    """An item of fewer words than a seed has none: it is too short to be told from common phrases."""
-    words = [t.hashes for t in tokens(pa.array(texts, pa.large_string()))]
-    runs = [_running(w, least) for w in words]
-    owner = np.repeat(np.arange(len(words)), [len(r) for r in runs])
+def _seeds(words: list[np.ndarray], numbers: list[int], k: int) -> Seeds:
+    runs = [_running(words[i], k) for i in numbers]
+    owner = np.repeat(np.array(numbers, np.int64), [len(r) for r in runs])
     seeds = np.concatenate([*runs, np.zeros(0, np.uint64)])
     order = np.argsort(seeds, kind="stable")
     slots = np.zeros(_SLOTS, bool)
     slots[(seeds & np.uint64(_SLOTS - 1)).astype(np.int64)] = True
-    return Items(ids, words, seeds[order], owner[order], slots)
+    return Seeds(k, seeds[order], owner[order], slots)
+
+
+def items_of(ids: list, texts: list[str | None], least: int) -> Items:
+    """The seed of an item of fewer words than a seed has is the whole item; one without words has none."""
+    words = [t.hashes for t in tokens(pa.array(texts, pa.large_string()))]
+    by_length: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        if len(w):
+            by_length.setdefault(min(len(w), least), []).append(i)
+    return Items(ids, words, [_seeds(words, numbers, k) for k, numbers in sorted(by_length.items())])
+
+
+def _met(doc: np.ndarray, items: Items) -> list[int]:
+    """The items that share a seed with a document, in order."""
+    met: set[int] = set()
+    for s in items.seeds:
+        at = _running(doc, s.words)
+        at = at[s.slots[(at & np.uint64(_SLOTS - 1)).astype(np.int64)]]
+        if len(at):
+            low, high = np.searchsorted(s.hashes, at, "left"), np.searchsorted(s.hashes, at, "right")
+            met.update(int(s.owner[k]) for a, b in zip(low.tolist(), high.tolist(), strict=True) for k in range(a, b))
+    return sorted(met)
 
 
 _FOUND = "doc_id long, item_id long, item_words int, covered_words int, coverage double, tiles array<struct<start:long,end:long,words:int>>"
@@ -135,14 +198,8 @@ def _tiled(items: Items, least: int, coverage: float):
             ids = batch.column("doc_id")
             out = []
             for row, doc in enumerate(tokens(batch.column("text"))):
-                at = _running(doc.hashes, least)
-                at = at[items.slots[(at & np.uint64(_SLOTS - 1)).astype(np.int64)]]
-                if not len(at):
-                    continue
-                low, high = np.searchsorted(items.seeds, at, "left"), np.searchsorted(items.seeds, at, "right")
-                met = sorted({int(items.owner[k]) for a, b in zip(low.tolist(), high.tolist(), strict=True) for k in range(a, b)})
-                for m in met:
-                    laid = tiles(doc.hashes, items.words[m], least)
+                for m in _met(doc.hashes, items):
+                    laid = tiles(doc.hashes, items.words[m], min(least, len(items.words[m])))
                     covered = sum(n for _, _, n in laid)
                     if covered >= coverage * len(items.words[m]):
                         spans = [{"start": int(doc.starts[i]), "end": int(doc.ends[i + n - 1]), "words": n} for i, _, n in sorted(laid)]
@@ -158,9 +215,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = SEED_WOR
     """(doc_id, item_id, item_words, covered_words, coverage, tiles) for each document and item it covers well enough.
 
     ``tiles`` are the bytes of the lower-cased text that a tile begins and ends at, in order. Null and empty texts and
-    items of fewer than ``least`` words meet nothing. Repeated rows of docs give repeated rows; repeated items count
-    once. Either table may be empty. Other columns are not looked at. Items are taken to the tasks in blocks of bounded
-    size, all documents are read for each block, and no document is shuffled.
+    items without words meet nothing; an item of fewer than ``least`` words has to stand in the document whole. Repeated
+    rows of docs give repeated rows; repeated items count once. Either table may be empty. Other columns are not looked
+    at. Items are taken to the tasks in blocks of bounded size, all documents are read for each block, and no document
+    is shuffled.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()

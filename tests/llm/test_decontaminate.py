@@ -106,3 +106,24 @@ def test_words_are_the_same_in_one_text_and_in_many():
     many = [t.hashes.tolist() for t in dc.tokens(pa.array(texts, pa.large_string()))]
     alone = [t.hashes.tolist() for x in texts for t in dc.tokens(pa.array([x], pa.large_string()))]
     assert many == alone and [len(x) for x in many] == [5, 0, 2, 0, 1]
+
+
+def test_words_end_at_signs_and_spaces_beyond_ascii():
+    text = "caf\u00e9\u00a0na\u00efve\u2014\u201cquoted\u201d don\u2019t\u3000\u0440\u0435\u043a\u0430\u2026e\u0301t\u0435 \U0001f600x\u6771\u4eac\u3002\u30bf\u30ef\U00020000ab"
+    raw = text.lower().encode()
+    (found,) = dc.tokens(pa.array([text], pa.large_string()))
+    got = [raw[a:b].decode() for a, b in zip(found.starts, found.ends, strict=True)]
+    assert got == [
+        "caf\u00e9", "na\u00efve", "quoted", "don", "t", "\u0440\u0435\u043a\u0430", "e\u0301t\u0435", "x",
+        "\u6771", "\u4eac", "\u30bf", "\u30ef", "\U00020000", "ab",
+    ]
+
+
+def test_items_with_other_signs_without_spaces_and_short_ones(spark):
+    plain = 'the river said "never cross" me - not by night or by day'
+    curly = "the river\u00a0said \u201cnever\u3000cross\u201d me\u2014not\u00a0by night or\u2009by day"
+    chinese, short = "\u6cb3\u6d41\u7a7f\u8fc7\u53e4\u8001\u7684\u57ce\u5e02", "amber lantern seven"
+    benchmark = spark.createDataFrame([(1, plain), (2, chinese), (3, short), (4, "\u6c34"), (5, " \u2026 ")], ITEMS)
+    texts = [f"Before, {curly}\u2026 after", f"x\u4e00{chinese}\u3002y", "An Amber\u2014lantern, seven!", "amber lantern eight seven", "\u6c34\u661f"]
+    rows = dc.contaminated(documents(spark, texts), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in rows) == [(0, 1, 1.0), (1, 2, 1.0), (2, 3, 1.0), (4, 4, 1.0)]
