@@ -33,9 +33,11 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item go."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a test item go, those without an id as well; a clean text stays whatever other text has its id."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keyed=True)
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"].cast("string")) == found["_key"])
+    return docs.join(found, same, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

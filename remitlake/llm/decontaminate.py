@@ -188,14 +188,16 @@ def _met(doc: np.ndarray, items: Items) -> list[int]:
 _FOUND = "doc_id long, item_id long, item_words int, covered_words int, coverage double, tiles array<struct<start:long,end:long,words:int>>"
 
 
-def _tiled(items: Items, least: int, coverage: float):
+def _tiled(items: Items, least: int, coverage: float, keyed: bool):
     tile = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32())]))
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), tile]
     names = ["doc_id", "item_id", "item_words", "covered_words", "coverage", "tiles"]
+    if keyed:
+        kinds, names = [*kinds, pa.int64()], [*names, "text_key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("text_key") if keyed else None
             out = []
             for row, doc in enumerate(tokens(batch.column("text"))):
                 for m in _met(doc.hashes, items):
@@ -203,7 +205,8 @@ def _tiled(items: Items, least: int, coverage: float):
                     covered = sum(n for _, _, n in laid)
                     if covered >= coverage * len(items.words[m]):
                         spans = [{"start": int(doc.starts[i]), "end": int(doc.ends[i + n - 1]), "words": n} for i, _, n in sorted(laid)]
-                        out.append((ids[row].as_py(), items.ids[m], len(items.words[m]), covered, covered / len(items.words[m]), spans))
+                        key = (keys[row].as_py(),) if keyed else ()
+                        out.append((ids[row].as_py(), items.ids[m], len(items.words[m]), covered, covered / len(items.words[m]), spans, *key))
             if out:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
         at_rest()
@@ -211,16 +214,17 @@ def _tiled(items: Items, least: int, coverage: float):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = SEED_WORDS, coverage: float = COVERAGE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = SEED_WORDS, coverage: float = COVERAGE, keyed: bool = False) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, coverage, tiles) for each document and item it covers well enough.
 
     ``tiles`` are the bytes of the lower-cased text that a tile begins and ends at, in order. Null and empty texts and
     items without words meet nothing; an item of fewer than ``least`` words has to stand in the document whole. Repeated
     rows of docs give repeated rows; repeated items count once. Either table may be empty. Other columns are not looked
     at. Items are taken to the tasks in blocks of bounded size, all documents are read for each block, and no document
-    is shuffled.
+    is shuffled. With ``keyed`` a column ``text_key``, xxhash64 of the text, tells texts of one id apart.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    texts, found_columns = (texts.withColumn("text_key", F.xxhash64("text")), f"{_FOUND}, text_key long") if keyed else (texts, _FOUND)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // BLOCK_BYTES) + 1
@@ -228,6 +232,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = SEED_WOR
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         held = items_of([r.item_id for r in rows], [r.text for r in rows], least)
-        part = texts.mapInArrow(_tiled(held, least, coverage), _FOUND)
+        part = texts.mapInArrow(_tiled(held, least, coverage, keyed), found_columns)
         found = part if found is None else found.unionAll(part)
     return found

@@ -56,6 +56,14 @@ def test_documents_with_test_items_go(spark, sf_dir, stages):
     assert {r[0] for r in gone} == found
 
 
+def test_documents_with_test_items_go_by_their_text(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("text is not null").orderBy("item_id").first().text
+    rows = [(None, f"x {item}"), (None, "clean without an id"), (7, f"{item} y"), (7, f"{item} y"), (7, "clean under the same id"), (8, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    after = Counter((r.doc_id, r.text) for r in cp.drop_benchmark(spark, docs, sf_dir).collect())
+    assert after == Counter([rows[1], rows[4], rows[5], rows[6]])
+
+
 def test_documents_are_read_as_often_as_the_mix_takes_them(stages):
     _, before, after = stages[3]
     expected = Counter({r.doc_id: len(r.positions) for r in mixing.mixture(before).collect()})
