@@ -63,8 +63,9 @@ def position(words_before: Column, target: Column, tilt: Column) -> Column:
     """The training time at which a source's demand, target * (t + tilt * (t * t - t)), reaches so many words."""
     share = F.when(target > 0, words_before / target).otherwise(F.lit(0.0))
     rise = 1 - tilt
-    tilted = 2 * share / (rise + F.sqrt(F.greatest(rise * rise + 4 * tilt * share, F.lit(0.0))))
-    return F.when(tilt == 0, share).otherwise(tilted)
+    # At tilt 1 demand starts from nothing: 0 words are reached at 0 / 0, which is time 0.
+    tilted = F.try_divide(2 * share, rise + F.sqrt(F.greatest(rise * rise + 4 * tilt * share, F.lit(0.0))))
+    return F.when(tilt == 0, share).otherwise(F.coalesce(tilted, F.lit(0.0)))
 
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:

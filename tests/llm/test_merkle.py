@@ -1,0 +1,101 @@
+import random
+import zlib
+from hashlib import sha256
+from itertools import groupby
+
+import pytest
+
+from corpus import documents, mixed_texts
+from remitlake.llm import merkle, queries
+
+
+def h(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    shown = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (row[c] for c in merkle.COLUMNS)]
+    return h(*shown)
+
+
+def path(nodes, i):
+    """Siblings of node i, level by level, and the last node."""
+    out = []
+    while len(nodes) > 1:
+        out.append(nodes[i ^ 1] if i ^ 1 < len(nodes) else None)
+        nodes, i = [h(*nodes[j : j + 2]) for j in range(0, len(nodes), 2)], i // 2
+    return out, nodes[0]
+
+
+def folded(node, i, n, siblings):
+    for s in siblings:
+        node = h(node) if s is None else h(s, node) if i % 2 else h(node, s)
+        i //= 2
+    return node
+
+
+def brute(rows):
+    first = lambda r: (r["lang"] is not None, (r["lang"] or "").encode())
+    rows = sorted(rows, key=lambda r: (first(r), r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+    units = [list(u) for _, u in groupby(rows, key=first)]
+    subroots = [path([leaf(r) for r in u], 0)[1] for u in units]
+    out = []
+    for k, unit in enumerate(units):
+        above, root = path(subroots, k)
+        for i, r in enumerate(unit):
+            below, subroot = path([leaf(x) for x in unit], i)
+            struck = r["doc_id"] is not None and r["n_chars"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 0
+            begin = leaf({**r, "n_chars": r["n_chars"] + 1}) if struck else leaf(r)
+            end = folded(folded(begin, i, len(unit), below), k, len(units), above)
+            proof = h(*[s for s in below + above if s is not None])
+            out.append((r["doc_id"], leaf(r), subroot, root, proof, end, end == root))
+    return sorted(out, key=str)
+
+
+NAMES = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def found(df):
+    return sorted((tuple(r[c] for c in NAMES) for r in df.collect()), key=str)
+
+
+def table(spark, n, seed):
+    rng = random.Random(seed)
+    texts = mixed_texts(seed, 3)
+    rows = [(i, rng.choice(texts), rng.choice([None, "", "de", "en", "Ö", "z"]), rng.choice([None, "s", "web"]), rng.choice([None, 0, 7])) for i in range(n)]
+    rows += [(3, "a", "en", "s", 1), (3, "b", "en", "s", 1), (3, "b", "en", "s", 1), (None, None, None, None, None), (None, "x", "en", None, 5), (1, "alone", "xx", "s", 9)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as unit", "2 as place", "'x' as leaf")
+
+
+@pytest.mark.parametrize(("n", "block"), [(0, 4), (60, 4096), (60, 8), (150, 2)])
+def test_manifest_against_brute_force(spark, n, block):
+    docs = table(spark, n, n)
+    assert found(merkle.verified(merkle.manifest(docs, block))) == brute([r.asDict() for r in docs.collect()])
+
+
+def test_one_row_and_no_rows(spark):
+    one = documents(spark, ["only"])
+    rows = found(merkle.verified(merkle.manifest(one)))
+    assert rows == brute([r.asDict() for r in one.collect()])
+    assert rows[0][4] == h() and rows[0][1] == rows[0][2] == rows[0][3]
+    assert found(merkle.verified(merkle.manifest(one.limit(0)))) == []
+
+
+@pytest.mark.parametrize("n", range(1, 34))
+def test_appends_against_whole_levels(n):
+    forest = merkle.Forest()
+    nodes = [h(str(i)) for i in range(n)]
+    for node in nodes:
+        forest.append(node)
+    root = forest.close()
+    for i in range(n):
+        siblings, top = path(nodes, i)
+        assert top == root
+        assert [d or None for _, d in forest.witnesses[i]] == siblings
+
+
+def test_every_row_but_the_tampered_ones_is_verified(spark, sf_dir):
+    rows = queries.queries()["op13_merkle"](spark, sf_dir).collect()
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert all(r["verified"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 != 0) for r in rows)
+    assert len({r["root"] for r in rows}) == 1
