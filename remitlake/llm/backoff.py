@@ -33,7 +33,7 @@ FOLDS, HELD_OUT = 7, 2
 #: Words of the longest n-gram.
 ORDER = 2
 #: Words of the prior from the shorter history.
-PRIOR = 20.0
+PRIOR = 200.0
 #: Text of a block, and of a range of hashes.
 BLOCK_BYTES = 8 << 20
 #: Tokens that a lane of the traversal reads.

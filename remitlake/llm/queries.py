@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from remitlake.llm import decontaminate, fingerprints, language, licenses, merkle, mixing, ngram_join, quality, sharding, suffix_dedup, toxicity
+from remitlake.llm import backoff, decontaminate, fingerprints, language, licenses, merkle, mixing, ngram_join, quality, sharding, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": _of_documents(_sharded),
         "op9_mixing": _of_documents(lambda docs: mixing.per_document(mixing.mixture(docs))),
         "op10_toxicity": _with("labels", toxicity.toxicity),
+        "op12_backoff": _of_documents(backoff.scores),
         "op13_merkle": _of_documents(lambda docs: merkle.verified(merkle.manifest(docs))),
         "pipeline": corpus_pipeline.run,
     }
@@ -120,5 +121,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_license_scan": licenses.scan_sql(),
         "op6_ngram_jaccard": _JACCARD,
         "op9_mixing": _MIXING,
+        "op12_backoff": backoff.SQL,
         "op13_merkle": merkle.SQL,
     }
