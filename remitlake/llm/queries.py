@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from remitlake.llm import backoff, decontaminate, fingerprints, language, licenses, merkle, mixing, ngram_join, quality, sharding, suffix_dedup, toxicity
+from remitlake.llm import backoff, conversations, decontaminate, fingerprints, language, licenses, merkle, mixing, ngram_join, quality, sharding, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def _sharded(docs: DataFrame) -> DataFrame:
     )
 
 
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repaired(conversations.damaged(rows), rows)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": _of_documents(fingerprints.beside_edited),
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": _of_documents(_sharded),
         "op9_mixing": _of_documents(lambda docs: mixing.per_document(mixing.mixture(docs))),
         "op10_toxicity": _with("labels", toxicity.toxicity),
+        "op11_conversations": _repaired,
         "op12_backoff": _of_documents(backoff.scores),
         "op13_merkle": _of_documents(lambda docs: merkle.verified(merkle.manifest(docs))),
         "pipeline": corpus_pipeline.run,

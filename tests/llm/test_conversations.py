@@ -1,0 +1,148 @@
+import random
+import re
+import zlib
+from hashlib import sha256
+from heapq import heappop, heappush
+
+import pytest
+from pyspark.sql import functions as F
+
+from remitlake.llm import conversations, queries
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+
+
+def sha(text):
+    return sha256(text.encode())
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        fault = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        out += [] if fault == 0 else [(conv, turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    return out
+
+
+def faults(rows):
+    seen, kinds = set(), []
+    for _, _, role, text in rows:
+        ink = re.sub(r"[\x20\x09-\x0D]", "", text)
+        kinds.append("blank" if not ink else "duplicate" if (role, text) in seen else "truncated" if ink[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return kinds
+
+
+def cheapest(rows, kinds):
+    """Least (cost, audit) by a search over (rows read, roles so far), all edits tried."""
+    accepted = {"": "", "s": "s", "u": "u", "a": "a"}
+    legal = {"": "su", "s": "u", "u": "a", "a": "u"}
+    best, heap = {}, [(0, "", 0, "", "")]
+    while heap:
+        cost, audit, i, last, text = heappop(heap)
+        if (i, last) in best:
+            continue
+        best[i, last] = audit
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit, text
+        more = lambda role, body: f"{text}\n{role}:{body}" if text else f"{role}:{body}"
+        for to, role in (("u", "user"), ("a", "assistant")):
+            if to in legal[last]:
+                heappush(heap, (cost + 5, audit + "I", i, accepted[to], more(role, "")))
+        if i < len(rows):
+            role, body = rows[i][2:]
+            heappush(heap, (cost + 2, audit + "D", i + 1, last, text))
+            if kinds[i] not in ("blank", "duplicate"):
+                stay = 5 * (kinds[i] == "truncated")
+                if role[:1] and role[:1] in legal[last]:
+                    heappush(heap, (cost + stay, audit + "K", i + 1, role[:1], more(role, body)))
+                for to, name in (("u", "user"), ("a", "assistant")):
+                    if to in legal[last]:
+                        heappush(heap, (cost + 1 + stay, audit + "R", i + 1, to, more(name, body)))
+    raise AssertionError
+
+
+def brute(rows, everything):
+    out = {}
+    order = lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), sha(r[3]).digest())
+    for conv in {r[0] for r in everything}:
+        own = sorted((r for r in rows if r[0] == conv), key=order)
+        kinds = faults(own)
+        turns = [r[1] for r in own if r[1] is not None]
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:], strict=False))
+        cost, audit, text = cheapest(own, kinds)
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out[conv] = (gaps, *[kinds.count(k) for k in ("blank", "duplicate", "truncated")], illegal, cost, audit, sha(text).hexdigest())
+    return out
+
+
+def found(df):
+    return {r["conv_id"]: (*[r[c] for c in COUNTS], r["audit"], r["repaired_sha256"]) for r in df.collect()}
+
+
+def random_rows(seed, convs, longest):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", "", None, "ä", "s", "agent"]
+    texts = ["Fine.", "Fine.", "so", "Yes!\n", "why? ", " \t", "", None, "…", "a.b", "é.\x0b", "one.", "two.", "three?", "four!"]
+    rows = []
+    for conv in [None, *range(convs)]:
+        usual = rng.random() < 0.5
+        for t in range(rng.randrange(1, longest)):
+            role = (["user", "assistant"][t % 2] if usual and rng.random() < 0.9 else rng.choice(roles))
+            text = f"text {t}." if usual and rng.random() < 0.8 else rng.choice(texts)
+            rows.append((conv, rng.choice([t, t, t, t + 3, None, 1]), role, text))
+            if rng.random() < 0.1:
+                rows += [rows[-1]] * rng.randrange(1, 4)
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "convs", "longest", "chunk"), [(1, 60, 9, 1 << 16), (2, 30, 30, 3), (3, 25, 40, 1), (4, 6, 120, 7)])
+def test_repair_against_search_over_all_edits(spark, seed, convs, longest, chunk):
+    rows = random_rows(seed, convs, longest)
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as audit", "1 as part", "2 as conv", "3 as kind")
+    bent = conversations.damaged(df)
+    assert found(conversations.repaired(bent, df, chunk)) == brute(damage(rows), rows)
+
+
+def test_every_way_to_begin_a_chunk_gives_the_same(spark):
+    rows = [(c, t, "user" if c else "au"[t % 2], f"{t}.") for c in (0, 1) for t in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    expected = brute(rows, rows)
+    assert found(conversations.repaired(df, df, 2)) == found(conversations.repaired(df, df, 1000)) == expected
+
+
+def test_fix_ups_stop_where_vectors_are_parallel():
+    rng = random.Random(5)
+    ends = [conversations.END, conversations.SPECULATIVE, (5, 0, 3, 5), (0, 10, 5, 0), (2, 0, 0, 1)]
+    for _ in range(300):
+        symbols = "".join(rng.choice("suaoSUAOd") for _ in range(rng.randrange(0, 30)))
+        old, new = rng.choice(ends), rng.choice(ends)
+        assert conversations.fixed_up(symbols, old, new, *conversations.backward(symbols, old)) == conversations.backward(symbols, new)
+
+
+def test_rows_of_the_repaired_conversations(spark):
+    rows = [(7, 0, "user", "Hi?"), (7, 1, "user", "Hi?"), (7, 2, "user", "Fine."), (8, 0, "system", "Be kind."), (None, 4, "user", " "), (9, 0, "user", "A?"), (9, 1, "assistant", "B!")]
+    got = conversations.repaired_rows(spark.createDataFrame(rows, SCHEMA)).orderBy("conv_id", "place").collect()
+    assert [tuple(r) for r in got] == [("7", 0, "user", "Hi?"), ("7", 1, "assistant", "Fine."), ("9", 0, "user", "A?"), ("9", 1, "assistant", "B!")]
+
+
+def test_nothing_and_nothing_left(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert conversations.repaired(empty, empty).collect() == []
+    one = spark.createDataFrame([(1, None, None, None)], SCHEMA)
+    assert found(conversations.repaired(empty, one)) == {1: (0, 0, 0, 0, 0, 0, "", sha("").hexdigest())}
+
+
+def test_many_equal_rows_are_one_row_with_a_count(spark):
+    df = spark.range(100_000).select(F.lit(1).cast("long").alias("conv_id"), F.lit(2).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit("Yes.").alias("text"))
+    row = found(conversations.repaired(df, df))[1]
+    assert row[:6] == (0, 0, 99_999, 0, 99_999, 200_000) and row[6] == "D" * 100_000
+
+
+def test_query_against_search(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert found(queries.queries()["op11_conversations"](spark, sf_dir)) == brute(damage(rows), rows)
