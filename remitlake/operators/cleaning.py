@@ -90,16 +90,32 @@ def with_fate(bronze: DataFrame) -> DataFrame:
         bronze.transform(one_copy_each)
         .transform(standardise_domains)
         .transform(with_transaction_time)
-        .withColumn(
-            "fate",
-            F.when(~labels.has_all(C.CRITICAL_COLUMNS), C.CRITICAL_NULL)
-            .when(~labels.is_valid_amount(), C.INVALID_AMOUNT)
-            .when(F.col("transaction_timestamp").isNull(), C.BAD_TIMESTAMP)
-            .otherwise(C.KEPT),
-        )
+        .withColumn("fate", fate())
     )
 
 
+def fate() -> Column:
+    """The first rule that a timed row fails, or KEPT."""
+    return (
+        F.when(~labels.has_all(C.CRITICAL_COLUMNS), C.CRITICAL_NULL)
+        .when(~labels.is_valid_amount(), C.INVALID_AMOUNT)
+        .when(F.col("transaction_timestamp").isNull(), C.BAD_TIMESTAMP)
+        .otherwise(C.KEPT)
+    )
+
+
+def with_fate_as_received(copies: DataFrame) -> DataFrame:
+    """One copy each, its columns as received, with month and fate; ``kept_as_silver`` makes silver of it."""
+    timed = copies.transform(with_transaction_time).withColumn("fate", fate())
+    return timed.drop("transaction_timestamp", "day_of_week")
+
+
+def kept_as_silver(judged: DataFrame) -> DataFrame:
+    """Silver from the rows of ``with_fate_as_received``."""
+    kept = judged.filter(F.col("fate") == C.KEPT).drop("fate", "transaction_month")
+    return kept.transform(standardise_domains).transform(with_transaction_time).transform(with_silver_metadata)
+
+
 FATES = (C.CRITICAL_NULL, C.INVALID_AMOUNT, C.BAD_TIMESTAMP, C.KEPT)
 
 

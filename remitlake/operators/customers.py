@@ -12,9 +12,8 @@ _CUSTOMER = "customer_id"
 
 def customer_core(silver: DataFrame) -> DataFrame:
     """Counts, amounts and activity span per customer."""
-    return (
-        silver.groupBy(_CUSTOMER)
-        .agg(
+    return finished_core(
+        silver.groupBy(_CUSTOMER).agg(
             F.count("transaction_id").alias("total_transactions"),
             money.total(F.col("amount")).alias("_total"),
             F.count("amount").alias("_amounts"),
@@ -28,21 +27,25 @@ def customer_core(silver: DataFrame) -> DataFrame:
             F.max("transaction_timestamp").alias("last_transaction_date"),
             F.min("transaction_timestamp").alias("first_transaction_date"),
         )
-        .select(
-            _CUSTOMER,
-            "total_transactions",
-            money.as_amount(F.col("_total")).alias("total_spend"),
-            money.mean_of(F.col("_total"), F.col("_amounts")).alias("avg_transaction_value"),
-            F.round("_max", 2).alias("max_transaction_value"),
-            F.round("_min", 2).alias("min_transaction_value"),
-            "unique_merchants_used",
-            "active_months",
-            "flagged_transaction_count",
-            "completed_transactions",
-            "failed_transactions",
-            "last_transaction_date",
-            "first_transaction_date",
-        )
+    )
+
+
+def finished_core(sums: DataFrame) -> DataFrame:
+    """The core from exact sums per customer."""
+    return sums.select(
+        _CUSTOMER,
+        "total_transactions",
+        money.as_amount(F.col("_total")).alias("total_spend"),
+        money.mean_of(F.col("_total"), F.col("_amounts")).alias("avg_transaction_value"),
+        F.round("_max", 2).alias("max_transaction_value"),
+        F.round("_min", 2).alias("min_transaction_value"),
+        "unique_merchants_used",
+        "active_months",
+        "flagged_transaction_count",
+        "completed_transactions",
+        "failed_transactions",
+        "last_transaction_date",
+        "first_transaction_date",
     )
 
 
@@ -58,11 +61,17 @@ def preferred_value(silver: DataFrame, column: str, alias: str) -> DataFrame:
 
 def preferences(silver: DataFrame) -> DataFrame:
     """Preferred channel and category from one pass: both columns are counted as (facet, value) rows."""
-    counts = (
-        silver.unpivot([_CUSTOMER], ["channel", "merchant_category"], "facet", "value")
-        .groupBy(_CUSTOMER, "facet", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return preferred(facet_counts(silver, _CUSTOMER))
+
+
+def facet_counts(silver: DataFrame, *by: str) -> DataFrame:
+    """Rows per group and value of either facet."""
+    values = silver.unpivot(list(by), ["channel", "merchant_category"], "facet", "value")
+    return values.groupBy(*by, "facet", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def preferred(counts: DataFrame) -> DataFrame:
+    """Each customer's favourites from counts(customer_id, facet, value, n)."""
     return counts.groupBy(_CUSTOMER).agg(
         _most_frequent("value", F.col("facet") == "channel").alias("preferred_channel"),
         _most_frequent("value", F.col("facet") == "merchant_category").alias("preferred_category"),
@@ -84,10 +93,9 @@ def segment(core: DataFrame) -> DataFrame:
     return core.withColumn("customer_segment", labels.segment_of(F.col("total_spend")))
 
 
+def summarised(core: DataFrame, favourites: DataFrame) -> DataFrame:
+    return core.join(favourites, _CUSTOMER, "left").transform(fraud_score).transform(segment)
+
+
 def customer_summary(silver: DataFrame) -> DataFrame:
-    return (
-        customer_core(silver)
-        .join(preferences(silver), _CUSTOMER, "left")
-        .transform(fraud_score)
-        .transform(segment)
-    )
+    return summarised(customer_core(silver), preferences(silver))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlake.functions import labels, money
@@ -12,30 +12,38 @@ MERCHANT_KEY = ("merchant_id", "merchant_name", "merchant_category")
 
 
 def merchant_core(silver: DataFrame) -> DataFrame:
-    return (
+    return finished_core(
         silver.filter(F.col("merchant_category").isNotNull())
         .groupBy(*MERCHANT_KEY)
-        .agg(
-            F.count("transaction_id").alias("total_transactions"),
-            money.total(F.col("amount")).alias("_total"),
-            F.count("amount").alias("_amounts"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_if(labels.flagged()).alias("flagged_transactions"),
-            F.count_if(labels.equals("status", "completed")).alias("completed_transactions"),
-            F.count_if(labels.equals("currency", "GBP")).alias("gbp_transactions"),
-            F.count_if(labels.equals("channel", "online")).alias("online_transactions"),
-        )
-        .select(
-            *MERCHANT_KEY,
-            "total_transactions",
-            money.as_amount(F.col("_total")).alias("total_revenue"),
-            money.mean_of(F.col("_total"), F.col("_amounts")).alias("avg_transaction_value"),
-            "unique_customers",
-            "flagged_transactions",
-            "completed_transactions",
-            "gbp_transactions",
-            "online_transactions",
-        )
+        .agg(*merchant_sums(), F.count_distinct("customer_id").alias("unique_customers"))
+    )
+
+
+def merchant_sums() -> list[Column]:
+    """Aggregates that add up over parts of silver."""
+    return [
+        F.count("transaction_id").alias("total_transactions"),
+        money.total(F.col("amount")).alias("_total"),
+        F.count("amount").alias("_amounts"),
+        F.count_if(labels.flagged()).alias("flagged_transactions"),
+        F.count_if(labels.equals("status", "completed")).alias("completed_transactions"),
+        F.count_if(labels.equals("currency", "GBP")).alias("gbp_transactions"),
+        F.count_if(labels.equals("channel", "online")).alias("online_transactions"),
+    ]
+
+
+def finished_core(sums: DataFrame) -> DataFrame:
+    """The core from exact sums per merchant."""
+    return sums.select(
+        *MERCHANT_KEY,
+        "total_transactions",
+        money.as_amount(F.col("_total")).alias("total_revenue"),
+        money.mean_of(F.col("_total"), F.col("_amounts")).alias("avg_transaction_value"),
+        "unique_customers",
+        "flagged_transactions",
+        "completed_transactions",
+        "gbp_transactions",
+        "online_transactions",
     )
 
 
@@ -48,5 +56,9 @@ def risk_flag(core: DataFrame) -> DataFrame:
     return core.withColumn("merchant_risk_flag", labels.risk_of(ratio))
 
 
+def analysed(core: DataFrame) -> DataFrame:
+    return core.transform(rank_in_category).transform(risk_flag)
+
+
 def merchant_analytics(silver: DataFrame) -> DataFrame:
-    return merchant_core(silver).transform(rank_in_category).transform(risk_flag)
+    return analysed(merchant_core(silver))

@@ -62,9 +62,12 @@ def with_running_total(core: DataFrame) -> DataFrame:
 
 
 def monthly_trends(silver: DataFrame) -> DataFrame:
+    return trends(monthly_core(silver))
+
+
+def trends(core: DataFrame) -> DataFrame:
     return (
-        monthly_core(silver)
-        .transform(with_growth)
+        core.transform(with_growth)
         .transform(with_running_total)
         .select(
             _MONTH,

@@ -497,6 +497,18 @@ def oracle_sql() -> dict[str, str]:
                 }
             ),
         ),
+        "bronze_rejects": _after(
+            "raw",
+            """select transaction_id, reason, count(*) as rows from (
+              select transaction_id, case (cast(split_part(transaction_id, '-', 2) as bigint) + 3 * cast(split_part(transaction_id, '-', 3) as bigint)) % 40
+                when 1 then 'too few fields' when 2 then 'too many fields'
+                when 3 then 'unreadable amount' when 4 then 'unreadable flag' end as reason
+              from raw) where reason is not null group by transaction_id, reason""",
+        ),
+        "merged_silver": _after("silver", f"select * exclude (source_file) from (select {_SILVER_COLUMNS} from silver)"),
+        "merged_customers": _from_silver(_TO_CUSTOMERS, "select * from customers"),
+        "merged_merchants": _from_silver(_TO_MERCHANTS, "select * from merchants"),
+        "merged_months": trends,
         "recon_totals": _with(
             _TO_GOLD,
             _equalities(

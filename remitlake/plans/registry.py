@@ -15,6 +15,7 @@ from remitlake.contract import RAW_COLUMNS
 from remitlake.operators import checks, cleaning, customers, merchants, months, profile
 from remitlake.operators.ingest import with_ingestion_metadata
 from remitlake.plans import layers, summary
+from remitlake.plans.lake import Lake
 from remitlake.sources.landing import read_transactions_csv, write_transactions_csv
 from remitlake.sources.layers import LayerPaths, gathered_by_month, write_by_month, write_table
 from remitlake.sources.sample_tables import raw_transactions
@@ -99,6 +100,50 @@ def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.run_layers(spark, landing, fresh_path(spark, "layers")).kpis
 
 
+# --- deliveries one after the other ------------------------------------------------------------------------------
+
+
+def _delivered(table: str, deliveries: int = 2) -> Query:
+    """A table after all rows have come in several deliveries; copies of a transaction may come in different ones."""
+
+    def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = raw_transactions(spark, sf_dir)
+        lake = Lake(spark, fresh_path(spark, "lake"), gold=[table.removeprefix("gold/")] if table.startswith("gold/") else [])
+        for n in range(deliveries):
+            landing = fresh_path(spark, "landing")
+            write_transactions_csv(raw.where(F.pmod(F.xxhash64(*RAW_COLUMNS), F.lit(deliveries)) == n), landing)
+            lake.load(landing)
+        return _shown(lake.read(table))
+
+    return read_back
+
+
+def _with_malformed(spark: SparkSession, sf_dir: str) -> str:
+    """Landing files of which some records cannot be read: by order and line a field too few or too many, or no number or flag."""
+    raw = raw_transactions(spark, sf_dir)
+    place = F.split("transaction_id", "-")
+    drawn = raw.withColumn("_drawn", F.pmod(place[1].cast("long") + 3 * place[2].cast("long"), F.lit(40)))
+    bent = drawn.withColumns(
+        {
+            "amount": F.when(F.col("_drawn") == 3, F.lit("12.5 EUR")).otherwise(F.col("amount").cast("string")),
+            "is_flagged": F.when(F.col("_drawn") == 4, F.lit("maybe")).otherwise(F.col("is_flagged").cast("string")),
+        }
+    )
+    landing = fresh_path(spark, "landing")
+    write_transactions_csv(bent.where("_drawn = 1").drop("is_flagged", "_drawn"), f"{landing}/narrow")
+    write_transactions_csv(bent.where("_drawn = 2").withColumn("_drawn", F.lit("a, b")), f"{landing}/wide")
+    write_transactions_csv(bent.where("_drawn not in (1, 2)").drop("_drawn"), f"{landing}/usual")
+    return f"{landing}/*"
+
+
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(transaction_id, reason, rows) of the records that could not be read."""
+    lake = Lake(spark, fresh_path(spark, "lake"), gold=[])
+    lake.load(_with_malformed(spark, sf_dir))
+    rejects = lake.read("bronze/rejects").withColumn("transaction_id", F.split("text", ",")[0])
+    return rejects.groupBy("transaction_id", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # --- queries over one derived frame ------------------------------------------------------------------------------
 
 
@@ -239,6 +284,12 @@ def queries() -> dict[str, Query]:
             lambda bronze, silver, gold: checks.totals(silver, gold["customer_summary"], gold["monthly_trends"])
         ),
         "recon_row_accounting": recon_row_accounting,
+        # several deliveries
+        "bronze_rejects": bronze_rejects,
+        "merged_silver": lambda spark, sf_dir: _delivered("silver/transactions")(spark, sf_dir).drop("source_file"),
+        "merged_customers": _delivered("gold/customer_summary"),
+        "merged_merchants": _delivered("gold/merchant_analytics"),
+        "merged_months": _delivered("gold/monthly_trends"),
     }
 
 
