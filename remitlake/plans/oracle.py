@@ -204,6 +204,13 @@ months as (
         from monthly_core)
 )"""
 
+_HOURS = f"""
+hours as (
+  select date_trunc('hour', transaction_timestamp) as period, count(*) as total_transactions,
+    {_total('amount')} as total_volume, {_count_if('is_flagged')} as flagged_transactions
+  from silver group by 1
+)"""
+
 _TO_DEDUP = (_RAW, _DEDUP)
 _TO_SILVER = (_RAW, _DEDUP, _REQUIRED, _POSITIVE, _STANDARD, _TIMED, _SILVER)
 _TO_CUSTOMERS = (_CUSTOMER_CORE, _FAVOURITES, _CUSTOMERS)
@@ -497,6 +504,18 @@ def oracle_sql() -> dict[str, str]:
                 }
             ),
         ),
+        "clustered_customers": _from_silver(_TO_CUSTOMERS, "select * from customers"),
+        "clustered_merchants": _from_silver(_TO_MERCHANTS, "select * from merchant_core"),
+        "hourly_trends": _with(
+            (*_TO_SILVER, _HOURS),
+            f"""select period, total_transactions, total_volume, flagged_transactions, prev_volume,
+            round((total_volume - prev_volume) / nullif(prev_volume, 0) * 100, 2) as volume_growth_pct, prev_transactions,
+            round((total_transactions - prev_transactions) / nullif(prev_transactions, 0) * 100, 2) as transaction_growth_pct,
+            cast(round(sum(cast(total_volume as decimal(38,10))) over (order by period rows unbounded preceding), 2) as double)
+              as running_total_volume
+            from (select *, lag(total_volume) over (order by period) as prev_volume,
+              lag(total_transactions) over (order by period) as prev_transactions from hours)""",
+        ),
         "bronze_rejects": _after(
             "raw",
             """select transaction_id, reason, count(*) as rows from (

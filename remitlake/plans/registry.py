@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.contract import RAW_COLUMNS
-from remitlake.operators import checks, cleaning, customers, merchants, months, profile
+from remitlake.operators import checks, cleaning, customers, merchants, months, profile, series
 from remitlake.operators.ingest import with_ingestion_metadata
 from remitlake.plans import layers, summary
 from remitlake.plans.lake import Lake
+from remitlake.sources.clustered import write_clustered
 from remitlake.sources.landing import read_transactions_csv, write_transactions_csv
 from remitlake.sources.layers import LayerPaths, gathered_by_month, write_by_month, write_table
 from remitlake.sources.sample_tables import raw_transactions
@@ -100,6 +101,16 @@ def pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.run_layers(spark, landing, fresh_path(spark, "layers")).kpis
 
 
+def _clustered(key: str, step: Callable[[DataFrame], DataFrame]) -> Query:
+    """A grouping over silver that is stored by the key of the grouping."""
+
+    def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return _shown(step(write_clustered(_silver(spark, sf_dir), fresh_path(spark, "clustered"), key, buckets)))
+
+    return read_back
+
+
 # --- deliveries one after the other ------------------------------------------------------------------------------
 
 
@@ -284,6 +295,10 @@ def queries() -> dict[str, Query]:
             lambda bronze, silver, gold: checks.totals(silver, gold["customer_summary"], gold["monthly_trends"])
         ),
         "recon_row_accounting": recon_row_accounting,
+        # other ways of storing, finer series
+        "clustered_customers": _clustered("customer_id", customers.customer_summary_by_key),
+        "clustered_merchants": _clustered("merchant_id", merchants.merchant_core),
+        "hourly_trends": _of_silver(lambda silver: series.period_trends(silver, "hour")),
         # several deliveries
         "bronze_rejects": bronze_rejects,
         "merged_silver": lambda spark, sf_dir: _delivered("silver/transactions")(spark, sf_dir).drop("source_file"),

@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-from remitlake.operators import checks, cleaning, customers, merchants, months
+from remitlake.operators import checks, cleaning, customers, merchants, months, profile, series
 from remitlake.operators.ingest import with_ingestion_metadata
 from remitlake.plans import registry
 from remitlake.plans.layers import gold_tables
+from remitlake.sources.clustered import read_clustered, write_clustered
 from remitlake.sources.layers import LayerPaths, gathered_by_month, read_table, write_by_month, write_table
 from remitlake.sources.sample_tables import raw_transactions
 
@@ -113,3 +114,33 @@ def test_no_cross_joins_and_no_python(spark, sf_dir, stored):
 def test_line_items_and_orders_are_not_broadcast(spark, sf_dir):
     text = plan(raw_transactions(spark, sf_dir))
     assert "SortMergeJoin Inner" in text
+
+
+def test_rows_stored_by_a_key_are_grouped_by_it_without_an_exchange(spark, stored, tmp_path):
+    silver = stored[1]
+    by_customer = write_clustered(silver, str(tmp_path / "by_customer"), "customer_id", 4)
+    by_merchant = write_clustered(silver, str(tmp_path / "by_merchant"), "merchant_id", 4)
+    for df in (customers.customer_core_by_key(by_customer), customers.preferences(by_customer), merchants.merchant_core(by_merchant)):
+        assert "hashpartitioning" not in plan(df)  # small results may still be sent to a join
+    assert "hashpartitioning" in plan(customers.customer_core_by_key(silver))
+    by_key, usual = customers.customer_summary_by_key(by_customer), customers.customer_summary(silver)
+    assert sorted(map(str, by_key.collect())) == sorted(map(str, usual.select(*by_key.columns).collect()))
+    # Another session declares the table anew from its description.
+    for table in spark.catalog.listTables():
+        spark.sql(f"drop table {table.name}")
+    again = read_clustered(spark, str(tmp_path / "by_customer"))
+    assert again.count() == silver.count() and "hashpartitioning" not in plan(customers.customer_core_by_key(again))
+    with pytest.raises(FileExistsError):
+        write_clustered(silver, str(tmp_path / "by_customer"), "customer_id", 4)
+
+
+def test_profile_shuffles_digests_in_place_of_rows(spark, sf_dir):
+    raw = raw_transactions(spark, sf_dir)
+    exchange = [line for line in plan(profile.raw_profile(raw)).split("\n") if "hashpartitioning(digest" in line]
+    assert exchange
+
+
+def test_hours_pass_through_no_single_task(stored):
+    text = plan(series.period_trends(stored[1], "hour"))
+    windows = [line for line in text.split("\n") if "SinglePartition" in line]
+    assert len(windows) <= 2  # totals and last rows of the ranges

@@ -210,6 +210,13 @@ def test_raw_profile(spark):
     }
 
 
+def test_digests_tell_rows_apart_as_groups_do(spark):
+    values = [None, "", "-", "1:", "a", "1:a", "a-"]
+    rows = [(a, b, x) for a in values for b in values for x in (None, 0.0, -0.0, 1.5, float("nan"))]
+    df = spark.createDataFrame(rows, "a string, b string, x double")
+    assert df.select(profile.row_digest(df.dtypes)).distinct().count() == df.distinct().count() == len(values) ** 2 * 4
+
+
 def test_value_domains(spark):
     found = profile.value_domains(cleaning.to_silver(raw(spark, {}, {"currency": None}, {"channel": "ATM"})))
     assert column(found, "rows", ("column", "value")) == {
