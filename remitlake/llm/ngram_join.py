@@ -46,8 +46,10 @@ PAIRS_PER_ENTRY = 4
 #: Entries of the matrix in a block of columns, and pairs settled by one task around one node.
 BLOCK_ENTRIES = 500_000
 PAIRS_PER_TASK = 512
-#: Nodes at one hub that a task multiplies with each other.
+#: Nodes that a task multiplies with each other, about: a hub of more is cut into blocks of half as many.
 HUB_NODES = 10_000
+#: Columns are named by six bytes of a shingle's hash: two shingles of one name only bring up more pairs to settle.
+_NAME_BYTES = 6
 _FLUSH = 1_000_000
 _TILE = 1024
 
@@ -56,14 +58,28 @@ def _node(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _names(grams: np.ndarray) -> np.ndarray:
+    return grams >> np.uint64(64 - 8 * _NAME_BYTES)
+
+
+def _packed(names: np.ndarray) -> bytes:
+    return names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_NAME_BYTES].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // _NAME_BYTES, 8), np.uint8)
+    out[:, :_NAME_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _NAME_BYTES)
+    return out.view("<u8").reshape(-1)
+
+
 def _profile(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("gram", pa.int64()), ("docs", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("gram", pa.int64()), ("docs", pa.int64())])
 
     def common(held: list[np.ndarray]) -> pa.RecordBatch:
         grams, docs = np.unique(np.concatenate(held), return_counts=True)
         grams, docs = grams[docs >= 3].view(np.int64), docs[docs >= 3]
         nulls = pa.nulls(len(grams), pa.int64())
-        return pa.record_batch([nulls, nulls, nulls, pa.array(grams), pa.array(docs)], schema=schema)
+        return pa.record_batch([nulls, nulls, nulls, nulls, pa.array(grams), pa.array(docs)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, entries = [], 0
@@ -80,7 +96,7 @@ def _profile(words: int):
                     at_rest()
             nulls = pa.nulls(len(sizes), pa.int64())
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), nulls, nulls], schema=schema
+                [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), nulls, nulls], schema=schema
             )
         if held:
             yield common(held)
@@ -98,15 +114,16 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
         counts = [len(x) for x in held]
         grams = np.concatenate(held)
         doc = np.repeat(np.arange(len(held)), counts)
-        block = (grams >> np.uint64(24)) % np.uint64(blocks)
+        names = _names(grams)
+        block = (names >> np.uint64(8)) % np.uint64(blocks)
         order = np.lexsort((doc, block))
-        block, doc, grams = block[order], doc[order], grams[order]
+        block, doc, names = block[order], doc[order], names[order]
         nodes, sizes = np.array(nodes, np.int64), np.array(sizes, np.int64)
         out = []
         ends = np.flatnonzero(np.diff(block)) + 1
         for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(block)], strict=True):
             docs, n = np.unique(doc[a:b], return_counts=True)
-            out.append((int(block[a]), nodes[docs].tobytes(), sizes[docs].astype(np.int32).tobytes(), n.astype(np.int32).tobytes(), grams[a:b].tobytes()))
+            out.append((int(block[a]), nodes[docs].tobytes(), sizes[docs].astype(np.int32).tobytes(), n.astype(np.int32).tobytes(), _packed(names[a:b])))
         return pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +179,7 @@ def _columns(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         counts = read(table, "counts", np.int32)
-        grams = read(table, "grams", np.uint64)
+        grams = _unpacked(b"".join(table.column("grams").to_pylist()))
         node, size = (np.repeat(read(table, c, k), counts) for c, k in (("nodes", np.int64), ("sizes", np.int32)))
         order = np.argsort(grams)
         same = np.diff(grams[order]) == 0
@@ -245,9 +262,9 @@ def _settle(percent: int):
 
 
 def _sets_at(places: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(y, part, x, node, grams): the whole set of each node at each of its places (doc_id, node, places). Only documents
+    """(y, part, x, node, grams): the whole set of each node at each of its places (key, node, places). Only documents
     that are needed are shuffled."""
-    return marked(texts, "doc_id", places, "wanted").where("wanted").join(places, "doc_id").select("text", "node", "places").mapInArrow(_whole_sets(words), _SETS)
+    return marked(texts, "key", places, "wanted").where("wanted").join(places, "key").select("text", "node", "places").mapInArrow(_whole_sets(words), _SETS)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> DataFrame:
@@ -258,7 +275,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, owners: DataFrame, words: int, p
     hubs = parts.select(F.col("y").alias("node"), "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), none.alias("x"))
     leaves = pairs.join(parts, "y").select(F.col("x").alias("node"), "y", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "x")
     places = hubs.unionAll(leaves).groupBy("node").agg(F.collect_list(F.struct("y", "part", "x")).alias("places"))
-    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
+    places = stored(places.join(owners, "node").select("key", "node", "places"), "places")
     found = (
         _sets_at(places, texts, words)
         .repartition("y", "part")
@@ -433,19 +450,29 @@ def _hub_links(percent: int):
     return run
 
 
+def _in_cells(members: DataFrame) -> DataFrame:
+    """(hub, node) with each hub of more than HUB_NODES nodes replaced by a cell for each pair of its blocks of nodes."""
+    blocks = F.when(F.col("n") > HUB_NODES, F.ceil(2 * F.col("n") / max(2, HUB_NODES))).otherwise(1).cast("int")
+    crowd = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).select("hub", blocks.alias("blocks"))
+    own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
+    paired = members.join(crowd, "hub").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # Two blocks or more: a block meets itself wherever it meets another one.
+    paired = paired.where((F.col("blocks") == 1) | (F.col("own") != F.col("other")))
+    cell = F.when(F.col("blocks") == 1, F.col("hub")).otherwise(F.xxhash64("hub", F.least("own", "other"), F.greatest("own", "other")))
+    return paired.select(cell.alias("hub"), "node")
+
+
 def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFrame, words: int, percent: int) -> list[DataFrame]:
     """Links between nodes of different classes that join all classes which the columns left can join.
 
     Columns of much the same nodes have the same hub. A hub's nodes are multiplied with each other in one task, first by
-    the columns that are left, and those that share enough with any again by their whole sets. The columns of a hub of
-    more nodes than a task should hold are joined with themselves instead, and their pairs settled one by one.
+    the columns that are left, and those that share enough with any again by their whole sets. Where a hub has more nodes
+    than a task should hold, they are cut into blocks, and every two blocks are multiplied with each other in a task.
     """
     hubs = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(-1)).alias("draw"), "node"))["node"].alias("hub"))
     rows = stored(placed.join(hubs, "gram"), "rows")
-    crowd = rows.groupBy("hub").agg(F.approx_count_distinct("node").alias("nodes"))
-    large = crowd.where(F.col("nodes") > HUB_NODES).select("hub")
     lists = rows.groupBy("node", "size", "needed", "class").agg(F.collect_list("gram").alias("grams"))
-    met = rows.select("hub", "node").distinct().join(large, "hub", "left_anti").join(lists, "node")
+    met = _in_cells(rows.select("hub", "node").distinct()).join(lists, "node")
     blocks = max(24, entries // BLOCK_ENTRIES)
     promising = (
         met.select("hub", "node", "size", "needed", "class", "grams", F.pmod(F.xxhash64("hub"), F.lit(blocks)).alias("block"))
@@ -453,7 +480,7 @@ def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFram
         .applyInArrow(_promising(percent), "hub long, node long, class long")
     )
     places = promising.groupBy("node").agg(F.collect_list(F.struct(F.col("hub").alias("y"), F.lit(0).alias("part"), F.col("class").alias("x"))).alias("places"))
-    places = stored(places.join(owners, "node").select("doc_id", "node", "places"), "places")
+    places = stored(places.join(owners, "node").select("key", "node", "places"), "places")
     found = (
         _sets_at(places, texts, words)
         .repartition("y")
@@ -462,16 +489,6 @@ def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFram
         .mapInArrow(_hub_links(percent), "x long, y long")
     )
     links = [stored(found, "links")]
-    wide = rows.join(large, "hub").select("gram", "node", "size", "class")
-    if not large.isEmpty():
-        other = wide.select("gram", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "class")])
-        pairs = (
-            wide.join(other, "gram")
-            .where((F.col("class") != F.col("class2")) & (F.col("node") < F.col("node2")) & _similar_sizes("size", "size2", percent))
-            .select(F.col("node").alias("x"), F.col("node2").alias("y"))
-            .distinct()
-        )
-        links.append(_linked(pairs, texts, owners, words, percent))
     dropped(rows, places)
     return links
 
@@ -482,11 +499,15 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     Two documents are linked when 100 * intersection >= percent * union of their shingle sets; component_id is the
     least doc_id that links reach. Words are lower-cased in A-Z only. A null, empty or white text has no shingles, is
     linked with nothing and is its own component; a text of fewer words than a shingle is one shingle. Repeated rows
-    each come out, with the same component. A row without doc_id is linked with the rows of the very same set only, and
-    its component is null if none of them has an id. An empty table gives no rows; other columns are not looked at.
+    each come out, with the same component. Rows without doc_id are linked like others; a component of which no row has
+    an id is null. An empty table gives no rows; other columns are not looked at.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = stored(texts.mapInArrow(_profile(words), "doc_id long, n long, node long, gram long, docs long"), "profile")
+    # Texts are found again by their id, or by a hash where there is none; a set is taken only from a text that has it.
+    key = F.coalesce("doc_id", F.xxhash64("text")).alias("key")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", key, "text")
+    seen = stored(texts.mapInArrow(_profile(words), "doc_id long, key long, n long, node long, gram long, docs long"), "profile")
+    nameless = texts.where("doc_id is null").groupBy("key").agg(F.first("text").alias("text"))
+    texts = texts.where("doc_id is not null").select("key", "text").unionByName(nameless)
     profile = seen.where("n is not null")
     # Bounded by COMMON: an order of shingles, not a choice of them.
     common = (
@@ -510,7 +531,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     columns = marked(columns, "node", able, "able").where("able").drop("able")
     falling = Window.partitionBy("node").orderBy(F.desc("nodes"), F.desc("gram"))
     columns = columns.withColumn("place", F.row_number().over(falling)).where("place >= needed").drop("place", "nodes")
-    owners = profile.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    owners = profile.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
 
     links, classes = [], None
     placed, old, met, pairs = _placed(columns, None), columns_stored, 0, 1

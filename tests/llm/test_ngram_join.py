@@ -46,7 +46,7 @@ def test_all_pairs_agree(spark):
     assert classes(documents(spark, texts).repartition(5)) == brute(texts)
 
 
-@pytest.mark.parametrize("settings", [{"ROUNDS": 0}, {"HUB_NODES": 0}, {"_TILE": 3}, {"COMMON_FROM": 1}])
+@pytest.mark.parametrize("settings", [{"ROUNDS": 0}, {"HUB_NODES": 0}, {"HUB_NODES": 3, "ROUNDS": 0}, {"_TILE": 3}, {"COMMON_FROM": 1}])
 def test_a_group_of_near_copies_whose_links_form_chains(spark, monkeypatch, settings):
     """Most pairs are just above or below the threshold; whatever way a link is found, it is found."""
     for name, value in settings.items():
@@ -76,6 +76,36 @@ def test_repeated_rows_null_ids_other_columns_and_nothing(spark):
     assert ngram_join.jaccard_classes(df.limit(0)).count() == 0
 
 
+def test_rows_without_id_link_like_others(spark):
+    rng = random.Random(2)
+    first = prose(rng, 100)
+    chain = [first]
+    for _ in range(6):  # each like the one before, the last ones unlike the first
+        chain.append(edited(rng, chain[-1], 0.02))
+    others = [prose(rng, 50) for _ in range(3)]
+    ids = [5, None, None, None, 9, None, 4]
+    rows = [*zip(ids, chain, strict=True), (None, others[0]), (None, others[0]), (None, edited(rng, others[1], 0.0)), (77, others[1])]
+    got = ngram_join.jaccard_classes(documents(spark, rows)).collect()
+    named = [(i if d is None else d, t) for i, (d, t) in enumerate(rows, 1000)]
+    groups = defaultdict(list)
+    for (i, _), (d, _) in zip(named, rows, strict=True):
+        groups[brute(named)[i][1]].append(d)
+    least = [min((d for d in g if d is not None), default=None) for g in groups.values() for _ in g]
+    assert sorted(map(str, (r.component_id for r in got))) == sorted(map(str, least))
+
+
+def test_blocks_of_a_large_hub_meet_each_other_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HUB_NODES", 8)
+    members = spark.createDataFrame([(1, n) for n in range(100)] + [(2, n) for n in range(8)], "hub long, node long")
+    cells = defaultdict(set)
+    for r in ngram_join._in_cells(members).collect():
+        cells[r.hub].add(r.node)
+    assert cells.pop(2) == set(range(8))
+    assert len(cells) <= 25 * 24 // 2 and sum(map(len, cells.values())) <= 100 * 24
+    together = {(a, b) for c in cells.values() for a in c for b in c if a < b}
+    assert together == {(a, b) for a in range(100) for b in range(a + 1, 100)}
+
+
 def test_bounds_hold_for_all_sizes():
     """Sets as similar as the threshold share no less than the bounds say, for every pair of sizes."""
     for a in [*range(1, 1500), *range(1500, 20_000, 77)]:
