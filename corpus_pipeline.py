@@ -14,22 +14,45 @@ from remitlake.sources.shared import dropped, stored
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """These names, longer where docs has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity reaches the threshold go. The lexicon is learned from ``labels``."""
     score = toxicity.scorer(toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    scored = docs.withColumn("_toxicity", score(F.col("text").cast("string")))
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    (name,) = _unused(docs, "_toxicity")
+    return docs.withColumn(name, score(F.col("text").cast("string"))).where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of shared word shingles bring together the one with the least id stays, once.
+    """Of documents that links of shared word shingles bring together one stays: that with the least id, then text key.
 
-    Documents without an id have nothing to be told apart by and stay.
+    A document is an id and a text: unrelated texts under one id, or without one, all stay, repeated rows stay once (the
+    least by their other columns). A null id comes after all others. Texts without words are linked with nothing.
     """
-    classes = ngram_join.jaccard_classes(docs)
-    firsts = classes.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    missing, number, key = _unused(docs, "_missing", "_number", "_key")
+    place = F.struct(F.col("doc_id").isNull().alias(missing), F.coalesce("doc_id", F.lit(0)).alias(number), F.col("text_key").alias(key))
+    classes = ngram_join.jaccard_classes(docs, keyed=True).select("class", place.alias("place"))
+    firsts = classes.where("class is not null").groupBy("class").agg(F.min("place").alias("place")).select("place.*")
+    alone = classes.where("class is null").select("place.*").distinct()
+    marked = docs.withColumns(
+        {
+            missing: F.col("doc_id").isNull(),
+            number: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+            key: F.xxhash64(F.col("text").cast("string")),
+        }
+    )
+    same = [missing, number, key]
+    kept = marked.join(firsts.unionAll(alone), same, "left_semi").groupBy(*same).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return kept.select("row.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +65,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the curriculum, each as often as its source's target takes it."""
-    return mixing.in_training_order(docs, name="_position").select(*docs.columns)
+    (name,) = _unused(docs, "_position")
+    return mixing.in_training_order(docs, name=name).select(*docs.columns)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
