@@ -103,11 +103,34 @@ def tokens(texts: pa.Array) -> Iterator[Tokens]:
             yield Tokens(hashes[a:b], found.starts[a:b] - piece.offsets[i], found.ends[a:b] - piece.offsets[i])
 
 
-def _common_run(doc: np.ndarray, item: np.ndarray, i: int, j: int, used_doc: np.ndarray, used_item: np.ndarray) -> int:
-    """How many words from doc[i] and item[j] on are equal and unused."""
-    n = min(len(doc) - i, len(item) - j)
-    stop = (doc[i : i + n] != item[j : j + n]) | used_doc[i : i + n] | used_item[j : j + n]
-    return int(stop.argmax()) if stop.any() else n
+def _free(used: np.ndarray, least: int, n: int) -> np.ndarray:
+    """For each of the first n places whether the ``least`` words from there on are unused."""
+    sums = np.concatenate([[0], np.cumsum(used)])
+    return sums[least : least + n] == sums[:n]
+
+
+def _longest_runs(at: np.ndarray, places: np.ndarray, seeds: np.ndarray, free: np.ndarray, free_item: np.ndarray) -> tuple[int, list[tuple[int, int]]]:
+    """The most seeds in a row that are equal and free in both, and where such rows begin: (place in item, place in doc).
+
+    ``places`` of the document, whose seeds are ``at``, are worked through for one place of the item after the other, from
+    its end: a row is one longer than that of the next place of both. Time and memory follow the document, also where
+    words repeat in both.
+    """
+    follows = np.append(np.diff(places) == 1, False)
+    most, starts = 0, []
+    runs = np.zeros(len(places) + 1, np.int32)
+    for j in range(len(seeds) - 1, -1, -1):
+        if not free_item[j]:
+            runs[:] = 0
+            continue
+        more = np.where(follows, runs[1:], 0) + 1
+        runs[:-1] = np.where((at == seeds[j]) & free, more, 0)
+        top = int(runs.max())
+        if top > most:
+            most, starts = top, []
+        if top and top == most:
+            starts.append((j, places[np.flatnonzero(runs[:-1] == top)]))
+    return most, [(j, int(i)) for j, found in reversed(starts) for i in found]
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -117,22 +140,22 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     """
     if len(item) < least or len(doc) < least:
         return []
-    seeds = _running(item, least)
-    order = np.argsort(seeds, kind="stable")
-    at = _running(doc, least)
-    low, high = np.searchsorted(seeds[order], at, "left"), np.searchsorted(seeds[order], at, "right")
-    hits = [(int(i), int(order[k])) for i in np.flatnonzero(high > low) for k in range(low[i], high[i])]
+    seeds, at = _running(item, least), _running(doc, least)
+    places = np.flatnonzero(np.isin(at, seeds))
+    at = at[places]
     used_doc, used_item = np.zeros(len(doc), bool), np.zeros(len(item), bool)
     out: list[tuple[int, int, int]] = []
-    while hits:
-        runs = [(i, j, _common_run(doc, item, i, j, used_doc, used_item)) for i, j in hits]
-        runs = [r for r in runs if r[2] >= least]
-        longest = max((r[2] for r in runs), default=0)
-        for i, j, n in sorted((r for r in runs if r[2] == longest), key=lambda r: (r[1], r[0])):
-            if not used_doc[i : i + n].any() and not used_item[j : j + n].any():
+    while len(places):
+        free = _free(used_doc, least, len(doc) - least + 1)[places]
+        places, at, free = places[free], at[free], free[free]
+        most, starts = _longest_runs(at, places, seeds, free, _free(used_item, least, len(seeds)))
+        if not most:
+            break
+        n = most + least - 1
+        for j, i in starts:
+            if not used_item[j : j + n].any() and not used_doc[i : i + n].any():
                 used_doc[i : i + n] = used_item[j : j + n] = True
                 out.append((i, j, n))
-        hits = [(i, j) for i, j, _ in runs if not used_doc[i] and not used_item[j]]
     return out
 
 

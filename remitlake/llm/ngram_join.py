@@ -73,13 +73,13 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _profile(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("gram", pa.int64()), ("docs", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("gram", pa.int64()), ("docs", pa.int64())])
 
     def common(held: list[np.ndarray]) -> pa.RecordBatch:
         grams, docs = np.unique(np.concatenate(held), return_counts=True)
         grams, docs = grams[docs >= 3].view(np.int64), docs[docs >= 3]
         nulls = pa.nulls(len(grams), pa.int64())
-        return pa.record_batch([nulls, nulls, nulls, nulls, pa.array(grams), pa.array(docs)], schema=schema)
+        return pa.record_batch([nulls, nulls, nulls, nulls, nulls, pa.array(grams), pa.array(docs)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, entries = [], 0
@@ -96,7 +96,7 @@ def _profile(words: int):
                     at_rest()
             nulls = pa.nulls(len(sizes), pa.int64())
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), nulls, nulls], schema=schema
+                [*(batch.column(c) for c in ("doc_id", "key", "text_key")), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), nulls, nulls], schema=schema
             )
         if held:
             yield common(held)
@@ -493,9 +493,12 @@ def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFram
     return links
 
 
-def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, keyed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text).
 
+    With ``keyed`` also text_key, the xxhash64 of the text, and class, a number of the component that does not depend on
+    ids, null for a row without shingles.
+
     Two documents are linked when 100 * intersection >= percent * union of their shingle sets; component_id is the
     least doc_id that links reach. Words are lower-cased in A-Z only. A null, empty or white text has no shingles, is
     linked with nothing and is its own component; a text of fewer words than a shingle is one shingle. Repeated rows
@@ -503,9 +506,9 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     an id is null. An empty table gives no rows; other columns are not looked at.
     """
     # Texts are found again by their id, or by a hash where there is none; a set is taken only from a text that has it.
-    key = F.coalesce("doc_id", F.xxhash64("text")).alias("key")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", key, "text")
-    seen = stored(texts.mapInArrow(_profile(words), "doc_id long, key long, n long, node long, gram long, docs long"), "profile")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("text_key", F.xxhash64("text")).withColumn("key", F.coalesce("doc_id", "text_key"))
+    seen = stored(texts.mapInArrow(_profile(words), "doc_id long, key long, text_key long, n long, node long, gram long, docs long"), "profile")
     nameless = texts.where("doc_id is null").groupBy("key").agg(F.first("text").alias("text"))
     texts = texts.where("doc_id is not null").select("key", "text").unionByName(nameless)
     profile = seen.where("n is not null")
@@ -554,9 +557,8 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     if classes is None:
         classes = owners.select("node", F.col("node").alias("root")).limit(0)
 
-    rows = profile.select("doc_id", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
-    rows = rows.select("doc_id", "n_shingles", F.coalesce("root", "node").alias("class"))
+    rows = profile.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "node").join(classes, "node", "left")
+    rows = rows.select("doc_id", "text_key", "n_shingles", F.coalesce("root", "node").alias("class"))
     firsts = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(firsts, "class", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return rows.join(firsts, "class", "left").select("doc_id", "n_shingles", component, *(["text_key", "class"] if keyed else []))

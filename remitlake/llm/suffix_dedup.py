@@ -350,7 +350,8 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCH
         .sortWithinPartitions("bucket", "bytes")
         .mapInArrow(_sorted_buckets(length), "row_id long, text_key long, first long, last long")
     )
-    ranges = met.where("copies > 1").select("row_id", "text_key", "first", "last").unionByName(found)
+    # Repeated rows of one id and text have the same ranges: they are listed once.
+    ranges = met.where("copies > 1").select("row_id", "text_key", "first", "last").unionByName(found).distinct()
     ranges = stored(ranges.groupBy("row_id", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
     dropped(met)
     touched = marked(texts, "text_key", ranges, "touched")

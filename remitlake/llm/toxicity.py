@@ -12,7 +12,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import ahocorasick
@@ -92,7 +94,16 @@ def matches(words: list[str], machine: ahocorasick.Automaton) -> list[tuple[int,
             excepted.append((start, end + 1))
         elif start not in found or found[start][0] < end + 1:
             found[start] = (end + 1, weight)
-    return [(a, b, w) for a, (b, w) in found.items() if not any(x <= a and b <= y for x, y in excepted)]
+    # Of the exceptions that begin no later than an entry, the one that reaches farthest decides.
+    excepted.sort()
+    begins = [x for x, _ in excepted]
+    reach = list(accumulate((y for _, y in excepted), max))
+    free = []
+    for a, (b, weight) in found.items():
+        before = bisect_right(begins, a)
+        if not before or reach[before - 1] < b:
+            free.append((a, b, weight))
+    return free
 
 
 def features(words: list[str], machine: ahocorasick.Automaton) -> tuple[float, float, float]:

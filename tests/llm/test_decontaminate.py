@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -127,3 +128,12 @@ def test_items_with_other_signs_without_spaces_and_short_ones(spark):
     texts = [f"Before, {curly}\u2026 after", f"x\u4e00{chinese}\u3002y", "An Amber\u2014lantern, seven!", "amber lantern eight seven", "\u6c34\u661f"]
     rows = dc.contaminated(documents(spark, texts), benchmark).collect()
     assert sorted((r.doc_id, r.item_id, r.coverage) for r in rows) == [(0, 1, 1.0), (1, 2, 1.0), (2, 3, 1.0), (4, 4, 1.0)]
+
+
+def test_a_very_long_text_of_one_word_against_an_item_of_it():
+    began = time.perf_counter()
+    doc, item = np.full(100_000, 5, np.uint64), np.full(50, 5, np.uint64)
+    assert dc.tiles(doc, item, 5) == [(0, 0, 50)]
+    item[::7] = 6  # seven runs of six, each somewhere else in the document
+    assert [(j, n) for _, j, n in dc.tiles(doc, item, 5)] == [(j, 6) for j in range(1, 44, 7)]
+    assert time.perf_counter() - began < 10

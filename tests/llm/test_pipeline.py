@@ -97,8 +97,29 @@ def test_repeated_rows_and_rows_without_id_or_text(spark, sf_dir):
         assert empty.count() == 0
 
 
+def test_near_copies_go_by_id_and_text(spark, sf_dir):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [
+        (7, text), (7, "an unrelated text of some words"), (7, "another text that is like no other"), (7, text), (9, text + " more"),
+        (None, text + " more"), (None, "a text of its own without an id"), (None, "a text of its own without an id"), (None, None), (3, ""), (3, " "),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "s", i) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    after = Counter((r.doc_id, r.text) for r in cp.keep_one_of_near_copies(spark, docs, sf_dir).collect())
+    assert after == Counter([rows[0], rows[1], rows[2], rows[6], rows[8], rows[9], rows[10]])
+
+
+def test_columns_of_clashing_names_are_handed_on(spark, sf_dir):
+    clashing = {"_toxicity": "mine", "_position": "mine", "_missing": "mine", "_number": "mine", "_key": "mine", "_id": "mine", "text_key": "mine", "class": "mine"}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.selectExpr("*", *(f"'{v}' as `{k}`" for k, v in clashing.items()))
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.select(*clashing).distinct().collect() == [tuple(clashing.values())]
+        docs = docs.cache()
+
+
 def test_queries_are_registered():
     names = set(queries.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.oracle_sql()) <= names
     assert ngram_join.PERCENT == 75 and ngram_join.WORDS == 5

@@ -91,3 +91,10 @@ def test_cover_ranks_sort_like_the_suffixes():
     text = data.tobytes() + bytes(800)
     order = sorted(places.tolist(), key=lambda p: text[p : p + 228])
     assert (np.diff(rank[order]) >= 0).all()
+
+
+def test_many_rows_of_one_text_are_listed_once(spark):
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(900))
+    docs = spark.range(5_000).selectExpr("cast(null as long) as doc_id", f"'{text}' as text").unionByName(spark.createDataFrame([(1, "x" * 10 + text[100:600])], "doc_id long, text string"))
+    rows = suffix_dedup.summary(suffix_dedup.without_repeats(docs)).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(["(None, 900, 900, 1, 5000)", "(1, 510, 500, 1, 1)"])
