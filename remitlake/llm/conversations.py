@@ -18,7 +18,6 @@ left to right, is taken in one task for a conversation, row by row from a sorted
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 
 import pyarrow as pa
@@ -68,17 +67,32 @@ def _edits(symbol: str, state: int) -> Iterator[tuple[str, int, int]]:
     yield "R", REROLE + more, _NEXT[state]
 
 
-@lru_cache(1 << 16)
+# Functions travel to the tasks by value, so their results are kept in plain dictionaries. Vectors are few: their numbers
+# differ by no more than two insertions.
+_BEFORE: dict[tuple[str, Vector], tuple[Vector, int]] = {}
+_CHOSEN: dict[tuple[str, Vector, int], tuple[str, int]] = {}
+
+
 def _before(symbol: str, after: Vector) -> tuple[Vector, int]:
     """The vector before a row, less its least number, and that number."""
+    known = _BEFORE.get((symbol, after))
+    if known is not None:
+        return known
     costs = _closed([min(cost + after[to] for _, cost, to in _edits(symbol, state)) for state in range(4)])
     least = min(costs)
-    return tuple(c - least for c in costs), least
+    _BEFORE[symbol, after] = out = (tuple(c - least for c in costs), least)
+    return out
 
 
-@lru_cache(1 << 16)
 def _chosen(symbol: str, after: Vector, state: int) -> tuple[str, int]:
     """The initials of the insertions before a row and of its own edit, and the state after it."""
+    known = _CHOSEN.get((symbol, after, state))
+    if known is None:
+        known = _CHOSEN[symbol, after, state] = _cheapest(symbol, after, state)
+    return known
+
+
+def _cheapest(symbol: str, after: Vector, state: int) -> tuple[str, int]:
     vector, least = _before(symbol, after)
     audit = ""
     while True:

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -38,12 +37,18 @@ _UNSPACED = [
 ]
 
 
-@cache
+#: Filled where it is first needed: a function travels to the tasks by value, its cache must be a plain one.
+_KINDS: list[np.ndarray] = []
+
+
 def _kinds() -> np.ndarray:
     """Of each character: 0 for what parts words, 1 for letters, marks and digits, 2 for those that are words alone."""
+    if _KINDS:
+        return _KINDS[0]
     out = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)]).astype(np.uint8)
     for first, last in _UNSPACED:
         out[first : last + 1] *= 2
+    _KINDS.append(out)
     return out
 
 
