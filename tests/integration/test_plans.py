@@ -120,7 +120,7 @@ def test_rows_stored_by_a_key_are_grouped_by_it_without_an_exchange(spark, store
     silver = stored[1]
     by_customer = write_clustered(silver, str(tmp_path / "by_customer"), "customer_id", 4)
     by_merchant = write_clustered(silver, str(tmp_path / "by_merchant"), "merchant_id", 4)
-    for df in (customers.customer_core_by_key(by_customer), customers.preferences(by_customer), merchants.merchant_core(by_merchant)):
+    for df in (customers.customer_core_by_key(by_customer), customers.preferences_by_key(by_customer), merchants.merchant_core(by_merchant)):
         assert "hashpartitioning" not in plan(df)  # small results may still be sent to a join
     assert "hashpartitioning" in plan(customers.customer_core_by_key(silver))
     by_key, usual = customers.customer_summary_by_key(by_customer), customers.customer_summary(silver)
