@@ -86,11 +86,6 @@ def ranks(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _repeats(data: np.ndarray) -> bool:
-    """Whether a text is one unit of under POPULAR bytes again and again: of equal windows the first wins, none often enough."""
-    return any((data[lag:] == data[:-lag]).all() for lag in range(1, POPULAR))
-
-
 def _features(piece: Piece, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of the features of a piece in order, each hash once for a text."""
     data, offsets = piece.data, piece.offsets
@@ -116,12 +111,10 @@ def _features(piece: Piece, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         popular = np.flatnonzero(wins >= POPULAR)
         chosen.append(popular)
         # A text without a feature has its best window, one of less than a window itself. In less than POPULAR runs no
-        # window can win often enough; a longer text that only repeats a short unit stays without.
+        # window can win often enough, nor where a unit of less than POPULAR bytes is repeated: of equals the first wins.
         without = np.diff(np.searchsorted(popular, offsets)) == 0
         for i in np.flatnonzero((lengths >= WINDOW) & without).tolist():
             a, b = int(offsets[i]), int(offsets[i + 1]) - WINDOW + 1
-            if lengths[i] >= run + POPULAR - 1 and _repeats(data[a : b + WINDOW - 1]):
-                continue
             top = int(key[a:b].min())
             if top >> 32 > LEVELS and lengths[i] >= run:  # nearly constant throughout
                 top = int(((rank[level[a:b]] << 32) | np.arange(a, b)).min())
