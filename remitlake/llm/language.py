@@ -39,11 +39,14 @@ UNKNOWN = "und"
 _WORDS_AT_ONCE = 600_000
 _REMEMBERED = 400_000
 
-_WORD = re.compile(r"[^\W\d_]+").findall
+#: A longer run of letters, as in scripts without spaces, is read in pieces of so many, each a word.
+LONGEST_WORD = 39
+
+_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST_WORD).findall
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
+    """Runs of letters, in lower case; those of more than LONGEST_WORD letters in pieces."""
     return _WORD(text.lower())
 
 
@@ -60,10 +63,9 @@ def word_features(word: str, lexicon: dict[str, int], buckets: dict[str, int] |
     buckets = _Buckets() if buckets is None else buckets
     ends = f"<{word}>"
     parts = [f"p{ends[:n]}" for n in (2, 3, 4)] + [f"s{ends[-n:]}" for n in (2, 3, 4)]
-    if len(word) < 40:
-        parts += word
-        parts += [ends[i : i + 2] for i in range(len(ends) - 1)]
-        parts += [ends[i : i + 3] for i in range(len(ends) - 2)]
+    parts += word
+    parts += [ends[i : i + 2] for i in range(len(ends) - 1)]
+    parts += [ends[i : i + 3] for i in range(len(ends) - 2)]
     numbers = [buckets[p] for p in parts]
     if word in lexicon:
         numbers.append(BUCKETS + lexicon[word])

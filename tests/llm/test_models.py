@@ -214,6 +214,18 @@ def test_words_of_a_switched_text_are_labelled_one_by_one():
     assert (guess == np.repeat([0, 1, 2], 8)).mean() > 0.85
 
 
+def test_the_inside_of_a_long_run_of_letters_is_read(spark):
+    """Texts without spaces whose first and last letters say nothing."""
+    rng = random.Random(6)
+    tongues = list(TONGUES.items())
+    texts = [(i, speech(rng, tongues[i % 3][1], 40)) for i in range(300)]
+    runs = [(1000 + i, "zzzz" + "".join(speech(rng, tongues[i % 3][1], 60).split()) + "zzzz") for i in range(30)]
+    docs = documents(spark, texts + runs, lang=None).selectExpr("doc_id", "text", f"CASE WHEN doc_id < 1000 THEN element_at(array({', '.join(repr(k) for k, _ in tongues)}), CAST(doc_id % 3 + 1 AS INT)) END lang")
+    got = {r.doc_id: r.lang_pred for r in language.language(docs).collect()}
+    assert sum(got[i] == tongues[(i - 1000) % 3][0] for i, _ in runs) >= 28
+    assert [len(w) for w in language.words_of("a" * 100 + " b")] == [39, 39, 22, 1]
+
+
 def test_nothing_to_learn(spark):
     docs = documents(spark, ["text", None], lang=None)
     assert {r.lang_pred for r in language.language(docs).collect()} == {"und"}
