@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from remitlake.llm.components import components
 from remitlake.llm.members import marked
-from remitlake.llm.text import at_rest, shingle_sets
+from remitlake.llm.text import at_rest, mixed, shingle_sets
 from remitlake.sources.shared import dropped, stored
 
 WORDS = 5
@@ -48,8 +48,10 @@ BLOCK_ENTRIES = 500_000
 PAIRS_PER_TASK = 512
 #: Nodes that a task multiplies with each other, about: a hub of more is cut into blocks of half as many.
 HUB_NODES = 10_000
-#: Columns are named by six bytes of a shingle's hash: two shingles of one name only bring up more pairs to settle.
-_NAME_BYTES = 6
+#: Within its block a column is named by five bytes of a shingle's hash: two shingles of one name only bring up more
+#: pairs to settle. A name and its block (under 2 ** 24) make up a number.
+_NAME_BYTES = 5
+_MOST_BLOCKS = 1 << 24
 _FLUSH = 1_000_000
 _TILE = 1024
 
@@ -72,6 +74,15 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, all lowest bytes first: the high ones, zero as a rule, then lie together and compress."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").reshape(-1)
+
+
 def _profile(words: int):
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("gram", pa.int64()), ("docs", pa.int64())])
 
@@ -115,7 +126,7 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
         grams = np.concatenate(held)
         doc = np.repeat(np.arange(len(held)), counts)
         names = _names(grams)
-        block = (names >> np.uint64(8)) % np.uint64(blocks)
+        block = mixed(grams) % np.uint64(blocks)
         order = np.lexsort((doc, block))
         block, doc, names = block[order], doc[order], names[order]
         nodes, sizes = np.array(nodes, np.int64), np.array(sizes, np.int64)
@@ -123,7 +134,7 @@ def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
         ends = np.flatnonzero(np.diff(block)) + 1
         for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(block)], strict=True):
             docs, n = np.unique(doc[a:b], return_counts=True)
-            out.append((int(block[a]), nodes[docs].tobytes(), sizes[docs].astype(np.int32).tobytes(), n.astype(np.int32).tobytes(), _packed(names[a:b])))
+            out.append((int(block[a]), nodes[docs].tobytes(), _planes(sizes[docs]), _planes(n), _packed(names[a:b])))
         return pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,13 +185,15 @@ def _columns(percent: int):
     """The columns of one block that several nodes have: (gram, node, size, needed, nodes of the column)."""
     schema = pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("needed", pa.int32()), ("nodes", pa.int32())])
 
-    def read(table: pa.Table, column: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+    def read(table: pa.Table, column: str) -> np.ndarray:
+        return np.concatenate([_from_planes(x) for x in table.column(column).to_pylist()])
 
     def run(table: pa.Table) -> pa.Table:
-        counts = read(table, "counts", np.int32)
-        grams = _unpacked(b"".join(table.column("grams").to_pylist()))
-        node, size = (np.repeat(read(table, c, k), counts) for c, k in (("nodes", np.int64), ("sizes", np.int32)))
+        counts = read(table, "counts")
+        block = np.uint64(table.column("block")[0].as_py())
+        grams = _unpacked(b"".join(table.column("grams").to_pylist())) | block << np.uint64(8 * _NAME_BYTES)
+        nodes = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
+        node, size = (np.repeat(x, counts) for x in (nodes, read(table, "sizes")))
         order = np.argsort(grams)
         same = np.diff(grams[order]) == 0
         order = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
@@ -518,7 +531,7 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
         .orderBy(F.desc("docs"), "gram").limit(COMMON).select("gram").toPandas()["gram"].to_numpy(np.int64)
     )
     entries = profile.agg(F.sum("n")).first()[0] or 0
-    blocks = max(24, entries * (100 - percent + MORE) // 100 // BLOCK_ENTRIES)
+    blocks = min(_MOST_BLOCKS, max(24, entries * (100 - percent + MORE) // 100 // BLOCK_ENTRIES))
     columns = columns_stored = stored(
         texts.mapInArrow(
             _prefixes(words, percent, np.sort(common.view(np.uint64)), blocks),

@@ -41,6 +41,13 @@ def classes(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(df).collect()}
 
 
+def test_what_is_packed_comes_out_again():
+    numbers = np.array([0, 1, 255, 256, 70_000, 2**31 - 1], np.int64)
+    assert ngram_join._from_planes(ngram_join._planes(numbers)).tolist() == numbers.tolist()
+    names = np.array([0, 1, 2**40 - 1, 12345678901], np.uint64)
+    assert ngram_join._unpacked(ngram_join._packed(names)).tolist() == names.tolist()
+
+
 def test_all_pairs_agree(spark):
     texts = list(enumerate(mixed_texts()))
     assert classes(documents(spark, texts).repartition(5)) == brute(texts)
