@@ -17,16 +17,18 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlake.llm.text import Piece, Words, at_rest, pieces, prefix_hashes, span_hashes, mixed
+from remitlake.sources.shared import dropped, stored
 
 SEED_WORDS = 5
 COVERAGE = 0.75
-#: Test items are taken to the tasks in blocks of about so many bytes, each against all documents.
-BLOCK_BYTES = 8 << 20
-_SLOTS = 1 << 20
+#: Bits of the map of the items' seeds, for each seed and at most (32 MB). A full map lets more seeds pass, and loses none.
+BITS_PER_SEED = 16
+MOST_BITS = 1 << 28
+_ROW_BITS = 1 << 15  # bits in a row of Spark's bitmaps
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
@@ -164,77 +166,91 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     return out
 
 
-class Seeds(NamedTuple):
-    """Sorted hashes of runs of so many words with the item each belongs to."""
+def _with_seeds(least: int):
+    """Of each item its distinct seeds: (item_key, seed, times in the item, words of the item and of a seed)."""
 
-    words: int
-    hashes: np.ndarray
-    owner: np.ndarray
-    slots: np.ndarray
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("item_key").to_pylist()
+            for row, item in enumerate(tokens(batch.column("text"))):
+                n = len(item.hashes)
+                k = min(least, n)
+                if n:
+                    seeds, times = np.unique(_running(item.hashes, k), return_counts=True)
+                    columns = [np.full(len(seeds), keys[row]), seeds.view(np.int64), times, np.full(len(seeds), n), np.full(len(seeds), k)]
+                    yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["item_key", "seed", "times", "words", "seed_words"])
+        at_rest()
+
+    return run
 
 
-class Items(NamedTuple):
-    """A block of test items: ids, word hashes, and their seeds by number of words."""
+def _slot(seed: Column, bits: int) -> Column:
+    return seed.bitwiseAND(F.lit(bits - 1)) + 1  # bitmaps of Spark count from 1
 
-    ids: list
-    words: list[np.ndarray]
-    seeds: list[Seeds]
 
+def _bitmap(seeds: DataFrame) -> np.ndarray:
+    """One bit for each seed by its last bits, in bytes. The size follows the seeds up to MOST_BITS."""
+    bits = _ROW_BITS
+    wanted = min(MOST_BITS, BITS_PER_SEED * seeds.count())
+    while bits < wanted:
+        bits *= 2
+    slot = _slot(F.col("seed"), bits)
+    rows = seeds.groupBy(F.bitmap_bucket_number(slot).alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for number, row in rows.collect():  # at most MOST_BITS in all
+        at = (number - 1) * (_ROW_BITS // 8)
+        out[at : at + len(row)] = np.frombuffer(bytes(row), np.uint8)
+    return out
 
-def _seeds(words: list[np.ndarray], numbers: list[int], k: int) -> Seeds:
-    runs = [_running(words[i], k) for i in numbers]
-    owner = np.repeat(np.array(numbers, np.int64), [len(r) for r in runs])
-    seeds = np.concatenate([*runs, np.zeros(0, np.uint64)])
-    order = np.argsort(seeds, kind="stable")
-    slots = np.zeros(_SLOTS, bool)
-    slots[(seeds & np.uint64(_SLOTS - 1)).astype(np.int64)] = True
-    return Seeds(k, seeds[order], owner[order], slots)
 
+def _candidates(bitmap: np.ndarray, lengths: list[int]):
+    """The documents with seeds that may be those of items, and these seeds."""
+    mask = np.uint64(8 * len(bitmap) - 1)
 
-def items_of(ids: list, texts: list[str | None], least: int) -> Items:
-    """The seed of an item of fewer words than a seed has is the whole item; one without words has none."""
-    words = [t.hashes for t in tokens(pa.array(texts, pa.large_string()))]
-    by_length: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        if len(w):
-            by_length.setdefault(min(len(w), least), []).append(i)
-    return Items(ids, words, [_seeds(words, numbers, k) for k, numbers in sorted(by_length.items())])
+    def possible(hashes: np.ndarray) -> np.ndarray:
+        kept = []
+        for k in lengths:
+            seeds = _running(hashes, k)
+            slots = (seeds & mask).astype(np.int64)
+            kept.append(seeds[bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 == 1])
+        return np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [possible(doc.hashes) for doc in tokens(batch.column("text"))]
+            rows = [i for i, seeds in enumerate(found) if len(seeds)]
+            if rows:
+                part = batch.take(pa.array(rows, pa.int64()))
+                ends = np.cumsum([0, *(len(found[i]) for i in rows)])
+                seeds = pa.array(np.concatenate([found[i] for i in rows]).view(np.int64), pa.int64())
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), seeds)
+                yield pa.record_batch([*part.columns, lists], names=[*part.schema.names, "seeds"])
+        at_rest()
 
-def _met(doc: np.ndarray, items: Items) -> list[int]:
-    """The items that share a seed with a document, in order."""
-    met: set[int] = set()
-    for s in items.seeds:
-        at = _running(doc, s.words)
-        at = at[s.slots[(at & np.uint64(_SLOTS - 1)).astype(np.int64)]]
-        if len(at):
-            low, high = np.searchsorted(s.hashes, at, "left"), np.searchsorted(s.hashes, at, "right")
-            met.update(int(s.owner[k]) for a, b in zip(low.tolist(), high.tolist(), strict=True) for k in range(a, b))
-    return sorted(met)
+    return run
 
 
-_FOUND = "doc_id long, item_id long, item_words int, covered_words int, coverage double, tiles array<struct<start:long,end:long,words:int>>"
+_FOUND = "doc_id long, item_id long, item_words int, covered_words int, coverage double, tiles array<struct<start:long,end:long,words:int>>, text_key long"
 
 
-def _tiled(items: Items, least: int, coverage: float, keyed: bool):
+def _tiled(least: int, coverage: float):
     tile = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int32())]))
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), tile]
-    names = ["doc_id", "item_id", "item_words", "covered_words", "coverage", "tiles"]
-    if keyed:
-        kinds, names = [*kinds, pa.int64()], [*names, "text_key"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), tile, pa.int64()]
+    names = ["doc_id", "item_id", "item_words", "covered_words", "coverage", "tiles", "text_key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, doc = None, None
         for batch in batches:
-            ids, keys = batch.column("doc_id"), batch.column("text_key") if keyed else None
             out = []
-            for row, doc in enumerate(tokens(batch.column("text"))):
-                for m in _met(doc.hashes, items):
-                    laid = tiles(doc.hashes, items.words[m], min(least, len(items.words[m])))
-                    covered = sum(n for _, _, n in laid)
-                    if covered >= coverage * len(items.words[m]):
-                        spans = [{"start": int(doc.starts[i]), "end": int(doc.ends[i + n - 1]), "words": n} for i, _, n in sorted(laid)]
-                        key = (keys[row].as_py(),) if keyed else ()
-                        out.append((ids[row].as_py(), items.ids[m], len(items.words[m]), covered, covered / len(items.words[m]), spans, *key))
+            ids, items, keys = (batch.column(c).to_pylist() for c in ("doc_id", "item_id", "text_key"))
+            for row, item in enumerate(tokens(batch.column("item_text"))):
+                if (ids[row], keys[row]) != last:  # rows of one document follow each other after the join
+                    last, (doc,) = (ids[row], keys[row]), tokens(batch.column("text").slice(row, 1))
+                laid = tiles(doc.hashes, item.hashes, min(least, len(item.hashes)))
+                covered = sum(n for _, _, n in laid)
+                if covered >= coverage * len(item.hashes):
+                    spans = [{"start": int(doc.starts[i]), "end": int(doc.ends[i + n - 1]), "words": n} for i, _, n in sorted(laid)]
+                    out.append((ids[row], items[row], len(item.hashes), covered, covered / len(item.hashes), spans, keys[row]))
             if out:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
         at_rest()
@@ -248,18 +264,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = SEED_WOR
     ``tiles`` are the bytes of the lower-cased text that a tile begins and ends at, in order. Null and empty texts and
     items without words meet nothing; an item of fewer than ``least`` words has to stand in the document whole. Repeated
     rows of docs give repeated rows; repeated items count once. Either table may be empty. Other columns are not looked
-    at. Items are taken to the tasks in blocks of bounded size, all documents are read for each block, and no document
-    is shuffled. With ``keyed`` a column ``text_key``, xxhash64 of the text, tells texts of one id apart.
+    at. With ``keyed`` a column ``text_key``, xxhash64 of the text, tells texts of one id apart.
+
+    Both tables may be of any size. Documents are read once; those that have a seed that a bitmap of the items' seeds
+    lets pass are stored, and their seeds meet the items' in a join. A tile of n words has n - least + 1 seeds, a share of
+    1 / least of its words or more, so a document that has fewer of an item's seeds than that cannot cover it.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    texts, found_columns = (texts.withColumn("text_key", F.xxhash64("text")), f"{_FOUND}, text_key long") if keyed else (texts, _FOUND)
+    texts = texts.withColumn("text_key", F.xxhash64("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = int(total // BLOCK_BYTES) + 1
-    found = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        held = items_of([r.item_id for r in rows], [r.text for r in rows], least)
-        part = texts.mapInArrow(_tiled(held, least, coverage, keyed), found_columns)
-        found = part if found is None else found.unionAll(part)
-    return found
+    items = items.withColumn("item_key", F.xxhash64("item_id", "text"))
+    seeds = stored(items.mapInArrow(_with_seeds(least), "item_key long, seed long, times long, words long, seed_words long"), "seeds")
+    lengths = sorted(r.seed_words for r in seeds.select("seed_words").distinct().collect())  # ``least`` numbers at most
+    near = texts.mapInArrow(_candidates(_bitmap(seeds), lengths), "doc_id long, text string, text_key long, seeds array<long>")
+    near = stored(near, "candidates")
+    met = (
+        near.select("doc_id", "text_key", F.explode("seeds").alias("seed"))
+        .distinct()  # of repeated rows
+        .join(seeds, "seed")
+        .groupBy("doc_id", "text_key", "item_key")
+        .agg(F.sum("times").alias("times"), F.first("words").alias("words"), F.first("seed_words").alias("seed_words"))
+        .where(F.col("times") * F.col("seed_words") >= F.lit(coverage) * F.col("words"))
+    )
+    pairs = met.join(items.select("item_key", "item_id", F.col("text").alias("item_text")), "item_key").select(
+        F.col("doc_id").alias("met_id"), F.col("text_key").alias("met_key"), "item_id", "item_text"
+    )
+    same = (F.col("text_key") == F.col("met_key")) & F.col("doc_id").eqNullSafe(F.col("met_id"))
+    found = near.drop("seeds").join(pairs, same).select("doc_id", "text_key", "text", "item_id", "item_text").mapInArrow(_tiled(least, coverage), _FOUND)
+    found = stored(found, "tiles")
+    dropped(seeds, near)
+    return found if keyed else found.drop("text_key")

@@ -68,10 +68,10 @@ def by_words(text):
     return re.findall(r"[^\W_]+", (text or "").lower())
 
 
-@pytest.mark.parametrize("block", [8 << 20, 300])
-def test_documents_and_items(spark, table, monkeypatch, block):
-    """In one block and in several."""
-    monkeypatch.setattr(dc, "BLOCK_BYTES", block)
+@pytest.mark.parametrize("bits", [1 << 28, 0])
+def test_documents_and_items(spark, table, monkeypatch, bits):
+    """With a map that fits the seeds, and with the least one, full of them."""
+    monkeypatch.setattr(dc, "MOST_BITS", bits)
     items, texts = table
     expected = {}
     for d, text in enumerate(texts):
@@ -137,3 +137,23 @@ def test_a_very_long_text_of_one_word_against_an_item_of_it():
     item[::7] = 6  # seven runs of six, each somewhere else in the document
     assert [(j, n) for _, j, n in dc.tiles(doc, item, 5)] == [(j, 6) for j in range(1, 44, 7)]
     assert time.perf_counter() - began < 10
+
+
+def test_every_possible_seed_passes_a_full_map(spark, monkeypatch):
+    """Nothing depends on what the map holds back, and a weak meeting is none."""
+    monkeypatch.setattr(dc, "_bitmap", lambda seeds: np.full(1 << 12, 255, np.uint8))
+    rng = random.Random(8)
+    items = [prose(rng, 40) for _ in range(30)]
+    texts = [f"{prose(rng, 20)} {' '.join(x.split(' ')[:n])} {prose(rng, 20)}" for x in items for n in (6, 29, 30, 31, 40)]
+    rows = dc.contaminated(documents(spark, texts), spark.createDataFrame(list(enumerate(items)), ITEMS)).collect()
+    assert {(5 * k + n, k) for k in range(30) for n in (2, 3, 4)} <= {(r.doc_id, r.item_id) for r in rows}
+    assert all(r.covered_words >= 30 and r.doc_id % 5 >= 1 for r in rows)
+
+
+def test_many_items_of_one_text_and_many_copies_of_one_document(spark):
+    item = "seven lanterns burn above the narrow bridge tonight and nobody asks why"
+    benchmark = spark.createDataFrame([(k, item) for k in range(200)] + [(None, item)], ITEMS)
+    docs = documents(spark, [(k % 3, f"x {item} y") for k in range(60)])
+    rows = dc.contaminated(docs, benchmark, keyed=True).collect()
+    assert len(rows) == 201 * 60 and {r.covered_words for r in rows} == {12} and len({r.text_key for r in rows}) == 1
+    assert Counter(r.doc_id for r in rows) == dict.fromkeys(range(3), 201 * 20)
