@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from remitlake.llm.running import with_running
 
 SHARDS = 16
-#: A group of equal texts up to this share of a shard stays whole; a larger one is cut like other documents.
-WHOLE_GROUP = 0.02
+#: A group of equal texts stays whole up to the size of the longest document, or this share of a shard if that is more.
+#: No cut can be nearer to its target than half a document, so whole groups of that size leave the sizes as equal.
+WHOLE_GROUP = 0.04
 
 
 def size_of(text: Column) -> Column:
@@ -17,13 +18,14 @@ def size_of(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def shard_plan(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
+def shard_plan(docs: DataFrame, *, shards: int = SHARDS, whole_group: float = WHOLE_GROUP) -> DataFrame:
     """(doc_id, size, text_crc32, text_key, shard, slot) for every row of docs(doc_id, text).
 
     Documents stand in order of the least doc_id that has their text, then of their own doc_id (null first), so
     equal texts stand together. A document belongs to the shard in whose share of all bytes its middle falls; all
-    documents of a small group of equal texts go with the middle of the group. Shards differ from equal sizes by at
-    most one document or small group at either end. Slots count the rows of a shard from 0 in that order.
+    documents of a group of equal texts go with the middle of the group, unless the group is larger than both the
+    longest document and ``whole_group`` of a shard: then it is cut between documents. Shards differ from equal sizes by
+    at most half of one document or whole group at either end. Slots count the rows of a shard from 0 in that order.
 
     Null and empty texts have size 1 and are one text. Repeated rows have a slot each. No rows give no rows; a shard
     may stay empty where a document is larger than a share. Other columns are not looked at. Texts are read once and
@@ -42,9 +44,10 @@ def shard_plan(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
         [F.asc("first"), F.asc("text_key"), F.asc("doc_id")],
         {"start": "size", "index": "one"},
     )
-    total = placed.agg(F.sum("size")).first()[0] or 1
+    sums = placed.agg(F.sum("size").alias("total"), F.max("size").alias("longest")).first()
+    total, longest = sums.total or 1, sums.longest or 0
     starts = placed.groupBy("text_key").agg(F.min("start").alias("group_start"))
-    whole = F.col("group_bytes") * shards <= total * WHOLE_GROUP
+    whole = F.col("group_bytes") <= max(longest, total * whole_group / shards)
     twice_middle = F.when(whole, 2 * F.col("group_start") + F.col("group_bytes")).otherwise(2 * F.col("start") + F.col("size"))
     shares = (twice_middle.cast("decimal(28,0)") * F.lit(shards).cast("decimal(10,0)")).cast("decimal(38,0)")
     shard = F.call_function("div", shares, F.lit(2 * total).cast("decimal(38,0)")).cast("int")
@@ -61,16 +64,14 @@ def in_shards(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
     Columns of these names that docs has are replaced.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    alike = Window.partitionBy("_id", "_key").orderBy(F.lit(1))
-    rows = docs.withColumns(
-        {"_id": F.col("doc_id").cast("long"), "_key": F.unhex(F.sha2(text, 256))}
-    ).withColumn("_copy", F.row_number().over(alike))
+    longer = "_" * (1 + max(map(len, docs.columns)))  # than any name of docs
+    number, key, copy = f"{longer}id", f"{longer}key", f"{longer}copy"
+    alike = Window.partitionBy(number, key).orderBy(F.lit(1))
+    rows = docs.withColumns({number: F.col("doc_id").cast("long"), key: F.unhex(F.sha2(text, 256))}).withColumn(copy, F.row_number().over(alike))
     again = Window.partitionBy("doc_id", "text_key").orderBy("shard", "slot")
-    plan = shard_plan(docs, shards=shards).select(
-        F.col("doc_id").alias("_plan_id"), F.col("text_key").alias("_plan_key"), "shard", "slot", F.row_number().over(again).alias("_plan_copy")
-    )
-    same = F.col("_id").eqNullSafe(F.col("_plan_id")) & (F.col("_key") == F.col("_plan_key")) & (F.col("_copy") == F.col("_plan_copy"))
-    own = [rows[c] for c in docs.columns if c not in ("shard", "slot")]
+    plan = shard_plan(docs, shards=shards).withColumn("copy", F.row_number().over(again))
+    same = rows[number].eqNullSafe(plan["doc_id"]) & (rows[key] == plan["text_key"]) & (rows[copy] == plan["copy"])
+    own = [rows[c] for c in docs.columns if c.lower() not in ("shard", "slot")]
     return rows.join(plan, same).select(*own, plan["shard"], plan["slot"])
 
 

@@ -122,7 +122,7 @@ def brute_shards(rows, shards):
     for i, t in sorted(rows, key=lambda r: (first[r[1] or ""], r[0])):
         key = t or ""
         group_start.setdefault(key, start)
-        small = group[key] * shards <= total * sharding.WHOLE_GROUP
+        small = group[key] <= max(max(size(x) for _, x in rows), total * sharding.WHOLE_GROUP / shards)
         middle = 2 * group_start[key] + group[key] if small else 2 * start + size(t)
         shard = middle * shards // (2 * total)
         out[i] = (size(t), zlib.crc32((t or "").encode()), shard, slots[shard])
@@ -165,6 +165,23 @@ def test_written_shards_and_repeated_rows(spark, tmp_path):
     assert sharding.shard_plan(df.limit(0)).count() == 0
 
 
+def test_groups_of_equal_texts_stay_whole(spark, sf_dir):
+    rows = queries.queries()["op8_sharding"](spark, sf_dir).collect()
+    share, longest = sum(r.size for r in rows) / 16, max(r.size for r in rows)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    group, shards = Counter(), defaultdict(set)
+    for r in rows:
+        group[texts[r.doc_id]] += r.size
+        shards[texts[r.doc_id]].add(r.shard)
+    assert all(len(shards[t]) == 1 for t, n in group.items() if n <= max(longest, sharding.WHOLE_GROUP * share))
+
+
+def test_names_that_a_table_of_shards_needs_itself(spark):
+    df = documents(spark, [(1, "a"), (2, "b")], _id="'mine'", _key="'mine'", _copy="'mine'", SHARD="'mine'", text_key="'mine'")
+    rows = sharding.in_shards(df, shards=2).collect()
+    assert [(r._id, r._key, r._copy, r.text_key) for r in rows] == [("mine",) * 4] * 2 and {r.shard for r in rows} == {0, 1}
+
+
 # --- mixing ----------------------------------------------------------------------------------------------------------
 
 
