@@ -2,7 +2,7 @@
 
 A word's features are its affixes, its n-grams of letters (both hashed into buckets), and whether it is in a language's
 lexicon: the words that training documents of that language use often and others seldom. Transitions between the
-labels of neighbouring words are learned as well, from training sequences in which snippets of different documents
+labels of neighbouring words are learned as well, from training sequences in which snippets of several documents
 follow each other as in code-switched text. Forward-backward gives each word a marginal for each language; a
 document's language has the greatest sum of marginals over letters.
 """
@@ -27,9 +27,9 @@ from remitlake.llm.text import at_rest
 from remitlake.sources.shared import dropped, stored
 
 FOLDS, HELD_OUT = 4, 2
-#: Documents to train on, at most (about), and the words in a row of one of them that training looks at.
-FIT_DOCUMENTS = 6_000
-FIT_WORDS = 64
+#: Documents to train on, at most (about). Their whole texts are read, in snippets of so many words in a row.
+FIT_DOCUMENTS = 3_000
+SNIPPET_WORDS = 64
 #: Words in the lexicons of all languages together, and buckets for hashed features.
 LEXICON = 20_000
 BUCKETS = 1 << 15
@@ -101,58 +101,86 @@ class _Scores(dict):
             self.table = np.concatenate([self.table, rows])
 
 
-def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """FIT_WORDS words in a row of each text, from a place that the text's length draws."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word occurs in each language."""
+    counts: Counter = Counter()
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        held = list(counts.items())
+        for at in range(0, len(held), 50_000):
+            part = held[at : at + 50_000]
+            columns = {"lang": [k[0] for k, _ in part], "word": [k[1] for k, _ in part], "n": [n for _, n in part]}
+            yield pa.record_batch({c: pa.array(x, pa.int64() if c == "n" else pa.string()) for c, x in columns.items()})
+        counts.clear()
+
     for batch in batches:
-        out = []
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            found = words_of(text or "")
-            if found:
-                skip = len(found) * 7919 % max(1, len(found) - FIT_WORDS)
-                out.append((lang, " ".join(found[skip : skip + FIT_WORDS])))
-        if out:
-            yield pa.record_batch({"lang": pa.array([x for x, _ in out], pa.string()), "words": pa.array([x for _, x in out], pa.string())})
+            counts.update((lang, word) for word in words_of(text or ""))
+            if len(counts) > 500_000:
+                yield from rows()
+    yield from rows()
 
 
-def _lexicon(snippets: list[list[str]], labels: np.ndarray, n_languages: int) -> dict[str, int]:
+def _lexicon(counts: DataFrame) -> dict[str, int]:
     """The most frequent words three quarters of whose uses are in one language: their places, most frequent first."""
-    counts = [Counter() for _ in range(n_languages)]
-    for found, label in zip(snippets, labels.tolist(), strict=True):
-        counts[label].update(found)
-    total = sum(counts, Counter())
-    own = ((n, w) for w, n in total.items() if n >= 3 and max(c[w] for c in counts) >= 0.75 * n)
-    return {w: i for i, (_, w) in enumerate(sorted(own, key=lambda x: (-x[0], x[1]))[:LEXICON])}
-
+    own = counts.groupBy("word").agg(F.sum("n").alias("n"), F.max("n").alias("most")).where("n >= 3 and most >= 0.75 * n")
+    return {r.word: i for i, r in enumerate(own.orderBy(F.desc("n"), "word").limit(LEXICON).select("word").collect())}
 
-def fit(known: DataFrame) -> Model | None:
-    """A model from known(text, lang). None without any word; with one language, everything is that language.
 
-    What comes to the driver is bounded: FIT_WORDS words of FIT_DOCUMENTS documents.
-    """
-    rows = known.mapInArrow(_snippets, "lang string, words string").toPandas().sort_values(["words", "lang"])
-    if not len(rows):
-        return None
-    languages = tuple(sorted(set(rows["lang"])))
-    labels = rows["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(int)
-    snippets = [w.split(" ") for w in rows["words"]]
-    lexicon = _lexicon(snippets, labels, len(languages))
-    order = np.random.default_rng(0).permutation(len(snippets))
+def _block(snippets: list[tuple[int, list[str]]], lexicon: dict[str, int], buckets: _Buckets) -> crf.Block:
     known_words: dict[str, int] = {}
-    buckets, features, places = _Buckets(), [], [0]
-    words, gold, ends = [], [], []
+    features, places = [], [0]
+    words, gold, ends = [], [], [0]
+    order = np.random.default_rng(0).permutation(len(snippets))
     for nth, i in enumerate(order.tolist(), 1):
-        for word in snippets[i]:
+        label, found = snippets[i]
+        for word in found:
             if word not in known_words:
                 known_words[word] = len(known_words)
                 features += word_features(word, lexicon, buckets)
                 places.append(len(features))
             words.append(known_words[word])
-            gold.append(labels[i])
+        gold += [label] * len(found)
         if nth % SNIPPETS == 0 or nth == len(order):
             ends.append(len(words))
-    chain = crf.train(
-        np.array(features), np.array(places), np.array(words), np.array([0, *ends]), np.array(gold), BUCKETS + len(lexicon), len(languages), l2=1.0, steps=30
-    )
+    return crf.Block(*(np.array(x) for x in (features, places, words, ends, gold)))
+
+
+def _blocks(languages: tuple[str, ...], lexicon: dict[str, int]):
+    """All words of each text in snippets, those of several texts mixed into the sequences of a block."""
+    labels = {x: i for i, x in enumerate(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets, snippets, size = _Buckets(), [], 0
+        for batch in batches:
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+                found = words_of(text or "")
+                for at in range(0, len(found), SNIPPET_WORDS):
+                    snippets.append((labels[lang], found[at : at + SNIPPET_WORDS]))
+                    size += len(snippets[-1][1])
+                    if size >= crf.BLOCK_PLACES:
+                        yield crf.block_row(_block(snippets, lexicon, buckets))
+                        snippets, size = [], 0
+        if snippets:
+            yield crf.block_row(_block(snippets, lexicon, buckets))
+        at_rest()
+
+    return run
+
+
+def fit(known: DataFrame) -> Model | None:
+    """A model from known(text, lang). None without any word; with one language, everything is that language.
+
+    Known rows are read whole and several times, so they should be stored. The driver gets the lexicon and sums of slopes.
+    """
+    counts = stored(known.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
+    languages = tuple(sorted(r.lang for r in counts.select("lang").distinct().collect()))
+    if not languages:
+        return None
+    lexicon = _lexicon(counts)
+    blocks = stored(known.mapInArrow(_blocks(languages, lexicon), crf.BLOCK), "blocks")
+    chain = crf.train_on(blocks, BUCKETS + len(lexicon), len(languages), l2=1.0, steps=30)
+    dropped(counts, blocks)
     return Model(languages, lexicon, chain._replace(weights=chain.weights.astype(np.float32)))
 
 
@@ -203,7 +231,8 @@ def learned(docs: DataFrame) -> Model | None:
     """The model that the documents with a language outside the held-out fold give."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    known = stored(sample(known, FIT_DOCUMENTS).select("text", "lang"), "sample")
+    known = sample(known, FIT_DOCUMENTS).select("text", "lang").repartition(crf.TASKS, "text")
+    known = stored(known.sortWithinPartitions(F.xxhash64("text"), "lang"), "sample")  # texts of all languages beside each other
     model = fit(known)
     dropped(known)
     return model

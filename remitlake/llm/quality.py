@@ -24,9 +24,9 @@ from remitlake.llm.text import Piece, at_rest, lowered, mixed, pieces, word_hash
 from remitlake.sources.shared import dropped, stored
 
 FOLDS, HELD_OUT = 3, 1
-#: Labelled documents to train on, at most (about), and the lines of one of them that training looks at, in a row.
+#: Labelled documents to train on, at most (about). All their lines are read, in sequences of so many.
 FIT_DOCUMENTS = 8_000
-FIT_LINES = 256
+SEQUENCE_LINES = 256
 THRESHOLD = 0.5
 #: Where the training lines' values are cut into bins.
 QUANTILES = (0.01, 0.03, 0.08, 0.2, 0.4, 0.6, 0.8, 0.9, 0.94, 0.97, 0.99)
@@ -133,40 +133,92 @@ def _with_neighbours(own: np.ndarray, lines: np.ndarray) -> np.ndarray:
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Measures of at most FIT_LINES lines of each text, from a line on that the text's hash draws."""
+    """Measures of all lines of each text, SEQUENCE_LINES in a row with the line before and after where there is one."""
     for batch in batches:
         labels = batch.column("label").to_pylist()
-        out = []
         for piece in pieces(batch.column("text")):
             measures, _, lines = line_measures(piece)
+            out = []
             for i, (a, b) in enumerate(zip(lines[:-1].tolist(), lines[1:].tolist(), strict=True)):
-                skip = (b - a) * 7919 % (b - a - FIT_LINES) if b - a > FIT_LINES else 0
-                part = measures[a + skip : min(b, a + skip + FIT_LINES)]
-                out.append((labels[piece.first + i], part.astype(np.float32).tobytes()))
-        if out:
-            yield pa.record_batch({"label": pa.array([x for x, _ in out], pa.int32()), "lines": pa.array([x for _, x in out], pa.binary())})
+                for at in range(a, b, SEQUENCE_LINES):
+                    end = min(b, at + SEQUENCE_LINES)
+                    before, after = int(at > a), int(end < b)
+                    out.append((int(labels[piece.first + i] != 0), before, after, measures[at - before : end + after].tobytes()))
+            columns = zip(("label", "before", "after"), list(zip(*out, strict=True))[:3], strict=True)
+            yield pa.record_batch({n: pa.array(x, pa.int32()) for n, x in columns} | {"lines": pa.array([x[3] for x in out], pa.binary())})
+
+
+def _parts(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.float32).reshape(-1, len(MEASURES)) for x in batch.column("lines").to_pylist()]
+
+
+def _inside(batch: pa.RecordBatch, parts: list[np.ndarray]) -> np.ndarray:
+    """Of all lines of the batch those that belong to their sequence, not to its neighbours."""
+    ends = np.cumsum([0, *map(len, parts)])
+    out = np.ones(ends[-1], bool)
+    out[ends[:-1][batch.column("before").to_numpy() > 0]] = False
+    out[ends[1:][batch.column("after").to_numpy() > 0] - 1] = False
+    return out
+
+
+def _valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many lines have each value, rounded to 16 bits: (measure, value, n)."""
+    counts = np.zeros((len(MEASURES), 1 << 16), np.int64)
+    for batch in batches:
+        parts = _parts(batch)
+        if parts:
+            values = np.minimum(np.concatenate(parts)[_inside(batch, parts)], 60_000).astype(np.float16).view(np.uint16)
+            for j, row in enumerate(counts):
+                row += np.bincount(values[:, j], minlength=1 << 16)
+    measure, bits = np.nonzero(counts)
+    value = bits.astype(np.uint16).view(np.float16).astype(np.float32)
+    yield pa.record_batch({"measure": pa.array(measure, pa.int32()), "value": pa.array(value, pa.float32()), "n": pa.array(counts[measure, bits], pa.int64())})
+
+
+def _edges(chunks: DataFrame) -> tuple[np.ndarray, ...]:
+    """Where each measure is cut: its values at the quantiles. Of each measure 65,536 values at most come to the driver."""
+    found = chunks.mapInArrow(_valued, "measure int, value float, n long").groupBy("measure", "value").agg(F.sum("n").alias("n")).toPandas()
+    out = []
+    for j in range(len(MEASURES)):
+        own = found[found["measure"] == j].sort_values("value")
+        up_to = own["n"].cumsum().to_numpy()
+        out.append(np.unique(own["value"].to_numpy(np.float32)[np.searchsorted(up_to, np.array(QUANTILES) * up_to[-1])]))
+    return tuple(out)
+
+
+def _blocks(edges: tuple[np.ndarray, ...]):
+    def block(batch: pa.RecordBatch) -> crf.Block:
+        parts = _parts(batch)
+        ends = np.cumsum([0, *map(len, parts)])
+        inside = _inside(batch, parts)
+        features = _with_neighbours(_bins(np.concatenate(parts), edges), ends)[inside]
+        offsets = np.concatenate([[0], np.cumsum(inside)])[ends]
+        n, width = features.shape
+        labels = np.repeat(batch.column("label").to_numpy(), np.diff(offsets))
+        return crf.Block(features.ravel(), np.arange(n + 1) * width, np.arange(n), offsets, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = crf.BLOCK_PLACES // SEQUENCE_LINES
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield crf.block_row(block(batch.slice(at, rows)))
+        at_rest()
+
+    return run
 
 
 def fit(known: DataFrame) -> Model | None:
     """A field from known(text, label), label 1 for good; none where only one label occurs.
 
-    What comes to the driver is bounded: 12 numbers for each of FIT_LINES lines of FIT_DOCUMENTS documents.
+    Known rows are read whole. What comes to the driver are counts of rounded values and sums of slopes.
     """
-    rows = known.mapInArrow(_measured, "label int, lines binary").toPandas()
-    if rows["label"].nunique() < 2:
+    if len(known.select("label").distinct().limit(2).collect()) < 2:
         return None
-    rows = rows.sort_values(["label", "lines"])
-    held = [np.frombuffer(x, np.float32).reshape(-1, len(MEASURES)) for x in rows["lines"]]
-    measures = np.concatenate(held)
-    lines = np.concatenate([[0], np.cumsum([len(x) for x in held])])
-    edges = tuple(np.unique(np.quantile(measures[:, j], QUANTILES)) for j in range(len(MEASURES)))
-    own = _bins(measures, edges)
-    features = _with_neighbours(own, lines)
-    n, width = features.shape
-    labels = np.repeat(rows["label"].to_numpy(int) != 0, np.diff(lines)).astype(int)
-    chain = crf.train(
-        features.ravel(), np.arange(n + 1) * width, np.arange(n), lines, labels, 3 * len(MEASURES) * BINS + 2, 2, l2=1.0, steps=60
-    )
+    chunks = stored(known.mapInArrow(_measured, "label int, before int, after int, lines binary"), "lines")
+    edges = _edges(chunks)
+    blocks = stored(chunks.mapInArrow(_blocks(edges), crf.BLOCK), "blocks")
+    chain = crf.train_on(blocks, 3 * len(MEASURES) * BINS + 2, 2, l2=1.0, steps=60)
+    dropped(chunks, blocks)
     return Model(edges, chain)
 
 
@@ -200,7 +252,7 @@ def scorer(model: Model | None):
 
 def learned(docs: DataFrame, labels: DataFrame) -> Model | None:
     known = labelled_sample(docs, labels, "quality", folds=FOLDS, held_out=HELD_OUT, most=FIT_DOCUMENTS)
-    known = stored(known.select("text", "label"), "sample")
+    known = stored(known.select("text", "label").repartition(crf.TASKS, "text").sortWithinPartitions("text", "label"), "sample")
     model = fit(known)
     dropped(known)
     return model
