@@ -28,7 +28,7 @@ from remitlake.sources.shared import dropped, stored
 
 FOLDS, HELD_OUT = 4, 2
 #: Documents to train on, at most (about). Their whole texts are read, in snippets of so many words in a row.
-FIT_DOCUMENTS = 3_000
+FIT_DOCUMENTS = 1_500
 SNIPPET_WORDS = 64
 #: Words in the lexicons of all languages together, and buckets for hashed features.
 LEXICON = 20_000
