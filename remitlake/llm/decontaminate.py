@@ -25,8 +25,10 @@ from remitlake.sources.shared import dropped, stored
 
 SEED_WORDS = 5
 COVERAGE = 0.75
-#: Bits of the map of the items' seeds, for each seed and at most (32 MB). A full map lets more seeds pass, and loses none.
-BITS_PER_SEED = 16
+#: Bits of the map of the items' seeds, for each seed and at most (32 MB); places of a seed in it, all of which must be set.
+#: Other seeds pass about once in 65,000, so few documents do without reason. A full map lets more pass, and loses none.
+BITS_PER_SEED = 64
+PROBES = 4
 MOST_BITS = 1 << 28
 _ROW_BITS = 1 << 15  # bits in a row of Spark's bitmaps
 
@@ -184,18 +186,19 @@ def _with_seeds(least: int):
     return run
 
 
-def _slot(seed: Column, bits: int) -> Column:
-    return seed.bitwiseAND(F.lit(bits - 1)) + 1  # bitmaps of Spark count from 1
+def _slots(seed: Column, bits: int) -> Column:
+    first, step = seed.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(seed, 32).bitwiseAND(F.lit(bits - 1)).bitwiseOR(F.lit(1))
+    return F.array(*((first + n * step).bitwiseAND(F.lit(bits - 1)) + 1 for n in range(PROBES)))  # bitmaps of Spark count from 1
 
 
 def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """One bit for each seed by its last bits, in bytes. The size follows the seeds up to MOST_BITS."""
+    """PROBES bits for each seed, in bytes. The size follows the seeds up to MOST_BITS."""
     bits = _ROW_BITS
     wanted = min(MOST_BITS, BITS_PER_SEED * seeds.count())
     while bits < wanted:
         bits *= 2
-    slot = _slot(F.col("seed"), bits)
-    rows = seeds.groupBy(F.bitmap_bucket_number(slot).alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    slots = seeds.select(F.explode(_slots(F.col("seed"), bits)).alias("slot"))
+    rows = slots.groupBy(F.bitmap_bucket_number("slot").alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
     for number, row in rows.collect():  # at most MOST_BITS in all
         at = (number - 1) * (_ROW_BITS // 8)
@@ -211,8 +214,12 @@ def _candidates(bitmap: np.ndarray, lengths: list[int]):
         kept = []
         for k in lengths:
             seeds = _running(hashes, k)
-            slots = (seeds & mask).astype(np.int64)
-            kept.append(seeds[bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 == 1])
+            first, step = seeds & mask, (seeds >> np.uint64(32)) & mask | np.uint64(1)
+            for n in range(PROBES):
+                slots = ((first + np.uint64(n) * step) & mask).astype(np.int64)
+                there = bitmap[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 == 1
+                seeds, first, step = seeds[there], first[there], step[there]
+            kept.append(seeds)
         return np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -157,3 +157,17 @@ def test_many_items_of_one_text_and_many_copies_of_one_document(spark):
     rows = dc.contaminated(docs, benchmark, keyed=True).collect()
     assert len(rows) == 201 * 60 and {r.covered_words for r in rows} == {12} and len({r.text_key for r in rows}) == 1
     assert Counter(r.doc_id for r in rows) == dict.fromkeys(range(3), 201 * 20)
+
+
+def test_the_map_holds_every_seed_and_little_else(spark):
+    rng = np.random.default_rng(4)
+    seeds = rng.integers(0, 1 << 64, 3000, np.uint64)
+    bitmap = dc._bitmap(spark.createDataFrame([(int(x),) for x in seeds.view(np.int64)], "seed long"))
+    run = dc._candidates(bitmap, [1])
+    texts = [f"word{k}" for k in range(20_000)]
+    batch = pa.record_batch({"text": pa.array(texts)})
+    passed = sum(b.num_rows for b in run(iter([batch])))
+    assert passed <= 10 and 2.5 < np.unpackbits(bitmap).sum() / len(seeds) <= dc.PROBES
+    own = [dc._running(t.hashes, 1)[0] for t in dc.tokens(pa.array(texts[:50]))]
+    own = dc._bitmap(spark.createDataFrame([(int(x),) for x in np.array(own).view(np.int64)], "seed long"))
+    assert sum(b.num_rows for b in dc._candidates(own, [1])(iter([batch.slice(0, 50)]))) == 50
