@@ -55,6 +55,16 @@ def test_every_byte_agrees(spark, texts, monkeypatch, crowd):
     assert [got[i] for i in range(len(texts))] == brute(texts, 400)
 
 
+def test_passages_that_begin_inside_a_run_of_one_byte(spark):
+    """Windows that start inside the run begin alike; each equals one of the other text, not its neighbour."""
+    rng = random.Random(6)
+    ends = ["".join(rng.choice("abcdefgh ") for _ in range(150)) for _ in range(8)]
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(330))
+    texts = [a + run * 120 + passage + b for run in "=- " for a, b in zip(ends[:4], ends[4:], strict=True)]
+    got = found(documents(spark, texts))
+    assert [got[i] for i in range(len(texts))] == brute(texts, 400)
+
+
 def test_other_lengths_and_small_blocks(spark, texts, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 3000)
     monkeypatch.setattr(suffix_dedup, "_CHUNK", 1000)
