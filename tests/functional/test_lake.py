@@ -151,3 +151,14 @@ def test_records_that_cannot_be_read_are_kept_aside(spark, tmp_path):
     assert {r["file"].rpartition("/")[2] for r in rejects} == {"b.csv"}
     assert sorted(r["transaction_id"] for r in lake.read("bronze/transactions").collect()) == ["T1", "T9"]
     assert [r["merchant_name"] for r in lake.read("silver/transactions").collect()] == ["Kiosk, Harbour"]
+
+
+def test_a_merchants_customers_take_no_more_room_than_a_word_each(spark):
+    """Of a merchant with few customers, whose numbers lie far apart, no empty stretch is kept; crowded words are shared."""
+    numbers = [*range(1, 100), 64_000, 9_000_000_000]
+    silver = spark.createDataFrame([("2024-01", "m", "M", "Retail", f"c{n}") for n in numbers * 2], "transaction_month string, merchant_id string, merchant_name string, merchant_category string, customer_id string")
+    known = spark.createDataFrame([(f"c{n}", n) for n in numbers], "customer_id string, number long")
+    state = gold_state.merchant_customers(silver, known)
+    assert state.count() == 4
+    assert dict(state.dtypes)["bits"] == "bigint"
+    assert state.agg(F.sum(F.bit_count(F.col("bits")))).first()[0] == len(numbers)
