@@ -172,3 +172,21 @@ def test_command_line(spark, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert "bad_timestamp" in shown and "£8.40" in shown
     assert read_table(spark, LayerPaths(str(tmp_path / "base")).silver).count() == 1
+
+
+def test_only_received_columns_pass_through_the_shuffle_before_the_write(spark, tmp_path, monkeypatch):
+    from remitlake.plans import layers as steps
+    from remitlake.sources.layers import LayerPaths
+    from remitlake.sources.shared import SPLIT_BYTES, small_splits
+
+    seen = []
+    monkeypatch.setattr(steps, "gathered_by_month", lambda df: seen.append((df.columns, spark.conf.get("spark.sql.files.maxPartitionBytes"))) or df)
+    write_transactions_csv(raw(spark, {}, {"transaction_time": "late"}), str(tmp_path / "in"))
+    bronze = steps.run_bronze(spark, str(tmp_path / "in"), LayerPaths(str(tmp_path / "base")))
+    silver, report = steps.run_silver(bronze, LayerPaths(str(tmp_path / "base")))
+    ((columns, usual),) = seen
+    assert set(columns) == {*RAW_COLUMNS, "ingestion_timestamp", "source_file", "transaction_month"}
+    assert silver.count() == 1 and set(silver.columns) == set(cleaning.to_silver(bronze).columns)
+    with small_splits(spark):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(SPLIT_BYTES)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == usual
