@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 
 from remitlake import contract as C
 from remitlake.functions import labels
+from remitlake.operators.packing import packed
 
 
-def one_copy_each(df: DataFrame, key: str = "transaction_id", order: Iterable[str] = C.COPY_ORDER) -> DataFrame:
+def one_copy_each(df: DataFrame, key: str = "transaction_id", order: Iterable[str] = C.COPY_ORDER, *, pack: bool = False) -> DataFrame:
     """Keep the smallest copy per key (by ``order``, nulls first, then by the other columns).
 
     Catalyst turns "row number 1" into a group limit before the shuffle as well: each task sends at most one row per
-    key, so a key with very many copies does not pile up anywhere.
+    key, so a key with very many copies does not pile up anywhere. ``pack`` sorts and shuffles rows with their texts
+    packed, for steps that filter by none of these afterwards: such a filter would unpack them once more.
     """
     first = [c for c in order if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in first]
-    place = Window.partitionBy(key).orderBy(*(F.asc_nulls_first(c) for c in first + rest))
-    return df.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") == 1).drop("_place")
+    rows, by, unpacked = packed(df, first + rest) if pack else (df, first + rest, lambda rows: rows)
+    place = Window.partitionBy(key).orderBy(*(F.asc_nulls_first(c) for c in by))
+    return rows.withColumn("_place", F.row_number().over(place)).filter(F.col("_place") == 1).drop("_place").transform(unpacked)
 
 
 def require_columns(df: DataFrame, columns: Iterable[str] = C.CRITICAL_COLUMNS) -> DataFrame:
@@ -130,7 +133,7 @@ def quality_report(bronze: DataFrame) -> DataFrame:
     Rows that met no fate were duplicates. Bronze is read a second time just to count it, which on Parquet takes no
     column data.
     """
-    counts = with_fate(bronze.select(*C.RAW_COLUMNS)).agg(*fate_counts()).unpivot([], list(FATES), "reason", "rows")
+    counts = bronze.select(*C.RAW_COLUMNS).transform(one_copy_each, pack=True).transform(judged).agg(*fate_counts()).unpivot([], list(FATES), "reason", "rows")
     signed = F.when(F.col("reason").isNull(), F.col("rows")).otherwise(-F.col("rows"))
     everything = bronze.agg(F.lit(None).cast("string").alias("reason"), F.count(F.lit(1)).alias("rows"))
     duplicates = everything.unionByName(counts).agg(F.lit(C.DUPLICATE).alias("reason"), F.sum(signed).alias("rows"))

@@ -71,9 +71,21 @@ def run_silver(
     pass through them, without the layer's name, which silver replaces.
     """
     fates = Observation()
+    silver = silver_by_month(bronze, fates, on_bad_timestamp)
+    with small_splits(bronze.sparkSession):
+        stored = write_by_month(silver, paths.silver)
+    counted = fates.get
+    # Bronze is stored: counting it reads file footers.
+    duplicates = bronze.count() - sum(counted.values())
+    report = [(C.DUPLICATE, duplicates), *counted.items()]
+    return stored, bronze.sparkSession.createDataFrame(report, "reason string, rows bigint")
+
+
+def silver_by_month(bronze: DataFrame, fates: Observation, on_bad_timestamp: str = "reject") -> DataFrame:
+    """Silver gathered by month; ``fates`` has the counts when it has been written."""
     received = bronze.select(*[c for c in bronze.columns if c in BRONZE_COLUMNS and c != "pipeline_layer"])
-    copies = received.transform(cleaning.one_copy_each).transform(cleaning.with_transaction_time)
-    silver = (
+    copies = received.transform(cleaning.one_copy_each, pack=True).transform(cleaning.with_transaction_time)
+    return (
         copies.drop("transaction_timestamp", "day_of_week")
         .transform(gathered_by_month)
         .transform(cleaning.judged)
@@ -81,13 +93,6 @@ def run_silver(
         .transform(_kept, on_bad_timestamp)
         .transform(cleaning.with_silver_metadata)
     )
-    with small_splits(bronze.sparkSession):
-        stored = write_by_month(silver, paths.silver)
-    counted = fates.get
-    # Bronze is stored: counting it reads file footers.
-    duplicates = bronze.count() - sum(counted.values())
-    report = [(C.DUPLICATE, duplicates), *counted.items()]
-    return stored, bronze.sparkSession.createDataFrame(report, "reason string, rows bigint")
 
 
 def _kept(fates: DataFrame, on_bad_timestamp: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.contract import RAW_COLUMNS
@@ -18,7 +18,7 @@ from remitlake.plans import layers, summary
 from remitlake.plans.lake import Lake
 from remitlake.sources.clustered import write_clustered
 from remitlake.sources.landing import read_transactions_csv, write_transactions_csv
-from remitlake.sources.layers import LayerPaths, gathered_by_month, write_by_month, write_table
+from remitlake.sources.layers import LayerPaths, write_by_month, write_table
 from remitlake.sources.sample_tables import raw_transactions
 from remitlake.sources.shared import fresh_path, small_splits, stored
 
@@ -55,7 +55,8 @@ def _stored_bronze(spark: SparkSession, sf_dir: str, paths: LayerPaths) -> DataF
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_by_month(gathered_by_month(_silver(spark, sf_dir)), _paths(spark).silver)
+    silver = layers.silver_by_month(bronze_rows(spark, sf_dir), Observation())
+    return write_by_month(silver.select(*_silver(spark, sf_dir).columns), _paths(spark).silver)
 
 
 def _stored_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:

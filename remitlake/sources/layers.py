@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from remitlake.operators.packing import packed
+
 MONTH = "transaction_month"
 #: Layers are written once and read several times.
 CODEC = "zstd"
@@ -44,9 +46,10 @@ def gathered_by_month(df: DataFrame) -> DataFrame:
     """Bring a month's rows together so that a write makes few files per month.
 
     A rebalance, unlike a repartition, may be split by AQE: a month that holds a third of the rows is still
-    written by many tasks, and small months share one.
+    written by many tasks, and small months share one. Rows pass with their texts packed.
     """
-    return df.hint("rebalance", MONTH)
+    rows, _, unpacked = packed(df, [c for c in df.columns if c != MONTH])
+    return unpacked(rows.hint("rebalance", MONTH))
 
 
 def write_by_month(df: DataFrame, path: str, *, only_months_present: bool = False) -> DataFrame:
