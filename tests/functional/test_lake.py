@@ -162,3 +162,32 @@ def test_a_merchants_customers_take_no_more_room_than_a_word_each(spark):
     assert state.count() == 4
     assert dict(state.dtypes)["bits"] == "bigint"
     assert state.agg(F.sum(F.bit_count(F.col("bits")))).first()[0] == len(numbers)
+
+
+def test_a_delivery_is_dealt_out_once_and_silver_not_again(spark, tmp_path, monkeypatch):
+    """Copies within a delivery and stored ones are resolved together; silver is written from files that are by month."""
+    from remitlake.plans import lake as steps
+
+    resolved, gathered = [], []
+    once, by_month = cleaning.one_copy_each, steps.gathered_by_month
+    monkeypatch.setattr(cleaning, "one_copy_each", lambda df, **how: resolved.append(df) or once(df, **how))
+    monkeypatch.setattr(steps, "gathered_by_month", lambda df: gathered.append(df) or by_month(df))
+    lake = Lake(spark, str(tmp_path / "lake"), gold=[])
+    deliveries = ([t(1), t(1, transaction_date="2024-05-01"), t(2)], [t(2, transaction_date="2023-01-01"), t(2, transaction_date="2023-02-01"), t(3, transaction_date=None)])
+    for n, changes in enumerate(deliveries):
+        lake.load(delivery(spark, tmp_path / f"in{n}", *changes))
+    assert (len(resolved), len(gathered)) == (2, 2)
+    assert write_folders(lake, "incoming") == []
+    found = {(r["transaction_id"], r["transaction_date"]) for r in lake.read(COPIES).collect()}
+    assert found == {("T1", "2024-02-29"), ("T2", "2023-01-01"), ("T3", None)}
+    assert lake.read("silver/transactions").count() == 2
+    for month in lake.releases.current().tables["silver/transactions"].parts.values():
+        assert len(month) == 1
+
+
+def test_landing_files_are_compressed_and_dealt_out_by_a_column(spark, tmp_path):
+    df = raw(spark, {"transaction_id": "T1"}, {"transaction_id": "T2"})
+    write_transactions_csv(df.withColumn("delivery", F.substring("transaction_id", 2, 1)), str(tmp_path / "in"), by="delivery")
+    files = [p for p in (tmp_path / "in").rglob("part-*")]
+    assert files and all(p.name.endswith(".csv.gz") for p in files)
+    assert landing.read_transactions_csv(spark, str(tmp_path / "in" / "delivery=2")).collect() == df.where("transaction_id = 'T2'").collect()
