@@ -7,20 +7,23 @@ the witnesses of the other's leaves. Blocks of an aligned power of two leaves ar
 roots of the blocks are then leaves of the next round, and their witnesses extend those of the rows below them. So no
 task holds more than a block, and rounds are few: the logarithm of the rows to the base of the block.
 
-Digests are lowercase hex SHA-256 and are hashed as hex text. A witness is an array of (side, digest) from the leaf up:
-side 0 a sibling to the left, 1 one to the right, 2 none (the node is hashed alone).
+A row goes along with its leaf, so its witness is made where the row is and is not shuffled: what is joined to it later
+are tables of a few rows (ranges, blocks, units), stored so that their sizes are known when a join is planned.
+
+Digests are lowercase hex SHA-256 and are hashed as hex text; between the steps they are kept as 32 bytes. A witness is
+an array of (side, digest) from the leaf up: side 0 a sibling to the left, 1 one to the right, 2 none (the node is
+hashed alone).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlake.llm.running import with_running
 from remitlake.sources.shared import stored
 
 #: Leaves of a block; a power of two, so that blocks are whole subtrees.
@@ -28,16 +31,8 @@ BLOCK = 4096
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 LEFT, RIGHT, ALONE = 0, 1, 2
-_WITNESS = "array<struct<side: int, digest: string>>"
-_PATHS = f"unit string, place long, top string, witness {_WITNESS}"
-_PATHS_ARROW = pa.schema(
-    [
-        ("unit", pa.string()),
-        ("place", pa.int64()),
-        ("top", pa.string()),
-        ("witness", pa.list_(pa.struct([("side", pa.int32()), ("digest", pa.string())]))),
-    ]
-)
+_WITNESS = "array<struct<side: int, digest: binary>>"
+_ARROW_WITNESS = pa.list_(pa.struct([("side", pa.int32()), ("digest", pa.binary())]))
 
 
 def digest_of(*parts: str) -> str:
@@ -104,46 +99,75 @@ def folded(leaf: Column, witness: Column) -> Column:
     return F.aggregate(witness, leaf, up)
 
 
+def _raw(digest: Column) -> Column:
+    return F.unhex(digest)
+
+
+def _hex(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
+
+
+def _as_arrays(witnesses: list[list[tuple[int, str]]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, witnesses)]).astype(np.int32)
+    raw = {d: bytes.fromhex(d) for w in witnesses for _, d in w}
+    sides = pa.array([s for w in witnesses for s, _ in w], pa.int32())
+    digests = pa.array([raw[d] for w in witnesses for _, d in w], pa.binary())
+    pairs = pa.StructArray.from_arrays([sides, digests], fields=list(_ARROW_WITNESS.value_type))
+    return pa.ListArray.from_arrays(pa.array(ends), pairs, type=_ARROW_WITNESS)
+
+
 def _appended(block: int):
     height = block.bit_length() - 1
 
     def one_block(nodes: pa.Table) -> pa.Table:
-        nodes = nodes.sort_by("place")
+        nodes = nodes.drop_columns(["block"]).sort_by("place")
         forest = Forest()
         for digest in nodes.column("digest").to_pylist():
-            forest.append(digest)
+            forest.append(digest.hex())
         top = forest.close(height if nodes.column("count")[0].as_py() > block else 0)
-        paths = [[{"side": s, "digest": d} for s, d in w] for w in forest.witnesses]
-        columns = [nodes.column("unit"), nodes.column("place"), pa.array([top] * len(paths), pa.string()), pa.array(paths, _PATHS_ARROW.field("witness").type)]
-        return pa.Table.from_arrays(columns, schema=_PATHS_ARROW)
+        tops = pa.array([bytes.fromhex(top)] * len(nodes), pa.binary())
+        return nodes.append_column("top", tops).append_column("witness", _as_arrays(forest.witnesses))
 
     return one_block
 
 
 def witnesses(nodes: DataFrame, most: int, block: int = BLOCK) -> DataFrame:
-    """(unit, place, top, witness) of nodes(unit, place, digest, count): the way of each node to its unit's last node.
+    """nodes(unit, place, digest, count, ...) with (top, witness): the way of each node to its unit's last node.
 
-    ``place`` counts the nodes of a unit from 0, ``count`` is how many there are, ``most`` the greatest count.
+    ``place`` counts the nodes of a unit from 0, ``count`` is how many there are, ``most`` the greatest count. Other
+    columns go along with their node.
     """
     number = F.floor(F.col("place") / block).cast("long")
-    below = nodes.withColumn("block", number).groupBy("unit", "block").applyInArrow(_appended(block), _PATHS)
+    made = ", ".join([*(f"{c} {kind}" for c, kind in nodes.dtypes), "top binary", f"witness {_WITNESS}"])
+    below = nodes.withColumn("block", number).groupBy("unit", "block").applyInArrow(_appended(block), made)
     if most <= block:
         return below
-    below = stored(below.withColumn("block", number), "witnesses")
-    counts = nodes.where("place = 0").select("unit", F.ceil(F.col("count") / block).cast("long").alias("count"))
-    roots = below.where(F.col("place") % block == 0).select("unit", F.col("block").alias("place"), F.col("top").alias("digest"))
-    above = witnesses(roots.join(counts, "unit"), -(-most // block), block)
-    above = above.select("unit", F.col("place").alias("block"), F.col("top").alias("_top"), F.col("witness").alias("_above"))
-    return below.join(above, ["unit", "block"]).select(
-        "unit", "place", F.col("_top").alias("top"), F.concat("witness", "_above").alias("witness")
+    below = stored(below, "witnesses")
+    roots = below.where(F.col("place") % block == 0).select(
+        "unit", number.alias("place"), F.col("top").alias("digest"), F.ceil(F.col("count") / block).cast("long").alias("count")
     )
+    above = witnesses(roots, -(-most // block), block)
+    above = stored(above.select("unit", F.col("place").alias("_block"), F.col("top").alias("_top"), F.col("witness").alias("_above")), "above")
+    same = [below["unit"] == above["unit"], number == above["_block"]]
+    return below.join(above, same).select(*[below[c] for c in nodes.columns], F.col("_top").alias("top"), F.concat("witness", "_above").alias("witness"))
 
 
-def _placed(leaves: DataFrame, order: list[str]) -> DataFrame:
-    """Rows with their ``place`` within their unit, in this order, and the ``count`` of the unit."""
-    running = with_running(leaves.withColumn("_one", F.lit(1)), [F.col(c) for c in ("unit", *order)], {"_before": "_one"})
-    units = running.groupBy("unit").agg(F.min("_before").alias("_start"), F.count(F.lit(1)).alias("count"))
-    return running.join(units, "unit").withColumn("place", F.col("_before") - F.col("_start")).drop("_one", "_before", "_start")
+def _placed(leaves: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """Rows with their ``place`` within their unit, in this order, and the ``count`` of the unit; the greatest count.
+
+    Rows are cut into ranges of the order, and each range is sorted and numbered as it is written. How many rows of a
+    unit lie in the ranges before gives the place.
+    """
+    ranges = leaves.repartitionByRange("unit", *order).sortWithinPartitions("unit", *order)
+    cut = stored(ranges.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "ranges")
+    unit = Window.partitionBy("unit")
+    before = F.sum("_rows").over(unit.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    parts = cut.groupBy("unit", "_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    parts = stored(
+        parts.select("unit", "_range", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_rows").over(unit).alias("count")), "parts"
+    )
+    placed = cut.join(parts, ["unit", "_range"]).withColumn("place", F.col("_row") + F.col("_shift")).select(*leaves.columns, "place", "count")
+    return placed, parts.agg(F.max("count")).first()[0] or 0
 
 
 def manifest(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -157,26 +181,23 @@ def manifest(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     leaves = docs.select(
         doc_id.cast("long").alias("doc_id"),
         F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit("")).alias("unit"),  # sorts as the language does, null first
-        leaf_of(doc_id, source, lang, n_chars, text).alias("leaf"),
-        leaf_of(doc_id, source, lang, n_chars.cast("long") + 1, text).alias("tampered_leaf"),
+        _raw(leaf_of(doc_id, source, lang, n_chars, text)).alias("digest"),
+        _raw(leaf_of(doc_id, source, lang, n_chars.cast("long") + 1, text)).alias("tampered"),
     )
-    placed = _placed(leaves, ["doc_id", "leaf"])
-    sizes = placed.where("place = 0").agg(F.max("count").alias("most")).first()
-    ways = witnesses(placed.select("unit", "place", F.col("leaf").alias("digest"), "count"), sizes["most"] or 0, block)
-    if (sizes["most"] or 0) <= block:
+    placed, most = _placed(leaves, ["doc_id", "digest"])
+    ways = witnesses(placed, most, block)
+    if most <= block:
         ways = stored(ways, "witnesses")
 
     subroots = ways.where("place = 0").select(F.lit("").alias("unit"), F.col("unit").alias("name"), F.col("top").alias("digest"))
-    subroots = _placed(subroots, ["name"])
-    units = subroots.count()
-    tops = witnesses(subroots.select("unit", "place", "digest", "count"), units, block)
-    tops = tops.join(subroots.select("place", "name"), "place").select(
-        F.col("name").alias("unit"), F.col("top").alias("root"), F.col("witness").alias("_above")
-    )
-    rows = placed.select("unit", "place", "doc_id", "leaf", "tampered_leaf").join(ways, ["unit", "place"])
-    return rows.join(tops, "unit").select(
-        "doc_id", "unit", "leaf", "tampered_leaf", F.col("top").alias("subroot"), "root", F.concat("witness", "_above").alias("witness")
-    )
+    subroots, units = _placed(subroots, ["name"])
+    tops = witnesses(subroots, units, block)
+    tops = stored(tops.select(F.col("name").alias("unit"), F.col("top").alias("root"), F.col("witness").alias("_above")), "roots")
+    witness = F.transform(F.concat("witness", "_above"), lambda w: F.struct(w["side"].alias("side"), _hex(w["digest"]).alias("digest")))
+    return ways.join(tops, "unit").select(
+        "doc_id", "unit", _hex(F.col("digest")).alias("leaf"), _hex(F.col("tampered")).alias("tampered_leaf"),
+        _hex(F.col("top")).alias("subroot"), _hex(F.col("root")).alias("root"), witness.alias("witness"),
+    )
 
 
 def verified(made: DataFrame) -> DataFrame:

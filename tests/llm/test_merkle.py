@@ -99,3 +99,9 @@ def test_every_row_but_the_tampered_ones_is_verified(spark, sf_dir):
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert all(r["verified"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 != 0) for r in rows)
     assert len({r["root"] for r in rows}) == 1
+
+
+def test_witnesses_are_not_shuffled(spark):
+    """Beyond the tasks that make them they meet only small tables, whose sizes are known."""
+    made = merkle.verified(merkle.manifest(table(spark, 150, 5), 8))
+    assert "Exchange hashpartitioning" not in made._jdf.queryExecution().executedPlan().toString()
