@@ -45,6 +45,9 @@ ROUNDS = 2
 PAIRS_PER_ENTRY = 4
 #: Entries of the matrix in a block of columns, and pairs settled by one task around one node.
 BLOCK_ENTRIES = 500_000
+#: Blocks that are shuffled together, one after the other through a task, at most: a node is named once for all of them.
+BAND = 8
+LEAST_BANDS = 24
 PAIRS_PER_TASK = 512
 #: Nodes that a task multiplies with each other, about: a hub of more is cut into blocks of half as many.
 HUB_NODES = 10_000
@@ -117,24 +120,34 @@ def _profile(words: int):
     return run
 
 
-def _prefixes(words: int, percent: int, common: np.ndarray, blocks: int):
-    """Each document's prefix, cut into blocks of columns: (block, node numbers, sizes, entries of each, shingles)."""
-    schema = pa.schema([("block", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("grams", pa.binary())])
+def _bands(entries: int) -> tuple[int, int]:
+    """(bands, blocks in each) for a matrix of so many entries."""
+    blocks = min(_MOST_BLOCKS, max(LEAST_BANDS, entries // BLOCK_ENTRIES))
+    bands = max(LEAST_BANDS, -(-blocks // BAND))
+    return bands, -(-blocks // bands)
+
+
+def _prefixes(words: int, percent: int, common: np.ndarray, bands: int, width: int):
+    """Each document's prefix, cut into bands of ``width`` blocks of columns.
+
+    (band, node numbers, sizes, entries of each node in each block, shingles by block and node).
+    """
+    schema = pa.schema([("band", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("grams", pa.binary())])
 
     def flush(nodes: list[int], sizes: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
-        counts = [len(x) for x in held]
         grams = np.concatenate(held)
-        doc = np.repeat(np.arange(len(held)), counts)
+        doc = np.repeat(np.arange(len(held)), [len(x) for x in held])
         names = _names(grams)
-        block = mixed(grams) % np.uint64(blocks)
+        block = (mixed(grams) % np.uint64(bands * width)).astype(np.int64)
         order = np.lexsort((doc, block))
         block, doc, names = block[order], doc[order], names[order]
         nodes, sizes = np.array(nodes, np.int64), np.array(sizes, np.int64)
         out = []
-        ends = np.flatnonzero(np.diff(block)) + 1
+        ends = np.flatnonzero(np.diff(block // width)) + 1
         for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(block)], strict=True):
-            docs, n = np.unique(doc[a:b], return_counts=True)
-            out.append((int(block[a]), nodes[docs].tobytes(), _planes(sizes[docs]), _planes(n), _packed(names[a:b])))
+            docs, place = np.unique(doc[a:b], return_inverse=True)
+            n = np.bincount(block[a:b] % width * len(docs) + place, minlength=width * len(docs))
+            out.append((int(block[a]) // width, nodes[docs].tobytes(), _planes(sizes[docs]), _planes(n), _packed(names[a:b])))
         return pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,19 +194,11 @@ def _least_of_any(n, percent: int):
     return np.maximum(1, ends)
 
 
-def _columns(percent: int):
-    """The columns of one block that several nodes have: (gram, node, size, needed, nodes of the column)."""
+def _columns(percent: int, width: int):
+    """The columns of one band that several nodes have, a block at a time: (gram, node, size, needed, nodes of the column)."""
     schema = pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("needed", pa.int32()), ("nodes", pa.int32())])
 
-    def read(table: pa.Table, column: str) -> np.ndarray:
-        return np.concatenate([_from_planes(x) for x in table.column(column).to_pylist()])
-
-    def run(table: pa.Table) -> pa.Table:
-        counts = read(table, "counts")
-        block = np.uint64(table.column("block")[0].as_py())
-        grams = _unpacked(b"".join(table.column("grams").to_pylist())) | block << np.uint64(8 * _NAME_BYTES)
-        nodes = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
-        node, size = (np.repeat(x, counts) for x in (nodes, read(table, "sizes")))
+    def one_block(grams: np.ndarray, node: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(grams)
         same = np.diff(grams[order]) == 0
         order = order[np.append(same, False) | np.insert(same, 0, False)] if len(order) else order
@@ -211,8 +216,22 @@ def _columns(percent: int):
             members = np.zeros(0, np.int64)
         needed = _least_of_any(size.astype(np.int64), percent)
         columns = (grams.view(np.int64), node, size, needed.astype(np.int32), members.astype(np.int32))
-        at_rest()
-        return pa.table([pa.array(c) for c in columns], schema=schema)
+        return pa.record_batch([pa.array(c) for c in columns], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, band = [], 0
+        for batch in batches:
+            for band, nodes, sizes, counts, grams in zip(*(batch.column(c).to_pylist() for c in ("band", "nodes", "sizes", "counts", "grams")), strict=True):
+                counts = _from_planes(counts)
+                counts = counts.astype(np.min_scalar_type(counts.max())).reshape(width, -1)
+                ends = np.insert(np.cumsum(counts.sum(axis=1, dtype=np.int64)), 0, 0) * _NAME_BYTES
+                rows.append((np.frombuffer(nodes, np.int64), _from_planes(sizes), counts, ends.tolist(), grams))
+        for k in range(width):
+            block = np.uint64(band * width + k) << np.uint64(8 * _NAME_BYTES)
+            grams = _unpacked(b"".join([grams[ends[k] : ends[k + 1]] for _, _, _, ends, grams in rows])) | block
+            node, size = (np.concatenate([np.repeat(row[c], row[2][k]) for row in rows]) for c in (0, 1))
+            yield one_block(grams, node, size)
+            at_rest()
 
     return run
 
@@ -531,14 +550,14 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
         .orderBy(F.desc("docs"), "gram").limit(COMMON).select("gram").toPandas()["gram"].to_numpy(np.int64)
     )
     entries = profile.agg(F.sum("n")).first()[0] or 0
-    blocks = min(_MOST_BLOCKS, max(24, entries * (100 - percent + MORE) // 100 // BLOCK_ENTRIES))
-    columns = columns_stored = stored(
+    bands, width = _bands(entries * (100 - percent + MORE) // 100)
+    columns = all_columns = stored(
         texts.mapInArrow(
-            _prefixes(words, percent, np.sort(common.view(np.uint64)), blocks),
-            "block int, nodes binary, sizes binary, counts binary, grams binary",
+            _prefixes(words, percent, np.sort(common.view(np.uint64)), bands, width),
+            "band int, nodes binary, sizes binary, counts binary, grams binary",
         )
-        .groupBy("block")
-        .applyInArrow(_columns(percent), "gram long, node long, size int, needed int, nodes int"),
+        .groupBy("band")
+        .applyInArrow(_columns(percent, width), "gram long, node long, size int, needed int, nodes int"),
         "columns",
     )
     # A node that has fewer columns than it needs has no partner. Else it does without its most frequent columns, but for
@@ -547,10 +566,13 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     columns = marked(columns, "node", able, "able").where("able").drop("able")
     falling = Window.partitionBy("node").orderBy(F.desc("nodes"), F.desc("gram"))
     columns = columns.withColumn("place", F.row_number().over(falling)).where("place >= needed").drop("place", "nodes")
+    # Stored, so that the window is not made once for each side of the join that follows.
+    columns = stored(columns, "fewer")
+    dropped(all_columns)
     owners = profile.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
 
     links, classes = [], None
-    placed, old, met, pairs = _placed(columns, None), columns_stored, 0, 1
+    placed, old, met, pairs = _placed(columns, None), columns, 0, 1
     for turn in range(ROUNDS):
         found = _linked(_stars(placed, turn, percent), texts, owners, words, percent)
         if found.isEmpty():

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpus import documents, edited, mixed_texts, prose
@@ -134,3 +135,33 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
         got[r.root].add(r.node)
     assert got == {200: set(range(200, 261)), 500: set(range(500, 560)), 700: set(range(700, 730))}
     assert components(df.limit(0), "a", "b").count() == 0
+
+
+def columns_of(texts, bands, width):
+    """(what is sent, sorted nodes of the columns that several have)."""
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    outs = list(ngram_join._prefixes(5, 75, np.zeros(0, np.uint64), bands, width)([batch]))
+    sent = [r for out in outs for r in out.to_pylist()]
+    found = []
+    for band in {r["band"] for r in sent}:
+        rows = pa.RecordBatch.from_pylist([r for r in sent if r["band"] == band], schema=outs[0].schema)
+        found += [n for out in ngram_join._columns(75, width)([rows]) for n in out.column("node").to_pylist()]
+    return sent, sorted(found)
+
+
+def test_a_node_is_named_once_for_all_blocks_of_a_band():
+    """Not once for each block: with more blocks than shingles a node would be sent with every single one of them."""
+    texts = mixed_texts()
+    bands, width = ngram_join._bands(200 * ngram_join.BLOCK_ENTRIES)
+    assert bands < 200 <= bands * width
+    sent, found = columns_of(texts, bands, width)
+    nodes = {frozenset(s) for s in map(shingle_set, texts) if s}
+    assert sum(len(r["nodes"]) for r in sent) <= 8 * bands * len(nodes)
+    assert found and found == columns_of(texts, 1, 1)[1]
+
+
+@pytest.mark.parametrize("entries", [7, 100])
+def test_links_do_not_depend_on_blocks(spark, monkeypatch, entries):
+    monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", entries)
+    texts = list(enumerate(mixed_texts()))
+    assert classes(documents(spark, texts).repartition(5)) == brute(texts)
