@@ -338,15 +338,20 @@ def _shared_bound(a: Column, b: Column, needed_a: Column, needed_b: Column, perc
     return F.greatest(F.lit(1), shared - F.greatest(needed_a, needed_b) + 1)
 
 
-def _placed(columns: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """The columns on which several classes meet, with the class of each node."""
+def _placed(columns: DataFrame, classes: DataFrame | None, turn: int) -> DataFrame:
+    """The columns on which several classes meet, with the class of each node and the column's hub (node2, ...).
+
+    The hub is drawn by the node and the turn, so columns of much the same nodes have one hub.
+    """
+    columns = columns.select("gram", "node", "size", "needed")
     own = F.col("node").alias("class")
     if classes is not None:
-        columns = columns.drop("class").join(classes, "node", "left")
+        columns = columns.join(classes, "node", "left")
         own = F.coalesce("root", "node").alias("class")
     placed = columns.select("gram", "node", "size", "needed", own)
-    met = placed.groupBy("gram").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("gram")
-    return stored(placed.join(met, "gram", "left_semi"), "placed")
+    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), *[F.col(c).alias(f"{c}2") for c in ("node", "size", "needed", "class")])
+    met = placed.groupBy("gram").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.min(drawn).alias("hub")).where("a <> b")
+    return stored(placed.join(met.select("gram", "hub.*").drop("draw"), "gram"), "placed")
 
 
 def _meetings(placed: DataFrame) -> tuple[int, int]:
@@ -361,16 +366,10 @@ def _similar_sizes(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b).cast("long") >= percent * F.greatest(a, b).cast("long")
 
 
-def _stars(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(x, y): each node with the hub of another class that it has most columns with, if these are many enough.
-
-    A column's hub is drawn by the node and the turn, so columns of much the same nodes have one hub.
-    """
-    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), *[F.col(c).alias(f"{c}2") for c in ("node", "size", "needed", "class")])
-    hubs = placed.groupBy("gram").agg(F.min(drawn).alias("hub")).select("gram", "hub.*")
+def _stars(placed: DataFrame, percent: int) -> DataFrame:
+    """(x, y): each node with the hub of another class that it has most columns with, if these are many enough."""
     ties = (
-        placed.join(hubs, "gram")
-        .where((F.col("class") != F.col("class2")) & _similar_sizes("size", "size2", percent))
+        placed.where((F.col("class") != F.col("class2")) & _similar_sizes("size", "size2", percent))
         .groupBy("node", "size", "needed", "node2", "size2", "needed2")
         .agg(F.count(F.lit(1)).alias("shared"))
     )
@@ -484,10 +483,12 @@ def _hub_links(percent: int):
 
 def _in_cells(members: DataFrame) -> DataFrame:
     """(hub, node) with each hub of more than HUB_NODES nodes replaced by a cell for each pair of its blocks of nodes."""
-    blocks = F.when(F.col("n") > HUB_NODES, F.ceil(2 * F.col("n") / max(2, HUB_NODES))).otherwise(1).cast("int")
-    crowd = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).select("hub", blocks.alias("blocks"))
+    blocks = F.ceil(2 * F.col("n") / max(2, HUB_NODES)).cast("int")
+    # At most one row for HUB_NODES members.
+    crowd = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HUB_NODES).select("hub", blocks.alias("blocks"))
+    cut = members.join(F.broadcast(crowd), "hub", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
-    paired = members.join(crowd, "hub").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    paired = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # Two blocks or more: a block meets itself wherever it meets another one.
     paired = paired.where((F.col("blocks") == 1) | (F.col("own") != F.col("other")))
     cell = F.when(F.col("blocks") == 1, F.col("hub")).otherwise(F.xxhash64("hub", F.least("own", "other"), F.greatest("own", "other")))
@@ -501,8 +502,7 @@ def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFram
     the columns that are left, and those that share enough with any again by their whole sets. Where a hub has more nodes
     than a task should hold, they are cut into blocks, and every two blocks are multiplied with each other in a task.
     """
-    hubs = placed.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", F.lit(-1)).alias("draw"), "node"))["node"].alias("hub"))
-    rows = stored(placed.join(hubs, "gram"), "rows")
+    rows = placed.withColumnRenamed("node2", "hub")
     lists = rows.groupBy("node", "size", "needed", "class").agg(F.collect_list("gram").alias("grams"))
     met = _in_cells(rows.select("hub", "node").distinct()).join(lists, "node")
     blocks = max(24, entries // BLOCK_ENTRIES)
@@ -521,7 +521,7 @@ def _product(placed: DataFrame, entries: int, texts: DataFrame, owners: DataFram
         .mapInArrow(_hub_links(percent), "x long, y long")
     )
     links = [stored(found, "links")]
-    dropped(rows, places)
+    dropped(places)
     return links
 
 
@@ -572,16 +572,16 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     owners = profile.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
 
     links, classes = [], None
-    placed, old, met, pairs = _placed(columns, None), columns, 0, 1
+    placed, old, met, pairs = _placed(columns, None, 0), columns, 0, 1
     for turn in range(ROUNDS):
-        found = _linked(_stars(placed, turn, percent), texts, owners, words, percent)
+        found = _linked(_stars(placed, percent), texts, owners, words, percent)
         if found.isEmpty():
             met, pairs = _meetings(placed)
             break
         links.append(found)
         classes = components(reduce(DataFrame.unionAll, links), "x", "y")
         dropped(old)
-        placed, old = _placed(placed, classes), placed
+        placed, old = _placed(placed, classes, turn + 1), placed
         met, pairs = _meetings(placed)
         if pairs <= PAIRS_PER_ENTRY * met:
             break

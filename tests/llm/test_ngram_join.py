@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from corpus import documents, edited, mixed_texts, prose
+from remitlake.llm import components as components_module
 from remitlake.llm import ngram_join
 from remitlake.llm.components import components
 
@@ -165,3 +166,35 @@ def test_links_do_not_depend_on_blocks(spark, monkeypatch, entries):
     monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", entries)
     texts = list(enumerate(mixed_texts()))
     assert classes(documents(spark, texts).repartition(5)) == brute(texts)
+
+
+@pytest.mark.parametrize("few", [0, 1 << 16])
+def test_components_do_not_depend_on_how_links_travel(spark, monkeypatch, few):
+    monkeypatch.setattr(components_module, "FEW", few)
+    rng = random.Random(4)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(900 - i, 901 - i) for i in range(50)] + [(None, 5)]
+    root = {x: x for pair in links if None not in pair and pair[0] != pair[1] for x in pair}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, b in links:
+        if a is not None and a != b:
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    got = components(spark.createDataFrame(links * 2, "a long, b long"), "a", "b").collect()
+    assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in root)
+
+
+def test_components_of_stars_take_one_round(spark):
+    """Stages are what a run over many partitions pays for."""
+    links = spark.createDataFrame([(100 * i, 100 * i + j) for i in range(20) for j in range(1, 30)], "a long, b long")
+    sc = spark.sparkContext
+    sc.setJobGroup("stars", "components")
+    try:
+        found = components(links, "a", "b")
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("stars")]
+    finally:
+        sc._jsc.clearJobGroup()
+    assert found.count() == 600 and found.select("root").distinct().count() == 20
+    assert sum(len(j.stageIds) for j in jobs) <= 20
