@@ -115,7 +115,11 @@ def with_fate_as_received(copies: DataFrame) -> DataFrame:
 
 def kept_as_silver(judged: DataFrame) -> DataFrame:
     """Silver from the rows of ``with_fate_as_received``."""
-    kept = judged.filter(F.col("fate") == C.KEPT).drop("fate", "transaction_month")
+    return judged.filter(F.col("fate") == C.KEPT).drop("fate", "transaction_month").transform(received_as_silver)
+
+
+def received_as_silver(kept: DataFrame) -> DataFrame:
+    """Silver from one copy each, as received, of rows that all are kept."""
     return kept.transform(standardise_domains).transform(with_transaction_time).transform(with_silver_metadata)
 
 

@@ -11,6 +11,7 @@ plain table with its two-step aggregation is the better one.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +27,20 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def write_clustered(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
-    """Write rows by ``key`` to a new folder, one file a bucket; returns them as stored."""
+def write_clustered(df: DataFrame, path: str, key: str, buckets: int, then: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Write rows by ``key`` to a new folder, one file a bucket; returns them as stored.
+
+    ``then`` makes what is written of the rows, each by itself and with its key as it is, after they have been dealt out.
+    The write sorts each bucket.
+    """
     spark = df.sparkSession
     files, description = _hadoop(spark, f"{path}/{_DESCRIPTION}")
     if files.exists(description.getParent()):
         raise FileExistsError(path)
-    said = {"key": key, "buckets": buckets, "schema": df.schema.json()}
+    rows = then(df.repartition(buckets, key))
+    said = {"key": key, "buckets": buckets, "schema": rows.schema.json()}
     table = _declared(spark, path, said)
-    df.repartition(buckets, key).sortWithinPartitions(key).select(*df.columns).write.insertInto(table)
+    rows.write.insertInto(table)
     out = files.create(description, False)
     try:
         out.write(bytearray(json.dumps(said).encode()))

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from remitlake.contract import RAW_COLUMNS
 from remitlake.operators import checks, cleaning, customers, merchants, months, profile, series
 from remitlake.operators.ingest import with_ingestion_metadata
 from remitlake.plans import registry
@@ -144,3 +145,23 @@ def test_hours_pass_through_no_single_task(stored):
     text = plan(series.period_trends(stored[1], "hour"))
     windows = [line for line in text.split("\n") if "SinglePartition" in line]
     assert len(windows) <= 2  # totals and last rows of the ranges
+
+
+def test_only_columns_as_received_are_dealt_out_by_key(spark, sf_dir, monkeypatch):
+    dealt = []
+
+    def watched(df, *args, **options):
+        dealt.append(df.columns)
+        return write_clustered(df, *args, **options)
+
+    monkeypatch.setattr(registry, "write_clustered", watched)
+    found = registry.queries()["clustered_merchants"](spark, sf_dir).collect()
+    assert dealt == [list(RAW_COLUMNS)]
+    assert sorted(found) == sorted(registry.queries()["merchant_core"](spark, sf_dir).collect())
+
+
+def test_what_is_made_after_the_rows_are_dealt_out_is_stored(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id % 7 as k", "id as x")
+    stored = write_clustered(rows, str(tmp_path / "by_k"), "k", 4, then=lambda dealt: dealt.withColumn("y", dealt.x * 2))
+    assert stored.columns == ["k", "x", "y"] and stored.where("y = 2 * x").count() == 100
+    assert read_clustered(spark, str(tmp_path / "by_k")).columns == ["k", "x", "y"]
