@@ -11,6 +11,7 @@ from remitlake.plans import summary
 from remitlake.plans.layers import run_layers, run_silver
 from remitlake.sources.landing import write_transactions_csv
 from remitlake.sources.layers import LayerPaths, read_table, write_by_month, write_table
+from remitlake.sources.shared import small_splits
 from remitlake.sources.sample_tables import raw_transactions
 from rows import column, raw
 
@@ -190,3 +191,35 @@ def test_only_received_columns_pass_through_the_shuffle_before_the_write(spark,
     with small_splits(spark):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(SPLIT_BYTES)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == usual
+
+
+def test_a_whole_run_leaves_no_shuffle_files_and_no_landing_files(spark, sf_dir, monkeypatch):
+    from remitlake.plans import registry
+    from test_shared import _released, _shuffle_files
+
+    landed = []
+    write = registry.write_transactions_csv
+    monkeypatch.setattr(registry, "write_transactions_csv", lambda df, path, **how: landed.append(path) or write(df, path, **how))
+    before = _shuffle_files(spark)
+    kpis = registry.queries()["pipeline_summary"](spark, sf_dir)
+    assert _released(spark, before)
+    assert kpis.first().customers == 150
+    assert len(landed) == 1 and not os.path.exists(landed[0])
+
+
+def test_a_stored_file_has_row_groups_that_a_task_can_sort(spark, tmp_path):
+    from glob import glob
+
+    from pyarrow.parquet import ParquetFile
+
+    from remitlake.sources.releases import Releases
+
+    rows = spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("a"), F.lit("m").alias("transaction_month"))
+    write_table(rows, str(tmp_path / "whole"))
+    write_by_month(rows, str(tmp_path / "months"))
+    Releases(spark, str(tmp_path / "lake")).written("t", rows)
+    for folder in ("whole", "months", "lake"):
+        (file,) = glob(f"{tmp_path}/{folder}/**/*.parquet", recursive=True)
+        assert ParquetFile(file).num_row_groups >= 2
+    with small_splits(spark):
+        assert read_table(spark, str(tmp_path / "whole")).groupBy(F.spark_partition_id()).count().where("count > 0").count() >= 2

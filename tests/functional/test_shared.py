@@ -1,5 +1,6 @@
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -56,3 +57,39 @@ def test_the_folder_is_gone_after_the_session(tmp_path):
     said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120).stdout
     assert "ROWS 7" in said and "DURING 1" in said
     assert not list((tmp_path / "shared").glob("remitlake-*"))
+
+
+def _shuffle_files(spark):
+    """Files of shuffles in the folders of this JVM's only executor."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {str(f) for d in disk.localDirsString() for f in Path(d).rglob("shuffle_*")}
+
+
+def _released(spark, before):
+    """No shuffle file is there that was not before; files are removed a moment after the job."""
+    for _ in range(100):
+        if not _shuffle_files(spark) - before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_what_a_step_has_shuffled_is_gone_when_it_ends(spark, tmp_path):
+    rows = lambda: spark.range(1000).repartition(4, "id")
+    before = _shuffle_files(spark)
+    rows().write.parquet(str(tmp_path / "kept"))
+    kept = _shuffle_files(spark) - before
+    assert kept
+    with shared.shuffles_released(spark):
+        rows().write.parquet(str(tmp_path / "released"))
+    assert _released(spark, before | kept)
+    assert spark.read.parquet(str(tmp_path / "released")).count() == 1000
+
+
+def test_settings_are_as_they_were_after_a_step_even_one_that_fails(spark):
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.files.maxPartitionBytes")
+    usual = [spark.conf.get(n) for n in names]
+    with pytest.raises(ZeroDivisionError), shared.small_splits(spark), shared.shuffles_released(spark), shared.few_folders_at_once(spark):
+        assert [spark.conf.get(n) for n in names] == ["true", str(shared.OPEN_FILES), str(shared.SPLIT_BYTES)]
+        1 / 0
+    assert [spark.conf.get(n) for n in names] == usual
