@@ -1,5 +1,7 @@
 """Deliveries one after the other: results, published state, loads that break off."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +193,31 @@ def test_landing_files_are_compressed_and_dealt_out_by_a_column(spark, tmp_path)
     files = [p for p in (tmp_path / "in").rglob("part-*")]
     assert files and all(p.name.endswith(".csv.gz") for p in files)
     assert landing.read_transactions_csv(spark, str(tmp_path / "in" / "delivery=2")).collect() == df.where("transaction_id = 'T2'").collect()
+
+
+def test_loads_leave_no_shuffle_files_and_deliveries_go_when_taken_in(spark, sf_dir, monkeypatch):
+    from remitlake.plans import registry
+    from test_shared import _released, _shuffle_files
+
+    removed, before = [], _shuffle_files(spark)
+    remove = registry.remove
+    monkeypatch.setattr(registry, "remove", lambda spark, path: removed.append(path) or remove(spark, path))
+    merged = registry.queries()["merged_silver"](spark, sf_dir)
+    assert _released(spark, before)
+    assert [path.rpartition("/")[2] for path in removed] == ["delivery=0", "delivery=1"]
+    assert not any(Path(path).exists() for path in removed)
+    assert merged.count() == 4389
+
+
+def test_months_are_looked_for_only_where_something_is_stored(spark, tmp_path, monkeypatch):
+    from remitlake.plans import lake as steps
+
+    looked = []
+    months_of = steps.months_of
+    monkeypatch.setattr(steps, "months_of", lambda received: looked.append(months_of(received)) or {*looked[-1]})
+    lake = Lake(spark, str(tmp_path / "lake"), gold=[])
+    lake.load(delivery(spark, tmp_path / "in0", t(1), t(2, transaction_date=None)))
+    assert looked == []
+    lake.load(delivery(spark, tmp_path / "in1", t(1, transaction_date="2024-01-15")))
+    assert looked == [{"2024-01"}]
+    assert {(r["transaction_id"], r["transaction_date"]) for r in lake.read(COPIES).collect()} == {("T1", "2024-01-15"), ("T2", None)}
